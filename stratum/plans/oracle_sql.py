@@ -81,3 +81,54 @@ def json_text(pairs: list[tuple[str, str]]) -> str:
     # join non-empty parts with commas
     joined = " || ".join(f"coalesce(nullif({p}, '') || ',', '')" for p in parts)
     return f"('{{' || rtrim({joined}, ',') || '}}')"
+
+
+VALUE_COLS = [c for c in __import__("stratum.plans.fixtures", fromlist=["x"]).ORDER_COLUMNS if c != "o_orderkey"]
+
+
+def _distinct(a: str, b: str) -> str:
+    return " OR ".join(f"{a}.{c} IS DISTINCT FROM {b}.{c}" for c in VALUE_COLS)
+
+
+# Keyed change feed (orders keys are unique): deleted/changed before rows,
+# inserted/changed after rows; both halves of a change flagged as updates.
+DIFF = f"""WITH b AS ({BEFORE}), a AS ({AFTER})
+SELECT b.*, 'DELETE' AS _action, (a.o_orderkey IS NOT NULL) AS _is_update
+FROM b LEFT JOIN a ON b.o_orderkey = a.o_orderkey
+WHERE a.o_orderkey IS NULL OR {_distinct('b', 'a')}
+UNION ALL
+SELECT a.*, 'INSERT' AS _action, (b.o_orderkey IS NOT NULL) AS _is_update
+FROM a LEFT JOIN b ON a.o_orderkey = b.o_orderkey
+WHERE b.o_orderkey IS NULL OR {_distinct('a', 'b')}"""
+
+TARGET = (f"SELECT *, {TS_PREVIOUS} AS staged_at, 'bronze.employee_data_parquet' AS source_object, "
+          f"'{fx.PREVIOUS_RUN_ID}' AS etl_run_id FROM ({BEFORE}) b0")
+
+MERGE_CTES = f"""WITH t AS ({TARGET}),
+f AS ({DIFF}),
+src AS (SELECT * FROM f WHERE NOT (_action = 'DELETE' AND _is_update)),
+u AS (SELECT * FROM src WHERE _action = 'INSERT' AND _is_update),
+kept AS (
+  SELECT t.o_orderkey,
+    {', '.join(f'CASE WHEN u.o_orderkey IS NOT NULL THEN u.{c} ELSE t.{c} END AS {c}' for c in VALUE_COLS)},
+    CASE WHEN u.o_orderkey IS NOT NULL THEN {TS_AS_OF} ELSE t.staged_at END AS staged_at,
+    CASE WHEN u.o_orderkey IS NOT NULL THEN 'bronze.employee_data_parquet_stream' ELSE t.source_object END AS source_object,
+    CASE WHEN u.o_orderkey IS NOT NULL THEN '{fx.RUN_ID}' ELSE t.etl_run_id END AS etl_run_id,
+    (u.o_orderkey IS NOT NULL) AS was_updated
+  FROM t LEFT JOIN u ON t.o_orderkey = u.o_orderkey
+  WHERE NOT EXISTS (SELECT 1 FROM src d WHERE d._action = 'DELETE' AND d.o_orderkey = t.o_orderkey)
+),
+ins AS (
+  SELECT s.o_orderkey, {', '.join('s.' + c for c in VALUE_COLS)},
+    {TS_AS_OF} AS staged_at, 'bronze.employee_data_parquet_stream' AS source_object, '{fx.RUN_ID}' AS etl_run_id
+  FROM src s
+  WHERE s._action = 'INSERT' AND NOT EXISTS (SELECT 1 FROM t WHERE t.o_orderkey = s.o_orderkey)
+)"""
+
+MERGED = MERGE_CTES + """
+SELECT * EXCLUDE (was_updated) FROM kept UNION ALL SELECT * FROM ins"""
+
+MERGE_COUNTS = MERGE_CTES + """
+SELECT (SELECT count(*) FROM ins) AS rows_inserted,
+       (SELECT count(*) FROM kept WHERE was_updated) AS rows_updated,
+       (SELECT count(*) FROM t) - (SELECT count(*) FROM kept) AS rows_deleted"""

@@ -93,3 +93,58 @@ def q_latest_k(spark, sf_dir):
 @register("scan", "SELECT * FROM events")
 def q_scan(spark, sf_dir):
     return fx.table(spark, sf_dir, "events")
+
+
+# ---------------------------------------------------- change feed + MERGE ---
+
+from stratum.operators import changes, merge  # noqa: E402
+from stratum.functions.scalars import ts_literal  # noqa: E402
+
+
+def orders_feed(spark, sf_dir):
+    return changes.snapshot_diff(fx.orders_before(spark, sf_dir), fx.orders_after(spark, sf_dir), "o_orderkey")
+
+
+def orders_target(spark, sf_dir):
+    return fx.orders_before(spark, sf_dir).withColumns(
+        staging.lineage_stamps(fx.PREVIOUS_AS_OF, staging.RAW_TABLE, fx.PREVIOUS_RUN_ID))
+
+
+STREAM_STAMPS = staging.lineage_stamps(fx.AS_OF, staging.RAW_STREAM, fx.RUN_ID)
+
+
+@register("snapshot_diff", o.DIFF)
+def q_snapshot_diff(spark, sf_dir):
+    return orders_feed(spark, sf_dir)
+
+
+@register("has_changes", f"SELECT count(*) > 0 AS has_changes FROM ({o.DIFF}) f")
+def q_has_changes(spark, sf_dir):
+    return changes.has_changes(orders_feed(spark, sf_dir))
+
+
+@register("merge_changes", o.MERGED)
+def q_merge_changes(spark, sf_dir):
+    return merge.merge_changes(orders_target(spark, sf_dir), orders_feed(spark, sf_dir), "o_orderkey",
+                               stamps=STREAM_STAMPS)
+
+
+@register("merge_counts", o.MERGE_COUNTS)
+def q_merge_counts(spark, sf_dir):
+    return merge.merge_counts(orders_target(spark, sf_dir), orders_feed(spark, sf_dir), "o_orderkey")
+
+
+@register("update_where_in", f"""WITH r AS ({o.RAW_ORDERS})
+SELECT * REPLACE (CASE WHEN employee_number = (SELECT min(employee_number) FROM r) THEN NULL
+                       ELSE employee_number END AS employee_number)
+FROM r""")
+def q_update_where_in(spark, sf_dir):
+    return merge.update_where_in(fx.raw_from_orders(spark, sf_dir), "employee_number", None, "employee_number")
+
+
+@register("semi_in", f"""SELECT * FROM ({fx.sql_select(fx.ORDERS_WITH_ORPHANS, 'orders')}) x
+WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')""")
+def q_semi_in(spark, sf_dir):
+    orders = fx.table(spark, sf_dir, "orders").selectExpr(*fx.ORDERS_WITH_ORPHANS)
+    building = fx.table(spark, sf_dir, "customer").filter(F.col("c_mktsegment") == "BUILDING")
+    return merge.semi_in(orders, "o_custkey", building, "c_custkey")
