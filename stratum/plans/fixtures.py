@@ -84,6 +84,15 @@ AFTER_COLUMNS = [
     "o_orderdate", "o_orderpriority",
 ]
 
+EVENT_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
+EVENTS_BEFORE_FILTER = "event_id % 10 <> 0"
+EVENTS_AFTER_FILTER = "event_id % 7 <> 0"
+EVENTS_AFTER_COLUMNS = [
+    "event_id", "ts",
+    "CASE WHEN event_id % 7 = 1 THEN user_id + 1 ELSE user_id END AS user_id",
+    "event_type", "value", "props",
+]
+
 # Orders whose customer key points outside every customer (shifted by 1,000,000).
 ORDERS_WITH_ORPHANS = [
     "o_orderkey",
@@ -113,6 +122,14 @@ def orders_after(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").filter(AFTER_FILTER).selectExpr(*AFTER_COLUMNS)
 
 
+def events_before(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").filter(EVENTS_BEFORE_FILTER).select(*EVENT_COLUMNS)
+
+
+def events_after(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").filter(EVENTS_AFTER_FILTER).selectExpr(*EVENTS_AFTER_COLUMNS)
+
+
 def sql_select(exprs: list[str], source: str, where: str | None = None) -> str:
     """The same derivation as DuckDB SQL text, for the oracles."""
     body = ",\n  ".join(exprs)

@@ -148,3 +148,43 @@ def q_semi_in(spark, sf_dir):
     orders = fx.table(spark, sf_dir, "orders").selectExpr(*fx.ORDERS_WITH_ORPHANS)
     building = fx.table(spark, sf_dir, "customer").filter(F.col("c_mktsegment") == "BUILDING")
     return merge.semi_in(orders, "o_custkey", building, "c_custkey")
+
+
+# ------------------------------------------------------ refreshed marts ---
+
+from stratum.operators import refresh  # noqa: E402
+
+DT_SOURCE = staging.STAGED_REFRESHED
+
+
+def _dt_demographics(spark, sf_dir):
+    before, after = fx.orders_before(spark, sf_dir), fx.orders_after(spark, sf_dir)
+    feed = changes.snapshot_diff(before, after, "o_orderkey")
+    measures = refresh.demographics_measures()
+    state = refresh.mart_state(before.selectExpr(*fx.RAW_FROM_ORDERS), ["department"], measures)
+    delta_rows = feed.selectExpr(*fx.RAW_FROM_ORDERS, "_action")
+    state = refresh.refresh_mart(state, delta_rows, changes.signed_weight(feed), ["department"], measures)
+    return refresh.finalize(state, ["department"], measures,
+                            marts.mart_stamps(fx.AS_OF, None, DT_SOURCE, "dt_refresh"))
+
+
+def _dt_survey(spark, sf_dir):
+    before, after = fx.events_before(spark, sf_dir), fx.events_after(spark, sf_dir)
+    feed = changes.snapshot_diff(before, after, "event_id")
+    measures = refresh.survey_measures()
+    stage = lambda raw: staging.stage_rows(raw, as_of=fx.AS_OF, process_type="dt_refresh")
+    state = refresh.mart_state(stage(before.selectExpr(*fx.RAW_FROM_EVENTS)), ["department"], measures)
+    delta_rows = stage(feed.selectExpr(*fx.RAW_FROM_EVENTS, "_action"))
+    state = refresh.refresh_mart(state, delta_rows, changes.signed_weight(feed), ["department"], measures)
+    return refresh.finalize(state, ["department"], measures,
+                            marts.mart_stamps(fx.AS_OF, None, DT_SOURCE, "dt_refresh"))
+
+
+_AFTER_ORDERS_RAW = fx.sql_select(fx.RAW_FROM_ORDERS, f"({o.AFTER}) a")
+_AFTER_EVENTS_RAW = fx.sql_select(
+    fx.RAW_FROM_EVENTS, f"({fx.sql_select(fx.EVENTS_AFTER_COLUMNS, 'events', fx.EVENTS_AFTER_FILTER)}) a")
+
+register("dt_demographics", o.demographics_mart(o.staged(_AFTER_ORDERS_RAW), run_id=None,
+                                                source_object=DT_SOURCE, process_type="dt_refresh"))(_dt_demographics)
+register("dt_survey", o.survey_mart(o.staged(_AFTER_EVENTS_RAW), run_id=None,
+                                    source_object=DT_SOURCE, process_type="dt_refresh"))(_dt_survey)
