@@ -132,3 +132,40 @@ MERGE_COUNTS = MERGE_CTES + """
 SELECT (SELECT count(*) FROM ins) AS rows_inserted,
        (SELECT count(*) FROM kept WHERE was_updated) AS rows_updated,
        (SELECT count(*) FROM t) - (SELECT count(*) FROM kept) AS rows_deleted"""
+
+
+# ------------------------------------------------------------- run logs ---
+from stratum.plans import logs as _logs  # noqa: E402
+
+_STARTED = json_text([("component", "'ELT_Pipeline'"), ("run_id", "run_id"), ("pipeline", "pipeline"),
+                      ("stage", "stage"), ("status", "'STARTED'"), ("source", "source"), ("target", "target"),
+                      ("procedure", "procedure")])
+_FINISHED = json_text([("component", "'ELT_Pipeline'"), ("run_id", "run_id"), ("pipeline", "pipeline"),
+                       ("stage", "stage"), ("status", "status"),
+                       ("duration_seconds", "CASE WHEN status <> 'FAILED' THEN datediff('second', started_at, ended_at) END"),
+                       ("result", "CASE WHEN status <> 'FAILED' THEN result END"),
+                       ("error_code", "CASE WHEN status = 'FAILED' THEN CAST(error_code AS BIGINT) END"),
+                       ("error_message", "CASE WHEN status = 'FAILED' THEN error_message END"),
+                       ("procedure", "procedure")])
+_SCOPE = json_text([("name", "procedure")])
+
+PIPELINE_EVENTS = f"""WITH runs AS ({_logs.RUNS_SQL})
+SELECT started_at AS timestamp, 'LOG' AS record_type, 'INFO' AS severity, {_SCOPE} AS scope, {_STARTED} AS value FROM runs
+UNION ALL
+SELECT ended_at, 'LOG', CASE WHEN status = 'FAILED' THEN 'ERROR' ELSE 'INFO' END, {_SCOPE}, {_FINISHED} FROM runs
+UNION ALL
+SELECT started_at, 'SPAN', 'INFO', {_SCOPE}, CAST(NULL AS VARCHAR) FROM runs"""
+
+
+def log_field(key: str, text: str = "value") -> str:
+    return f"CASE WHEN json_valid({text}) THEN json_extract_string({text}, '$.{key}') END"
+
+
+PARSED_LOG = f"""SELECT timestamp, record_type,
+  {log_field('name', 'scope')} AS scope_name,
+  {log_field('run_id')} AS run_id, {log_field('pipeline')} AS pipeline, {log_field('stage')} AS stage,
+  {log_field('event')} AS event, {log_field('status')} AS status, {log_field('task_name')} AS task_name,
+  try_cast(try_cast({log_field('duration_seconds')} AS DECIMAL(38,0)) AS BIGINT) AS duration_seconds,
+  {log_field('source')} AS source_object, {log_field('target')} AS target_object,
+  {log_field('error_message')} AS error_message
+FROM ({PIPELINE_EVENTS}) e"""

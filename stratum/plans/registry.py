@@ -188,3 +188,125 @@ register("dt_demographics", o.demographics_mart(o.staged(_AFTER_ORDERS_RAW), run
                                                 source_object=DT_SOURCE, process_type="dt_refresh"))(_dt_demographics)
 register("dt_survey", o.survey_mart(o.staged(_AFTER_EVENTS_RAW), run_id=None,
                                     source_object=DT_SOURCE, process_type="dt_refresh"))(_dt_survey)
+
+
+# ------------------------------------------------------------- run logs ---
+
+from stratum.operators import observe  # noqa: E402
+from stratum.plans import logs  # noqa: E402
+
+
+def pipeline_events(spark, sf_dir):
+    return observe.event_rows(logs.runs(spark, sf_dir), include_spans=True)
+
+
+@register("event_rows", o.PIPELINE_EVENTS)
+def q_event_rows(spark, sf_dir):
+    return pipeline_events(spark, sf_dir)
+
+
+@register("event_recent", f"""SELECT * FROM ({o.PIPELINE_EVENTS}) e
+WHERE record_type IN ('EVENT', 'LOG', 'INFO')
+ORDER BY timestamp DESC, value ASC NULLS LAST, scope ASC NULLS LAST, severity ASC NULLS LAST
+LIMIT 50""")
+def q_event_recent(spark, sf_dir):
+    return observe.event_recent(pipeline_events(spark, sf_dir))
+
+
+@register("event_extract", f"""SELECT * EXCLUDE (record_type) FROM ({o.PARSED_LOG}) p
+WHERE record_type = 'LOG' AND pipeline = 'streams_tasks_elt'
+ORDER BY timestamp DESC, run_id ASC NULLS LAST, status ASC NULLS LAST, stage ASC NULLS LAST
+LIMIT 20""")
+def q_event_extract(spark, sf_dir):
+    return observe.event_extract(pipeline_events(spark, sf_dir))
+
+
+@register("event_summary", f"""SELECT stage AS pipeline_stage, status, count(*) AS execution_count,
+  {o.avg_exact('duration_seconds')} AS avg_duration_seconds
+FROM ({o.PARSED_LOG}) p
+WHERE record_type = 'LOG' AND pipeline = 'streams_tasks_elt' AND status IS NOT NULL
+  AND timestamp >= {o.TS_AS_OF} - INTERVAL 7 DAY
+GROUP BY stage, status""")
+def q_event_summary(spark, sf_dir):
+    return observe.event_summary(pipeline_events(spark, sf_dir), fx.AS_OF, days=7)
+
+
+TASK_NAMES = ("T_SILVER_FROM_BRONZE_STREAM", "T_GOLD_REFRESH_AFTER_SILVER")
+
+
+@register("run_history", f"""SELECT * FROM (
+  SELECT * FROM ({logs.TASK_HISTORY_SQL}) h
+  WHERE scheduled_time >= {o.TS_AS_OF} - INTERVAL 2 HOUR
+  ORDER BY scheduled_time DESC, name ASC NULLS LAST LIMIT 50) x
+WHERE database_name = 'ELT_DB' AND schema_name = 'TASKS' AND name IN {TASK_NAMES}""")
+def q_run_history(spark, sf_dir):
+    where = ((F.col("database_name") == "ELT_DB") & (F.col("schema_name") == "TASKS")
+             & F.col("name").isin(*TASK_NAMES))
+    return observe.run_history(logs.task_history(spark, sf_dir), fx.AS_OF, hours=2, limit=50, where=where)
+
+
+@register("refresh_history", f"""SELECT name, data_timestamp, state, state_code, state_message, refresh_action,
+  query_id, statistics
+FROM ({logs.REFRESH_HISTORY_SQL}) h
+WHERE name LIKE 'DT_%' AND data_timestamp >= {o.TS_AS_OF} - INTERVAL 6 DAY""")
+def q_refresh_history(spark, sf_dir):
+    return observe.refresh_history(logs.dt_refresh_history(spark, sf_dir), fx.AS_OF, days=6)
+
+
+def _stat(key):
+    return f"try_cast(try_cast({o.log_field(key, 'statistics')} AS DECIMAL(38,0)) AS BIGINT)"
+
+
+@register("refresh_summary", f"""SELECT name, count(*) AS total_refreshes,
+  CAST(sum(CASE WHEN state = 'SUCCEEDED' THEN 1 ELSE 0 END) AS BIGINT) AS successful_refreshes,
+  CAST(sum(CASE WHEN state = 'FAILED' THEN 1 ELSE 0 END) AS BIGINT) AS failed_refreshes,
+  CAST(sum({_stat('numInsertedRows')}) AS BIGINT) AS total_rows_inserted,
+  CAST(sum({_stat('numDeletedRows')}) AS BIGINT) AS total_rows_deleted,
+  CAST(sum({_stat('numCopiedRows')}) AS BIGINT) AS total_rows_copied
+FROM ({logs.REFRESH_HISTORY_SQL}) h
+WHERE name LIKE 'DT_%' AND data_timestamp >= {o.TS_AS_OF} - INTERVAL 1 DAY
+GROUP BY name""")
+def q_refresh_summary(spark, sf_dir):
+    return observe.refresh_summary(logs.dt_refresh_history(spark, sf_dir), fx.AS_OF, days=1)
+
+
+@register("history_like", f"""SELECT name, schema_name, count(*) AS refresh_count, CAST(300 AS BIGINT) AS target_lag_sec
+FROM ({logs.REFRESH_HISTORY_SQL}) h WHERE name LIKE 'DT_%' GROUP BY name, schema_name""")
+def q_history_like(spark, sf_dir):
+    return observe.table_listing(logs.dt_refresh_history(spark, sf_dir), pattern="DT_%")
+
+
+@register("freshness", f"""SELECT name,
+  max(CASE WHEN state = 'SUCCEEDED' THEN data_timestamp END) AS latest_data_timestamp,
+  arg_max(state, struct_pack(t := data_timestamp, q := query_id)) AS last_completed_refresh_state,
+  CAST(sum(CASE WHEN datediff('second', data_timestamp, refresh_end_time) <= 300 THEN 1 ELSE 0 END) AS DOUBLE)
+    / count(*) AS time_within_target_lag_ratio,
+  max(datediff('second', data_timestamp, refresh_end_time)) AS maximum_lag_sec,
+  CAST(300 AS BIGINT) AS target_lag_sec
+FROM ({logs.REFRESH_HISTORY_SQL}) h WHERE name LIKE 'DT_%' GROUP BY name""")
+def q_freshness(spark, sf_dir):
+    return refresh.freshness(logs.dt_refresh_history(spark, sf_dir), target_lag_sec=300)
+
+
+def _duck_step_msg():
+    secs = "datediff('second', started_at, ended_at)"
+    return (f"CASE WHEN error_message IS NOT NULL THEN 'ERROR: Failed to build ' || table_name || ' - ' || error_message "
+            f"ELSE 'SUCCESS: Built ' || table_name || ' with ' || CAST(row_count AS VARCHAR) || ' rows in ' || "
+            f"CAST({secs} AS VARCHAR) || ' seconds' END")
+
+
+@register("run_summary", f"""WITH s AS (SELECT *, {_duck_step_msg()} AS result FROM ({logs.STEPS_SQL}) x),
+r AS (SELECT run_id, min(started_at) AS run_started_at, max(ended_at) AS run_end,
+        CAST(sum(CASE WHEN result LIKE 'ERROR:%' THEN 1 ELSE 0 END) AS BIGINT) AS error_count,
+        max(CASE WHEN step = 'DEMOGRAPHICS TABLE' THEN result END) AS t0,
+        max(CASE WHEN step = 'SURVEY TABLE' THEN result END) AS t1
+      FROM s GROUP BY run_id)
+SELECT run_id, run_started_at, datediff('second', run_started_at, run_end) AS total_seconds, error_count,
+  CASE WHEN error_count > 0 THEN 'FAILED' ELSE 'SUCCESS' END AS status,
+  '=== GOLD LAYER BUILD SUMMARY ===' || chr(10) || 'Total execution time: ' ||
+  CAST(datediff('second', run_started_at, run_end) AS VARCHAR) || ' seconds' || chr(10) ||
+  'Errors encountered: ' || CAST(error_count AS VARCHAR) || chr(10) || chr(10) ||
+  'DEMOGRAPHICS TABLE: ' || coalesce(t0, '') || chr(10) || 'SURVEY TABLE: ' || coalesce(t1, '') AS summary
+FROM r""")
+def q_run_summary(spark, sf_dir):
+    return observe.run_summary(logs.build_steps(spark, sf_dir), logs.STEP_LABELS)
