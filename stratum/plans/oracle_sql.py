@@ -76,8 +76,9 @@ def json_text(pairs: list[tuple[str, str]]) -> str:
     """JSON object text with NULL-valued keys dropped, in the given key order,
     formatted as Spark's to_json writes it (no spaces)."""
     parts = []
-    for i, (key, expr) in enumerate(pairs):
-        parts.append(f"coalesce('\"{key}\":' || to_json({expr}), '')")
+    for key, expr in pairs:
+        value = expr[4:] if expr.startswith("RAW:") else f"to_json({expr})"
+        parts.append(f"coalesce('\"{key}\":' || {value}, '')")
     # join non-empty parts with commas
     joined = " || ".join(f"coalesce(nullif({p}, '') || ',', '')" for p in parts)
     return f"('{{' || rtrim({joined}, ',') || '}}')"
@@ -169,3 +170,26 @@ PARSED_LOG = f"""SELECT timestamp, record_type,
   {log_field('source')} AS source_object, {log_field('target')} AS target_object,
   {log_field('error_message')} AS error_message
 FROM ({PIPELINE_EVENTS}) e"""
+
+
+def json_ts(col: str) -> str:
+    """A timestamp as Spark's to_json writes it."""
+    return f"RAW:('\"' || strftime({col}, '%Y-%m-%dT%H:%M:%S.%g') || '\"')"
+
+
+def issue_row(issues_sql: str, *, check_name: str, layer: str, table_name: str,
+              sample: list[tuple[str, str]], array_key: str, ts: str = TS_AS_OF, limit: int = 10,
+              ts_keys: tuple[str, ...] = ()) -> str:
+    """Oracle of quality.issue_report: count + up to `limit` smallest sample objects.
+
+    `sample` = [(json key, SQL expr)]; keys in `ts_keys` are timestamps."""
+    cols = ", ".join(f"{expr} AS {key}" for key, expr in sample)
+    order = ", ".join(f"{key} ASC NULLS FIRST" for key, _ in sample)
+    item = json_text([(k, json_ts(k) if k in ts_keys else k) for k, _ in sample])
+    return f"""WITH issues AS ({issues_sql}),
+picked AS (SELECT * FROM (SELECT {cols} FROM issues) z ORDER BY {order} LIMIT {limit})
+SELECT '{check_name}' AS check_name, '{layer}' AS layer, '{table_name}' AS table_name,
+  (SELECT count(*) FROM issues) AS issue_count,
+  '{{"{array_key}":[' || coalesce((SELECT string_agg({item}, ',' ORDER BY {order}) FROM picked), '') || ']}}'
+    AS sample_details,
+  {ts} AS checked_at"""

@@ -310,3 +310,147 @@ SELECT run_id, run_started_at, datediff('second', run_started_at, run_end) AS to
 FROM r""")
 def q_run_summary(spark, sf_dir):
     return observe.run_summary(logs.build_steps(spark, sf_dir), logs.STEP_LABELS)
+
+
+# ----------------------------------------------------------- data quality ---
+
+from stratum.operators import quality  # noqa: E402
+from stratum.sources import tables  # noqa: E402
+from stratum.session import work_dir  # noqa: E402
+
+SCORES = list(staging.SURVEY_FIELDS)
+RANGE_SAMPLE = [("employee_number", "employee_number"), ("department", "department"),
+                ("satisfaction", "satisfaction_score"), ("work_life", "work_life_balance_score"),
+                ("career", "career_growth_score"), ("communication", "communication_score"),
+                ("teamwork", "teamwork_score"), ("staged_at", "staged_at"),
+                ("source_object", "source_object"), ("etl_run_id", "etl_run_id")]
+NULL_SAMPLE = [("employee_name", "employee_name")]
+CHECK_AS_OF_2 = "2024-01-31 00:01:00"
+
+
+def _null_check(raw, as_of):
+    return quality.null_check(raw, "employee_number", sample=NULL_SAMPLE, check_name="null_employee_number",
+                              layer="bronze", table_name=staging.RAW_TABLE, as_of=as_of)
+
+
+def _range_check(staged, as_of):
+    return quality.range_check(staged, SCORES, sample=RANGE_SAMPLE, check_name="invalid_survey_range",
+                               layer="silver", table_name=staging.STAGED_TABLE, as_of=as_of)
+
+
+_RANGE_BAD = " OR ".join(f"coalesce({c}, 0) NOT BETWEEN 1 AND 5" for c in SCORES)
+_STAGED_EVENTS = o.staged(o.RAW_EVENTS)
+
+
+def _null_oracle(raw_sql, ts=o.TS_AS_OF):
+    return o.issue_row(f"SELECT * FROM ({raw_sql}) r WHERE employee_number IS NULL", check_name="null_employee_number",
+                       layer="bronze", table_name=staging.RAW_TABLE, sample=NULL_SAMPLE, array_key="sample_rows", ts=ts)
+
+
+def _range_oracle(staged_sql, ts=o.TS_AS_OF):
+    return o.issue_row(f"SELECT * FROM ({staged_sql}) s WHERE {_RANGE_BAD}", check_name="invalid_survey_range",
+                       layer="silver", table_name=staging.STAGED_TABLE, sample=RANGE_SAMPLE, array_key="bad_rows",
+                       ts=ts, ts_keys=("staged_at",))
+
+
+register("null_check", _null_oracle(o.RAW_ORDERS))(
+    lambda spark, sf_dir: _null_check(fx.raw_from_orders(spark, sf_dir), fx.AS_OF))
+register("range_check", _range_oracle(_STAGED_EVENTS))(
+    lambda spark, sf_dir: _range_check(staged_events(spark, sf_dir), fx.AS_OF))
+
+# Fault injection (m4c3:120-124, made deterministic): score 99 on the smallest
+# staged key, NULL key on the smallest raw key; then the checks run again.
+_INJ_STAGED = (f"SELECT * REPLACE (CASE WHEN employee_number = (SELECT min(employee_number) FROM ({_STAGED_EVENTS}) m) "
+               f"THEN 99 ELSE satisfaction_score END AS satisfaction_score) FROM ({_STAGED_EVENTS}) s")
+_INJ_RAW = (f"SELECT * REPLACE (CASE WHEN employee_number = (SELECT min(employee_number) FROM ({o.RAW_ORDERS}) m) "
+            f"THEN NULL ELSE employee_number END AS employee_number) FROM ({o.RAW_ORDERS}) r")
+_TS2 = f"TIMESTAMP '{CHECK_AS_OF_2}'"
+
+
+def _injected_checks(spark, sf_dir):
+    raw = merge.update_where_in(fx.raw_from_orders(spark, sf_dir), "employee_number", None, "employee_number")
+    staged = merge.update_where_in(staged_events(spark, sf_dir), "satisfaction_score", 99, "employee_number")
+    return _null_check(raw, CHECK_AS_OF_2).unionByName(_range_check(staged, CHECK_AS_OF_2))
+
+
+def _all_checks(spark, sf_dir):
+    first = _null_check(fx.raw_from_orders(spark, sf_dir), fx.AS_OF).unionByName(
+        _range_check(staged_events(spark, sf_dir), fx.AS_OF))
+    return first.unionByName(_injected_checks(spark, sf_dir))
+
+
+def _union(*sqls: str) -> str:
+    return "\nUNION ALL\n".join(f"SELECT * FROM ({q}) u{i}" for i, q in enumerate(sqls))
+
+
+_INJECTED_RESULTS = _union(_null_oracle(_INJ_RAW, _TS2), _range_oracle(_INJ_STAGED, _TS2))
+_ALL_RESULTS = _union(_null_oracle(o.RAW_ORDERS), _range_oracle(_STAGED_EVENTS), _INJECTED_RESULTS)
+
+
+@register("dq_injected", _INJECTED_RESULTS)
+def q_dq_injected(spark, sf_dir):
+    return _injected_checks(spark, sf_dir)
+
+
+@register("dq_results", f"""SELECT * FROM ({_ALL_RESULTS}) x ORDER BY checked_at DESC, check_name, table_name LIMIT 50""")
+def q_dq_results(spark, sf_dir):
+    path = work_dir(spark, "data_quality_results")
+    for part in (_null_check(fx.raw_from_orders(spark, sf_dir), fx.AS_OF),
+                 _range_check(staged_events(spark, sf_dir), fx.AS_OF), _injected_checks(spark, sf_dir)):
+        tables.append_rows(part.select(*quality.RESULT_COLUMNS), path)
+    return quality.latest_results(tables.read_table(spark, path), 50)
+
+
+@register("dq_trend", f"""SELECT check_name, table_name, CAST(checked_at AS DATE) AS check_date, count(*) AS runs,
+  CAST(sum(issue_count) AS BIGINT) AS total_issues, max(issue_count) AS max_issues
+FROM ({_ALL_RESULTS}) x GROUP BY ALL""")
+def q_dq_trend(spark, sf_dir):
+    return quality.dq_trend(_all_checks(spark, sf_dir))
+
+
+_SCORE_CHECKS = {f"{c}_out_of_range": f"coalesce({c}, 0) NOT BETWEEN 1 AND 5" for c in SCORES}
+_SCORE_CHECKS["null_employee_number"] = "employee_number IS NULL"
+_SCORE_CHECKS["null_department"] = "department IS NULL"
+
+
+@register("quality_score", "\nUNION ALL\n".join(
+    f"""SELECT '{name}' AS check_name, '{staging.STAGED_TABLE}' AS table_name, count(*) AS rows_checked,
+  count(*) FILTER (WHERE {cond}) AS issue_count,
+  CAST(count(*) - count(*) FILTER (WHERE {cond}) AS DOUBLE) / count(*) AS quality_score
+FROM ({_STAGED_EVENTS}) s""" for name, cond in _SCORE_CHECKS.items()))
+def q_quality_score(spark, sf_dir):
+    checks = {name: F.expr(cond) for name, cond in _SCORE_CHECKS.items()}
+    return quality.quality_score(staged_events(spark, sf_dir), checks, table_name=staging.STAGED_TABLE)
+
+
+_ORPHANS = fx.sql_select(fx.ORDERS_WITH_ORPHANS, "orders")
+REF_SAMPLE = [("o_orderkey", "o_orderkey"), ("o_custkey", "o_custkey")]
+
+
+@register("ref_check", o.issue_row(
+    f"SELECT * FROM ({_ORPHANS}) x WHERE o_custkey IS NOT NULL AND o_custkey NOT IN (SELECT c_custkey FROM customer)",
+    check_name="orphan_o_custkey", layer="bronze", table_name="orders", sample=REF_SAMPLE, array_key="sample_rows"))
+def q_ref_check(spark, sf_dir):
+    orders = fx.table(spark, sf_dir, "orders").selectExpr(*fx.ORDERS_WITH_ORPHANS)
+    return quality.ref_check(orders, "o_custkey", fx.table(spark, sf_dir, "customer"), "c_custkey",
+                             sample=REF_SAMPLE, check_name="orphan_o_custkey", layer="bronze",
+                             table_name="orders", as_of=fx.AS_OF)
+
+
+# Reject rules: unparseable survey text; any score wider than 100.
+_REJECT_SQL = {
+    "invalid_survey_json": "engagement_survey IS NOT NULL AND NOT json_valid(engagement_survey)",
+    "score_overflow": " OR ".join(f"coalesce({c}, 0) > 100" for c in SCORES),
+}
+
+
+@register("quarantine", f"""SELECT employee_number, department, engagement_survey, reject_reason FROM (
+  SELECT *, concat_ws(',', {', '.join(f"CASE WHEN {c} THEN '{n}' END" for n, c in _REJECT_SQL.items())}) AS reject_reason
+  FROM ({_STAGED_EVENTS}) s) x
+WHERE reject_reason <> ''""")
+def q_quarantine(spark, sf_dir):
+    rules = {"invalid_survey_json": F.col("engagement_survey").isNotNull()
+             & F.try_parse_json(F.col("engagement_survey")).isNull(),
+             "score_overflow": quality.any_of([F.coalesce(F.col(c), F.lit(0)) > 100 for c in SCORES])}
+    _, rejected = quality.quarantine(staged_events(spark, sf_dir), rules)
+    return rejected.select("employee_number", "department", "engagement_survey", "reject_reason")
