@@ -52,3 +52,11 @@ def with_json_number_fields(df: DataFrame, json_col: str, fields: Mapping[str, s
         *[F.col(c) for c in df.columns],
         *[try_to_number(F.col(tmp).getField(key)).alias(name) for name, key in fields.items()],
     )
+
+
+def flatten_object(df: DataFrame, json_col: str, keep: Sequence[str] = ()) -> DataFrame:
+    """LATERAL FLATTEN of a JSON object: one row per key with the value's text
+    (strings unquoted, nested values as compact JSON, JSON null as NULL).
+    Rows whose text is not a JSON object yield no rows."""
+    as_map = F.from_json(F.col(json_col), T.MapType(T.StringType(), T.StringType()))
+    return df.select(*keep, F.explode(as_map).alias("key", "value"))

@@ -454,3 +454,173 @@ def q_quarantine(spark, sf_dir):
              "score_overflow": quality.any_of([F.coalesce(F.col(c), F.lit(0)) > 100 for c in SCORES])}
     _, rejected = quality.quarantine(staged_events(spark, sf_dir), rules)
     return rejected.select("employee_number", "department", "engagement_survey", "reject_reason")
+
+
+# ------------------------------------------------ sources, sinks, streams ---
+
+from stratum.sources import files  # noqa: E402
+from stratum.streaming import ingest  # noqa: E402
+
+FILE_PATTERN = "employee_data_part_*.parquet"
+
+
+def _landing_frame(spark, sf_dir, odd_case: bool = True):
+    """Raw rows as a source system delivers them: mixed-case column names, one
+    column missing (hours_absent), one extra, and a slice number 1..5."""
+    raw = fx.raw_from_events(spark, sf_dir)
+    cols = [F.col(c).alias((c.upper() if i % 2 == 0 else c.title()) if odd_case else c)
+            for i, c in enumerate(raw.columns) if c != "hours_absent"]
+    return raw.select(*cols, F.lit("ignored").alias("EXTRA_COL"),
+                      (F.col("employee_number") % 5 + 1).cast("int").alias("__slice"))
+
+
+def _land(spark, sf_dir, landing, slices, prefix="employee_data_part", fmt="parquet"):
+    df = _landing_frame(spark, sf_dir, odd_case=(fmt != "json")).filter(F.col("__slice").isin(*slices))
+    return files.land_files(spark, df, "__slice", landing, prefix, fmt=fmt,
+                            options={"header": "true"} if fmt == "csv" else None)
+
+
+def _raw_schema(spark, sf_dir):
+    return fx.raw_from_events(spark, sf_dir).schema
+
+
+_RAW_NO_HOURS = o.RAW_EVENTS.replace("value / 4 AS hours_absent", "CAST(NULL AS DOUBLE) AS hours_absent")
+
+
+@register("load_parquet_by_name", _RAW_NO_HOURS)
+def q_load_parquet_by_name(spark, sf_dir):
+    landing = work_dir(spark, "landing")
+    _land(spark, sf_dir, landing, [1, 2, 3, 4, 5])
+    _land(spark, sf_dir, landing, [1], prefix="employee_archive")  # must not match the pattern
+    return files.load_by_name(spark, landing, _raw_schema(spark, sf_dir), pattern=FILE_PATTERN)
+
+
+@register("load_csv", _RAW_NO_HOURS)
+def q_load_csv(spark, sf_dir):
+    landing = work_dir(spark, "landing_csv")
+    _land(spark, sf_dir, landing, [1, 2, 3, 4, 5], fmt="csv")
+    return files.load_by_name(spark, landing, _raw_schema(spark, sf_dir), fmt="csv",
+                              pattern="employee_data_part_*.csv")
+
+
+@register("load_json", _RAW_NO_HOURS)
+def q_load_json(spark, sf_dir):
+    landing = work_dir(spark, "landing_json")
+    _land(spark, sf_dir, landing, [1, 2, 3, 4, 5], fmt="json")
+    return files.load_by_name(spark, landing, _raw_schema(spark, sf_dir), fmt="json",
+                              pattern="employee_data_part_*.json")
+
+
+@register("ingest_new_files", f"SELECT * FROM ({_RAW_NO_HOURS}) r WHERE employee_number % 5 + 1 IN (4, 5)")
+def q_ingest_new_files(spark, sf_dir):
+    """Two pipe refreshes: the second loads only the two files landed in between."""
+    root, landing = work_dir(spark, "pipe"), work_dir(spark, "landing")
+    schema = _raw_schema(spark, sf_dir)
+    args = dict(schema=schema, pattern=FILE_PATTERN)
+    _land(spark, sf_dir, landing, [1, 2, 3])
+    ingest.ingest_new_files(spark, landing, f"{root}/raw", f"{root}/_ckpt", run_id=fx.PREVIOUS_RUN_ID, **args)
+    _land(spark, sf_dir, landing, [4, 5])
+    second = ingest.ingest_new_files(spark, landing, f"{root}/raw", f"{root}/_ckpt", run_id=fx.RUN_ID, **args)
+    return second.drop(ingest.FILE_COL, ingest.RUN_COL)
+
+
+@register("load_history")
+def q_load_history(spark, sf_dir):
+    """Per-file load log of two refreshes, read back for the last 10 minutes."""
+    root, landing = work_dir(spark, "pipe"), work_dir(spark, "landing")
+    schema = _raw_schema(spark, sf_dir)
+    hist = f"{root}/_load_history"
+    for run_id, as_of, slices in ((fx.PREVIOUS_RUN_ID, "2024-01-30 23:55:00", [1, 2, 3]),
+                                  (fx.RUN_ID, fx.AS_OF, [4, 5])):
+        _land(spark, sf_dir, landing, slices)
+        rows = ingest.ingest_new_files(spark, landing, f"{root}/raw", f"{root}/_ckpt", schema,
+                                       run_id=run_id, pattern=FILE_PATTERN)
+        tables.append_rows(ingest.load_history(rows, table_name=staging.RAW_TABLE, as_of=as_of), hist)
+    return ingest.recent_loads(tables.read_table(spark, hist), fx.AS_OF, minutes=10)
+
+
+def _pipeline_runs(spark, sf_dir):
+    root, landing = work_dir(spark, "elt"), work_dir(spark, "landing")
+    p = ingest.IncrementalPipeline(spark, root, landing, _raw_schema(spark, sf_dir), pattern=FILE_PATTERN)
+    _land(spark, sf_dir, landing, [1, 2, 3])
+    p.run(fx.PREVIOUS_RUN_ID, fx.PREVIOUS_AS_OF)
+    _land(spark, sf_dir, landing, [4, 5])
+    p.run(fx.RUN_ID, fx.AS_OF)
+    p.run("run-0002", "2024-01-31 00:05:00")  # nothing new: the gate keeps version 2
+    return p
+
+
+_STREAM_STAGED_ALL = o.staged(_RAW_NO_HOURS, source_object=staging.RAW_STREAM)
+
+
+@register("incremental_run", o.survey_mart(_STREAM_STAGED_ALL))
+def q_incremental_run(spark, sf_dir):
+    return _pipeline_runs(spark, sf_dir).mart("survey_results")
+
+
+@register("dt_stage", o.staged(_RAW_NO_HOURS, run_id=None, process_type="dt_refresh"))
+def q_dt_stage(spark, sf_dir):
+    root, landing = work_dir(spark, "dt"), work_dir(spark, "landing")
+    schema = _raw_schema(spark, sf_dir)
+    _land(spark, sf_dir, landing, [1, 2, 3])
+    ingest.staged_stream(spark, landing, schema, f"{root}/stg", f"{root}/_ckpt", pattern=FILE_PATTERN, as_of=fx.AS_OF)
+    _land(spark, sf_dir, landing, [4, 5])
+    return ingest.staged_stream(spark, landing, schema, f"{root}/stg", f"{root}/_ckpt",
+                                pattern=FILE_PATTERN, as_of=fx.AS_OF)
+
+
+# ------------------------------------------------------------ table writes ---
+
+@register("replace_table", o.demographics_mart(o.staged(o.RAW_ORDERS)))
+def q_replace_table(spark, sf_dir):
+    path = work_dir(spark, "demographics")
+    tables.replace_table(marts.demographics(staged_orders(spark, sf_dir), as_of=fx.PREVIOUS_AS_OF,
+                                            run_id=fx.PREVIOUS_RUN_ID), path)
+    return tables.replace_table(marts.demographics(staged_orders(spark, sf_dir), as_of=fx.AS_OF,
+                                                   run_id=fx.RUN_ID), path)
+
+
+@register("survey_via_temp", o.survey_mart(o.staged(o.RAW_EVENTS)))
+def q_survey_via_temp(spark, sf_dir):
+    tmp = marts.survey_results(staged_events(spark, sf_dir), as_of=fx.AS_OF, run_id=fx.RUN_ID)
+    return tables.replace_table(tmp.select("*"), work_dir(spark, "survey_results"))
+
+
+@register("survey_via_view", o.survey_mart(o.staged(o.RAW_EVENTS)))
+def q_survey_via_view(spark, sf_dir):
+    marts.survey_results(staged_events(spark, sf_dir), as_of=fx.AS_OF, run_id=fx.RUN_ID) \
+        .createOrReplaceTempView("v_survey_results_by_department")
+    return spark.table("v_survey_results_by_department")
+
+
+_ADDED = [(name, "bigint", None) for name in staging.SURVEY_FIELDS] + [
+    ("staged_at", "timestamp_ntz", None), ("source_object", "string", staging.RAW_TABLE),
+    ("etl_run_id", "string", None)]
+
+
+@register("evolve_schema", f"""SELECT r.*, {', '.join(f'CAST(NULL AS BIGINT) AS {n}' for n in staging.SURVEY_FIELDS)},
+  CAST(NULL AS TIMESTAMP) AS staged_at, '{staging.RAW_TABLE}' AS source_object, CAST(NULL AS VARCHAR) AS etl_run_id
+FROM ({o.RAW_EVENTS}) r""")
+def q_evolve_schema(spark, sf_dir):
+    return staging.evolve_schema(fx.raw_from_events(spark, sf_dir), _ADDED)
+
+
+@register("append_select", o.staged(o.RAW_EVENTS))
+def q_append_select(spark, sf_dir):
+    """CREATE TABLE LIKE + ADD COLUMNs, then INSERT INTO (cols) SELECT leaving
+    source_object to its default."""
+    path = work_dir(spark, "employee_data_stg")
+    raw = fx.raw_from_events(spark, sf_dir)
+    target = staging.empty_like(raw, _ADDED)
+    tables.replace_table(target, path)
+    listed = staging.stage_rows(raw, as_of=fx.AS_OF, run_id=fx.RUN_ID).drop("source_object")
+    tables.append_rows(staging.conform(listed, target.schema, {"source_object": staging.RAW_TABLE}), path)
+    return tables.read_table(spark, path)
+
+
+@register("flatten_json", f"""SELECT e.employee_number, j.key AS key, json_extract_string(j.value, '$') AS value
+FROM ({o.RAW_EVENTS}) e, json_each(e.engagement_survey) j
+WHERE json_valid(e.engagement_survey)""")
+def q_flatten_json(spark, sf_dir):
+    from stratum.functions.json_fields import flatten_object
+    return flatten_object(fx.raw_from_events(spark, sf_dir), "engagement_survey", keep=["employee_number"])
