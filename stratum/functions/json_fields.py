@@ -42,13 +42,17 @@ def json_number_fields(json_text: Column, fields: Mapping[str, str]) -> list[Col
 def with_json_number_fields(df: DataFrame, json_col: str, fields: Mapping[str, str]) -> DataFrame:
     """Append the numeric fields of the JSON text column `json_col` to `df`.
 
-    Two projections: the first materialises the parsed struct, the second reads
-    its fields. Catalyst does not collapse a projection whose non-trivial
-    expression is referenced several times, so the text is parsed once.
+    The text is parsed exactly once per row: the parsed struct is produced by
+    a generator (`explode` of a one-element array), which predicates cannot
+    be pushed beneath. Without it, a filter on a score (a range check, a
+    reject rule) is pushed below the projection with the parse inlined into
+    it -- one `from_json` per field per comparison. A NULL or malformed text
+    still yields its row, with NULL fields.
     """
     tmp = "__json_fields"
-    parsed = df.withColumn(tmp, F.from_json(F.col(json_col), _string_struct(list(fields.values()))))
-    return parsed.select(
+    parsed = F.from_json(F.col(json_col), _string_struct(list(fields.values())))
+    exploded = df.select(*[F.col(c) for c in df.columns], F.explode(F.array(parsed)).alias(tmp))
+    return exploded.select(
         *[F.col(c) for c in df.columns],
         *[try_to_number(F.col(tmp).getField(key)).alias(name) for name, key in fields.items()],
     )

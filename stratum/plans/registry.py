@@ -110,7 +110,8 @@ def orders_target(spark, sf_dir):
         staging.lineage_stamps(fx.PREVIOUS_AS_OF, staging.RAW_TABLE, fx.PREVIOUS_RUN_ID))
 
 
-STREAM_STAMPS = staging.lineage_stamps(fx.AS_OF, staging.RAW_STREAM, fx.RUN_ID)
+def stream_stamps():
+    return staging.lineage_stamps(fx.AS_OF, staging.RAW_STREAM, fx.RUN_ID)
 
 
 @register("snapshot_diff", o.DIFF)
@@ -126,7 +127,7 @@ def q_has_changes(spark, sf_dir):
 @register("merge_changes", o.MERGED)
 def q_merge_changes(spark, sf_dir):
     return merge.merge_changes(orders_target(spark, sf_dir), orders_feed(spark, sf_dir), "o_orderkey",
-                               stamps=STREAM_STAMPS)
+                               stamps=stream_stamps())
 
 
 @register("merge_counts", o.MERGE_COUNTS)
