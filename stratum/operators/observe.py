@@ -78,9 +78,12 @@ def parse_log(events: DataFrame) -> DataFrame:
     """Typed fields out of the scope and payload JSON (parsed once each)."""
     p = F.from_json(F.col("value"), _strings(READ_KEYS))
     s = F.from_json(F.col("scope"), _strings(["name"]))
+    # One parse per row: the generator keeps later filters (on pipeline,
+    # status) from being pushed beneath it with the parse inlined.
+    parsed = F.explode(F.array(F.struct(s.alias("s"), p.alias("p"))))
     return events.select(
-        "timestamp", "record_type", s.alias("__s"), p.alias("__p")
-    ).select(
+        "timestamp", "record_type", parsed.alias("__j")
+    ).select("timestamp", "record_type", F.col("__j.s").alias("__s"), F.col("__j.p").alias("__p")).select(
         "timestamp", "record_type",
         F.col("__s.name").alias("scope_name"),
         F.col("__p.run_id").alias("run_id"),

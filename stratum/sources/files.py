@@ -61,11 +61,15 @@ def land_files(spark: SparkSession, df: DataFrame, slice_col: str, dest: str, pr
         if not name.startswith(f"{slice_col}="):
             continue
         sl = int(name.split("=", 1)[1])
-        files = sorted(f.getPath() for f in fs.listStatus(part_dir.getPath())
-                       if f.getPath().getName().startswith("part-"))
-        for n, f in enumerate(files):
+        files = sorted((f.getPath() for f in fs.listStatus(part_dir.getPath())
+                        if f.getPath().getName().startswith("part-")), key=lambda p: p.getName())
+        n = 0
+        for f in files:
+            while fs.exists(spark._jvm.org.apache.hadoop.fs.Path(dest_path, f"{prefix}_{sl:02d}_{n}.{fmt}")):
+                n += 1
             target = f"{prefix}_{sl:02d}_{n}.{fmt}"
-            fs.rename(f, spark._jvm.org.apache.hadoop.fs.Path(dest_path, target))
+            if not fs.rename(f, spark._jvm.org.apache.hadoop.fs.Path(dest_path, target)):
+                raise OSError(f"could not land {f} as {target}")
             landed.append(target)
     return landed
 

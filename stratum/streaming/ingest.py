@@ -15,7 +15,7 @@ run: it picks up every raw partition whose run id is not yet merged.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -94,6 +94,9 @@ def staged_stream(spark: SparkSession, landing: str, schema: T.StructType, sink:
     return spark.read.schema(staged.schema).parquet(sink)
 
 
+DEFAULT_MARTS = {"demographics": marts.demographics, "survey_results": marts.survey_results}
+
+
 class IncrementalPipeline:
     """Raw files -> raw table -> staged table (MERGE by key) -> rebuilt marts.
 
@@ -103,9 +106,11 @@ class IncrementalPipeline:
     """
 
     def __init__(self, spark: SparkSession, root: str, landing: str, schema: T.StructType, *,
-                 key: str = "employee_number", pattern: str | None = None, group: str = "department"):
+                 key: str = "employee_number", pattern: str | None = None, group: str = "department",
+                 mart_builders: Mapping[str, Callable[..., DataFrame]] | None = None):
         self.spark, self.root, self.landing, self.schema = spark, root.rstrip("/"), landing, schema
         self.key, self.pattern, self.group = key, pattern, group
+        self.mart_builders = dict(mart_builders or DEFAULT_MARTS)
         self.raw = f"{self.root}/raw"
         self.checkpoint = f"{self.root}/_checkpoints/raw"
         self.staged_root = f"{self.root}/staged"
@@ -156,10 +161,9 @@ class IncrementalPipeline:
         silver = tables.publish_snapshot(
             merge.merge_changes(self.staged(), staged_feed, self.key, stamps=stamps),
             self.staged_root, version)
-        tables.publish_snapshot(marts.demographics(silver, group=self.group, as_of=as_of, run_id=run_id),
-                                f"{self.root}/demographics", version)
-        tables.publish_snapshot(marts.survey_results(silver, group=self.group, as_of=as_of, run_id=run_id),
-                                f"{self.root}/survey_results", version)
+        for name, build in self.mart_builders.items():
+            tables.publish_snapshot(build(silver, group=self.group, as_of=as_of, run_id=run_id),
+                                    f"{self.root}/{name}", version)
         runs = [(version, r) for r in sorted({run_id, *[r[0] for r in pending.select(RUN_COL).distinct().collect()]})]
         tables.append_rows(self.spark.createDataFrame(runs, "version BIGINT, run_id STRING"), self.versions)
         return {"run_id": run_id, "merged": True, "version": version}
