@@ -39,25 +39,34 @@ def any_null(keys: list[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
 
 
+NULL_SPREAD = "__nk"
+
+
+def null_spread(keys: list[str], cols: list[str]) -> Column:
+    """Extra join key: 0 for rows with a full key, a row hash for rows with a NULL
+    key part. NULL keys still never match (NULL = x is never true), but they
+    hash to many partitions instead of all landing in one task."""
+    return F.when(any_null(keys), F.xxhash64(*[F.col(c) for c in cols])).otherwise(F.lit(0).cast("bigint"))
+
+
 def snapshot_diff(before: DataFrame, after: DataFrame, key: str | list[str], *,
                   action_col: str = ACTION, update_col: str = IS_UPDATE) -> DataFrame:
     keys = _keys(key)
     cols = before.columns
     tagged = (before.select(*cols, F.lit(-1).alias("__w"))
               .unionByName(after.select(*cols, F.lit(1).alias("__w"))))
-    net = tagged.groupBy(*cols).agg(F.sum("__w").alias("__n")).filter(F.col("__n") != 0)
+    net = (tagged.groupBy(*cols).agg(F.sum("__w").alias("__n")).filter(F.col("__n") != 0)
+           .withColumn(NULL_SPREAD, null_spread(keys, cols)))
 
-    null_key = any_null(keys)
-    keyed = net.filter(~null_key)
     pairs = (
-        keyed.groupBy(*keys)
+        net.filter(F.col(NULL_SPREAD) == 0)
+        .groupBy(*keys, NULL_SPREAD)
         .agg(F.sum(F.when(F.col("__n") < 0, -F.col("__n")).otherwise(0)).alias("__d"),
              F.sum(F.when(F.col("__n") > 0, F.col("__n")).otherwise(0)).alias("__i"))
         .filter((F.col("__d") == 1) & (F.col("__i") == 1))
-        .select(*keys, F.lit(True).alias(update_col))
+        .select(*keys, NULL_SPREAD, F.lit(True).alias(update_col))
     )
-    flagged = keyed.join(pairs, on=keys, how="left").unionByName(
-        net.filter(null_key).withColumn(update_col, F.lit(None).cast("boolean")))
+    flagged = net.join(pairs, on=[*keys, NULL_SPREAD], how="left")
     return (
         flagged.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.abs(F.col("__n")).cast("int"))))
         .select(*cols,

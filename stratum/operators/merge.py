@@ -18,12 +18,15 @@ dropped before matching; otherwise one target row would meet two fates.
 Two or more DELETE/UPDATE feed rows for one existing key are an error,
 raised inside the plan (`raise_error`), never resolved arbitrarily.
 
-Plan: the feed is first reduced to one row per key (partial aggregation, so
-a hot key costs one row per task); target rows then meet that summary in a
+Plan: the feed is first reduced to one row per key -- fixed-width counts in a
+hash aggregate (partial aggregation, so a hot key costs one row per task),
+plus the key's single update row; target rows then meet that summary in a
 left join (AQE splits a skewed target partition and broadcasts a small
 summary at run time); new keys come from a left anti join of the feed's
-INSERT rows against target keys. NULL keys skip both joins. No full outer
-join and no per-key collection of rows.
+INSERT rows against target keys. Rows with a NULL key carry an extra join
+key (a row hash) so they never match and never pile into one task. No full
+outer join and no per-key collection of rows. Pass a materialized feed (a
+written table): the plan reads it more than once.
 """
 
 from __future__ import annotations
@@ -33,7 +36,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratum.operators.changes import ACTION, IS_UPDATE, _keys, any_null
+from stratum.operators.changes import ACTION, IS_UPDATE, NULL_SPREAD, _keys, any_null, null_spread
 
 FATE = "_fate"
 
@@ -43,15 +46,18 @@ def _plan(target: DataFrame, changes: DataFrame, keys: list[str], action_col: st
     is_upd = F.coalesce(F.col(update_col), F.lit(False))
     src = changes.filter(~((action == "DELETE") & is_upd))
     value_cols = [c for c in target.columns if c in changes.columns and c not in keys]
-
-    per_key = (
-        src.filter(~any_null(keys))
-        .groupBy(*keys)
-        .agg(F.count_if(action == "DELETE").alias("__del"),
-             F.count_if((action == "INSERT") & is_upd).alias("__upd"),
-             F.max(F.when((action == "INSERT") & is_upd, F.struct(*value_cols))).alias("__new"))
-    )
-    matched = target.filter(~any_null(keys)).join(per_key, on=keys, how="left")
+    on = [*keys, NULL_SPREAD]
+
+    # Per key: how many DELETE and INSERT+update rows (fixed-width counts, so a
+    # hash aggregate), then the one update row's values joined on.
+    counts = (src.filter(~any_null(keys)).groupBy(*keys)
+              .agg(F.count_if(action == "DELETE").alias("__del"),
+                   F.count_if((action == "INSERT") & is_upd).alias("__upd")))
+    updates = (src.filter((action == "INSERT") & is_upd & ~any_null(keys))
+               .select(*keys, F.struct(*value_cols).alias("__new")))
+    per_key = counts.join(updates, on=keys, how="left").withColumn(NULL_SPREAD, F.lit(0).cast("bigint"))
+
+    matched = target.withColumn(NULL_SPREAD, null_spread(keys, target.columns)).join(per_key, on=on, how="left")
     fate = (
         F.when(F.col("__del") + F.col("__upd") > 1,
                F.raise_error(F.lit("MERGE: several DELETE/UPDATE changes for one key")).cast("string"))
@@ -60,15 +66,12 @@ def _plan(target: DataFrame, changes: DataFrame, keys: list[str], action_col: st
         .when(F.col("__del").isNotNull(), F.lit("IGNORED"))
         .otherwise(F.lit("KEEP"))
     )
-    target_fates = matched.withColumn(FATE, fate).unionByName(
-        target.filter(any_null(keys)).withColumns(
-            {"__del": F.lit(None).cast("bigint"), "__upd": F.lit(None).cast("bigint"),
-             "__new": F.lit(None).cast(per_key.schema["__new"].dataType), FATE: F.lit("KEEP")}))
-
-    inserts_src = src.filter(action == "INSERT")
-    inserts = (inserts_src.filter(~any_null(keys))
-               .join(target.select(*keys), on=keys, how="left_anti")
-               .unionByName(inserts_src.filter(any_null(keys))))
+    target_fates = matched.withColumn(FATE, fate)
+
+    target_keys = target.filter(~any_null(keys)).select(*keys, F.lit(0).cast("bigint").alias(NULL_SPREAD))
+    inserts = (src.filter(action == "INSERT")
+               .withColumn(NULL_SPREAD, null_spread(keys, src.columns))
+               .join(target_keys, on=on, how="left_anti"))
     return target_fates, inserts, value_cols
 
 

@@ -105,6 +105,13 @@ def orders_feed(spark, sf_dir):
     return changes.snapshot_diff(fx.orders_before(spark, sf_dir), fx.orders_after(spark, sf_dir), "o_orderkey")
 
 
+def stored_feed(feed):
+    """The change feed as a table (what a table stream is): computed once, read by MERGE."""
+    from stratum.session import work_dir as _wd
+    from stratum.sources.tables import materialize
+    return materialize(feed, _wd(feed.sparkSession, "feed"))
+
+
 def orders_target(spark, sf_dir):
     return fx.orders_before(spark, sf_dir).withColumns(
         staging.lineage_stamps(fx.PREVIOUS_AS_OF, staging.RAW_TABLE, fx.PREVIOUS_RUN_ID))
@@ -126,13 +133,13 @@ def q_has_changes(spark, sf_dir):
 
 @register("merge_changes", o.MERGED)
 def q_merge_changes(spark, sf_dir):
-    return merge.merge_changes(orders_target(spark, sf_dir), orders_feed(spark, sf_dir), "o_orderkey",
+    return merge.merge_changes(orders_target(spark, sf_dir), stored_feed(orders_feed(spark, sf_dir)), "o_orderkey",
                                stamps=stream_stamps())
 
 
 @register("merge_counts", o.MERGE_COUNTS)
 def q_merge_counts(spark, sf_dir):
-    return merge.merge_counts(orders_target(spark, sf_dir), orders_feed(spark, sf_dir), "o_orderkey")
+    return merge.merge_counts(orders_target(spark, sf_dir), stored_feed(orders_feed(spark, sf_dir)), "o_orderkey")
 
 
 @register("update_where_in", f"""WITH r AS ({o.RAW_ORDERS})
@@ -160,7 +167,7 @@ DT_SOURCE = staging.STAGED_REFRESHED
 
 def _dt_demographics(spark, sf_dir):
     before, after = fx.orders_before(spark, sf_dir), fx.orders_after(spark, sf_dir)
-    feed = changes.snapshot_diff(before, after, "o_orderkey")
+    feed = changes.snapshot_diff(before, after, "o_orderkey")  # read once: no need to store it
     measures = refresh.demographics_measures()
     state = refresh.mart_state(before.selectExpr(*fx.RAW_FROM_ORDERS), ["department"], measures)
     delta_rows = feed.selectExpr(*fx.RAW_FROM_ORDERS, "_action")
@@ -171,7 +178,7 @@ def _dt_demographics(spark, sf_dir):
 
 def _dt_survey(spark, sf_dir):
     before, after = fx.events_before(spark, sf_dir), fx.events_after(spark, sf_dir)
-    feed = changes.snapshot_diff(before, after, "event_id")
+    feed = changes.snapshot_diff(before, after, "event_id")  # read once: no need to store it
     measures = refresh.survey_measures()
     stage = lambda raw: staging.stage_rows(raw, as_of=fx.AS_OF, process_type="dt_refresh")
     state = refresh.mart_state(stage(before.selectExpr(*fx.RAW_FROM_EVENTS)), ["department"], measures)

@@ -36,3 +36,15 @@ def publish_snapshot(df: DataFrame, root: str, version: int) -> DataFrame:
     path = snapshot_path(root, version)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def materialize(df: DataFrame, path: str) -> DataFrame:
+    """Write `df` once as a table in the shared folder and read it back.
+
+    For an intermediate result that later plans read more than once (a change
+    feed consumed by MERGE): they scan the written files instead of
+    recomputing it, and the lineage is cut, so a lost executor costs a
+    re-read of files rather than a recompute of the whole upstream plan.
+    """
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
