@@ -49,6 +49,8 @@ def with_json_number_fields(df: DataFrame, json_col: str, fields: Mapping[str, s
     it -- one `from_json` per field per comparison. A NULL or malformed text
     still yields its row, with NULL fields.
     """
+    from stratum.sources.tables import spread_input
+    df = spread_input(df)
     tmp = "__json_fields"
     parsed = F.from_json(F.col(json_col), _string_struct(list(fields.values())))
     exploded = df.select(*[F.col(c) for c in df.columns], F.explode(F.array(parsed)).alias(tmp))
@@ -62,5 +64,6 @@ def flatten_object(df: DataFrame, json_col: str, keep: Sequence[str] = ()) -> Da
     """LATERAL FLATTEN of a JSON object: one row per key with the value's text
     (strings unquoted, nested values as compact JSON, JSON null as NULL).
     Rows whose text is not a JSON object yield no rows."""
+    from stratum.sources.tables import spread_input
     as_map = F.from_json(F.col(json_col), T.MapType(T.StringType(), T.StringType()))
-    return df.select(*keep, F.explode(as_map).alias("key", "value"))
+    return spread_input(df).select(*keep, F.explode(as_map).alias("key", "value"))

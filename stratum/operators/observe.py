@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from stratum.functions.json_fields import try_to_number
 from stratum.functions.scalars import avg_exact, json_object, seconds_between, ts_literal
+from stratum.sources.tables import spread_input
 
 # The payload keys of a pipeline log record, in writing order.
 LOG_KEYS = ["component", "run_id", "pipeline", "stage", "status", "source", "target",
@@ -63,7 +64,7 @@ def event_rows(runs: DataFrame, *, include_spans: bool = False) -> DataFrame:
                rec(F.col("ended_at"), "LOG", F.when(failed, "ERROR").otherwise("INFO"), finished)]
     if include_spans:
         records.append(rec(F.col("started_at"), "SPAN", F.lit("INFO"), F.lit(None).cast("string")))
-    return runs.select(F.explode(F.array(*records)).alias("r")).select("r.*")
+    return spread_input(runs).select(F.explode(F.array(*records)).alias("r")).select("r.*")
 
 
 def event_recent(events: DataFrame, k: int = 50, types: Sequence[str] = ("EVENT", "LOG", "INFO")) -> DataFrame:
@@ -81,7 +82,7 @@ def parse_log(events: DataFrame) -> DataFrame:
     # One parse per row: the generator keeps later filters (on pipeline,
     # status) from being pushed beneath it with the parse inlined.
     parsed = F.explode(F.array(F.struct(s.alias("s"), p.alias("p"))))
-    return events.select(
+    return spread_input(events).select(
         "timestamp", "record_type", parsed.alias("__j")
     ).select("timestamp", "record_type", F.col("__j.s").alias("__s"), F.col("__j.p").alias("__p")).select(
         "timestamp", "record_type",

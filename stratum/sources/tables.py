@@ -48,3 +48,19 @@ def materialize(df: DataFrame, path: str) -> DataFrame:
     """
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def spread_input(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Give the input of a CPU-heavy row-wise step at least the session's parallelism.
+
+    A file written as one row group scans as one task however many cores
+    wait, so a CPU-heavy step after it (JSON parsing) runs serially. When the
+    scan has fewer partitions than `min_partitions` (default: the default
+    parallelism), rows are dealt round-robin to that many partitions; a large
+    input -- many files or row groups -- is returned untouched, so at scale
+    this adds nothing. Filters and column pruning still reach the scan.
+    """
+    if df.isStreaming:
+        return df
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
