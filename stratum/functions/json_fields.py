@@ -1,4 +1,4 @@
-"""Numbers out of JSON text (PARSE_JSON + path + TO_VARCHAR + TRY_TO_NUMBER + ::INT).
+"""Numbers out of JSON text: parse, pick a key, read its text as a number, keep it whole.
 
 Semantics kept from the reference's staging step:
   * malformed text, missing key, JSON null            -> NULL
@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 
 def try_to_number(text: Column) -> Column:
-    """TRY_TO_NUMBER(text)::INT -> bigint, NULL when the text is not a number."""
+    """Text -> bigint (rounded half away from zero); NULL when the text is not a number."""
     return text.try_cast("decimal(38,0)").try_cast("bigint")
 
 
@@ -61,7 +61,7 @@ def with_json_number_fields(df: DataFrame, json_col: str, fields: Mapping[str, s
 
 
 def flatten_object(df: DataFrame, json_col: str, keep: Sequence[str] = ()) -> DataFrame:
-    """LATERAL FLATTEN of a JSON object: one row per key with the value's text
+    """Flatten a JSON object laterally: one row per key with the value's text
     (strings unquoted, nested values as compact JSON, JSON null as NULL).
     Rows whose text is not a JSON object yield no rows."""
     from stratum.sources.tables import spread_input

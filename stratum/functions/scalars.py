@@ -17,7 +17,7 @@ def ts_literal(value: str | _dt.datetime) -> Column:
 
 
 def nullifzero(c: Column) -> Column:
-    """NULLIFZERO: 0 -> NULL, anything else unchanged."""
+    """Zero becomes NULL, anything else is unchanged."""
     return F.nullif(c, F.lit(0))
 
 
@@ -39,5 +39,5 @@ def seconds_between(start: Column, end: Column) -> Column:
 
 
 def json_object(fields: Sequence[tuple[str, Column]]) -> Column:
-    """OBJECT_CONSTRUCT(k, v, ...) as JSON text; keys whose value is NULL are dropped."""
+    """An object built from (key, value) pairs, as JSON text; keys whose value is NULL are dropped."""
     return F.to_json(F.struct(*[c.alias(k) for k, c in fields]))

@@ -76,7 +76,7 @@ def snapshot_diff(before: DataFrame, after: DataFrame, key: str | list[str], *,
 
 
 def has_changes(feed: DataFrame, name: str = "has_changes") -> DataFrame:
-    """SYSTEM$STREAM_HAS_DATA: one boolean row; stops reading after the first change row."""
+    """The has-changes gate: one boolean row; stops reading after the first change row."""
     return feed.limit(1).agg((F.count(F.lit(1)) > 0).alias(name))
 
 

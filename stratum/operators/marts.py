@@ -38,7 +38,7 @@ def mart_stamps(as_of, run_id: str | None, source_object: str = STAGED_TABLE,
 
 
 def gender_counts(gender: Column) -> list[Column]:
-    """SUM(IFF(UPPER(g) = 'MALE', 1, 0)) ...; a NULL gender counts in none of the three."""
+    """Conditional counts on the upper-cased gender; a NULL gender counts in none of the three."""
     g = F.upper(gender)
     return [
         F.sum(F.when(g == "MALE", 1).otherwise(0)).cast("bigint").alias("num_male"),
@@ -68,7 +68,7 @@ def survey_results(staged: DataFrame, *, group: str = "department",
                    scores: Mapping[str, str] = SCORE_AVERAGES, as_of="1970-01-01 00:00:00",
                    run_id: str | None = None, source_object: str = STAGED_TABLE,
                    process_type: str | None = None) -> DataFrame:
-    """Mean of each score with 0 treated as missing (AVG(NULLIFZERO(x))), and the row count."""
+    """Mean of each score with 0 treated as missing (a zero-as-missing average), and the row count."""
     return (
         staged.groupBy(group)
         .agg(

@@ -68,13 +68,47 @@ def _plan(target: DataFrame, changes: DataFrame, keys: list[str], action_col: st
     )
     target_fates = matched.withColumn(FATE, fate)
 
-    target_keys = target.filter(~any_null(keys)).select(*keys, F.lit(0).cast("bigint").alias(NULL_SPREAD))
-    inserts = (src.filter(action == "INSERT")
-               .withColumn(NULL_SPREAD, null_spread(keys, src.columns))
-               .join(target_keys, on=on, how="left_anti"))
+    inserts = _new_key_rows(target, src.filter(action == "INSERT"), keys)
     return target_fates, inserts, value_cols
 
 
+def _new_key_rows(target: DataFrame, candidates: DataFrame, keys: list[str]) -> DataFrame:
+    """Candidate rows whose key is absent from `target` (NULL keys are always absent).
+
+    The target's key column is first narrowed to the candidates' keys by a
+    left semi join -- planned as a broadcast when the candidate keys are
+    small (measured at run time), so the big key column is filtered where it
+    is read instead of being shuffled -- and only then used in the anti join.
+    """
+    cand_keys = candidates.filter(~any_null(keys)).select(*keys).distinct()
+    target_keys = (target.filter(~any_null(keys)).select(*keys)
+                   .join(cand_keys, on=keys, how="left_semi")
+                   .withColumn(NULL_SPREAD, F.lit(0).cast("bigint")))
+    return (candidates.withColumn(NULL_SPREAD, null_spread(keys, candidates.columns))
+            .join(target_keys, on=[*keys, NULL_SPREAD], how="left_anti"))
+
+
+def insert_new_keys(target: DataFrame, changes: DataFrame, key: str | list[str], *,
+                    stamps: Mapping[str, Column] | None = None,
+                    action_col: str = ACTION) -> DataFrame:
+    """The rows a MERGE of an insert-only feed adds to `target` (the rest of the
+    target is unchanged: existing keys are ignored). Appending these rows is
+    the whole MERGE -- no rewrite of the target."""
+    keys = _keys(key)
+    stamps = dict(stamps or {})
+    inserts = _new_key_rows(target, changes.filter(F.col(action_col) == "INSERT"), keys)
+    types = dict(target.dtypes)
+    out = []
+    for c in target.columns:
+        if c in stamps:
+            out.append(stamps[c].cast(types[c]).alias(c))
+        elif c in inserts.columns:
+            out.append(F.col(c).cast(types[c]).alias(c))
+        else:
+            out.append(F.lit(None).cast(types[c]).alias(c))
+    return inserts.select(*out)
+
+
 def merge_changes(target: DataFrame, changes: DataFrame, key: str | list[str], *,
                   stamps: Mapping[str, Column] | None = None,
                   action_col: str = ACTION, update_col: str = IS_UPDATE) -> DataFrame:

@@ -33,7 +33,7 @@ def _strings(keys: Sequence[str]) -> T.StructType:
 
 
 def event_rows(runs: DataFrame, *, include_spans: bool = False) -> DataFrame:
-    """Step runs -> log rows (SYSTEM$LOG with OBJECT_CONSTRUCT payloads).
+    """Step runs -> structured log rows with JSON object payloads.
 
     `runs` has run_id, pipeline, stage, procedure, source, target, started_at,
     ended_at, status ('SUCCESS' | 'FAILED'), result, error_code, error_message.
@@ -122,7 +122,7 @@ def event_summary(events: DataFrame, as_of, days: int = 7, pipeline: str = "stre
 def run_history(history: DataFrame, as_of, *, hours: float = 2, limit: int = 50,
                 where: Column | None = None, time_col: str = "scheduled_time",
                 tie_break: Sequence[str] = ("name",)) -> DataFrame:
-    """TASK_HISTORY(range start, RESULT_LIMIT) then WHERE: the newest `limit` runs
+    """Task-run history from a range start with a result limit, then WHERE: the newest `limit` runs
     in range, then the caller's filter (the limit applies first, as there)."""
     since = ts_literal(as_of) - F.expr(f"INTERVAL {int(hours * 3600)} SECONDS")
     top = (history.filter(F.col(time_col) >= since)

@@ -21,7 +21,7 @@ def runs_exprs(d: str) -> list[str]:
     even = "event_id % 2 = 0"
     return [
         "concat('run-', cast(event_id AS string)) AS run_id",
-        "CASE WHEN event_type = 'error' THEN 'dynamic_tables_elt' ELSE 'streams_tasks_elt' END AS pipeline",
+        "CASE WHEN event_type = 'error' THEN 'refreshed_tables_elt' ELSE 'streams_tasks_elt' END AS pipeline",
         f"CASE WHEN {even} THEN 'silver_load' ELSE 'gold_materialize' END AS stage",
         f"CASE WHEN {even} THEN 'silver.load_employee_staging' ELSE 'gold.materialize_core_models' END AS procedure",
         f"CASE WHEN {even} THEN 'bronze.employee_data_parquet' ELSE 'silver.employee_data_stg' END AS source",

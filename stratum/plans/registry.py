@@ -366,7 +366,7 @@ register("null_check", _null_oracle(o.RAW_ORDERS))(
 register("range_check", _range_oracle(_STAGED_EVENTS))(
     lambda spark, sf_dir: _range_check(staged_events(spark, sf_dir), fx.AS_OF))
 
-# Fault injection (m4c3:120-124, made deterministic): score 99 on the smallest
+# Fault injection (made deterministic): score 99 on the smallest
 # staged key, NULL key on the smallest raw key; then the checks run again.
 _INJ_STAGED = (f"SELECT * REPLACE (CASE WHEN employee_number = (SELECT min(employee_number) FROM ({_STAGED_EVENTS}) m) "
                f"THEN 99 ELSE satisfaction_score END AS satisfaction_score) FROM ({_STAGED_EVENTS}) s")

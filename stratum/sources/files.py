@@ -1,6 +1,6 @@
 """File sources: bulk loads that match columns by name, and file landing.
 
-`load_by_name` is COPY INTO ... MATCH_BY_COLUMN_NAME = CASE_INSENSITIVE:
+`load_by_name` is a bulk load that matches columns by name, ignoring case:
 columns are matched to the target schema by name ignoring case, missing
 columns load as NULL and extra columns are ignored; a glob on the file name
 selects which files load. Parquet does the matching in the scan itself (the

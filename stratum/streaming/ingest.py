@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratum.functions.scalars import ts_literal
-from stratum.operators import changes, marts, merge, staging
+from stratum.operators import changes, marts, merge, refresh, staging
 from stratum.sources import tables
 
 RUN_COL = "_run_id"
@@ -69,7 +69,7 @@ def read_raw(spark: SparkSession, raw_table: str, schema: T.StructType) -> DataF
 
 
 def load_history(rows: DataFrame, *, table_name: str, as_of) -> DataFrame:
-    """COPY_HISTORY rows for one run: per file, rows loaded and load time."""
+    """Load-history rows for one run: per file, rows loaded and load time."""
     return (rows.groupBy(F.col(FILE_COL).alias("file_name"))
             .agg(F.count(F.lit(1)).alias("row_count"))
             .select(F.lit(table_name).alias("table_name"), "file_name", "row_count",
@@ -94,23 +94,34 @@ def staged_stream(spark: SparkSession, landing: str, schema: T.StructType, sink:
     return spark.read.schema(staged.schema).parquet(sink)
 
 
-DEFAULT_MARTS = {"demographics": marts.demographics, "survey_results": marts.survey_results}
+def _default_marts() -> dict:
+    return {"demographics": refresh.demographics_measures(), "survey_results": refresh.survey_measures()}
 
 
 class IncrementalPipeline:
-    """Raw files -> raw table -> staged table (MERGE by key) -> rebuilt marts.
-
-    All state lives under `root` (a shared folder): the raw table, the stream
-    checkpoint, versioned snapshots of the staged table and of each mart, and
-    a small version log recording which runs each version merged.
+    """Raw files -> raw table -> staged table (MERGE by key) -> marts, one run at a time.
+
+    The feed of a file stream is insert-only, so the MERGE of a run only adds
+    the rows whose key the staged table lacks (existing keys are ignored, as
+    the MERGE's clauses say): those rows are written as a new version
+    partition `_v=N` of the staged table, and each mart's additive state is
+    advanced by the same rows. A run therefore costs the new data plus a
+    probe of the staged keys -- never a rewrite of the staged table or a
+    rescan for the marts.
+
+    All state lives under `root` (a shared folder): the raw table and its
+    stream checkpoint, the staged table, mart state and mart snapshots per
+    version, and a version log naming the runs each version merged. A run
+    writes its partition and snapshots with overwrite semantics before it
+    appends to the log, so a run that dies midway is redone whole by the next.
     """
 
     def __init__(self, spark: SparkSession, root: str, landing: str, schema: T.StructType, *,
                  key: str = "employee_number", pattern: str | None = None, group: str = "department",
-                 mart_builders: Mapping[str, Callable[..., DataFrame]] | None = None):
+                 mart_measures: Mapping[str, list] | None = None):
         self.spark, self.root, self.landing, self.schema = spark, root.rstrip("/"), landing, schema
         self.key, self.pattern, self.group = key, pattern, group
-        self.mart_builders = dict(mart_builders or DEFAULT_MARTS)
+        self.mart_measures = dict(mart_measures or _default_marts())
         self.raw = f"{self.root}/raw"
         self.checkpoint = f"{self.root}/_checkpoints/raw"
         self.staged_root = f"{self.root}/staged"
@@ -118,8 +129,7 @@ class IncrementalPipeline:
         self.loads = f"{self.root}/_load_history"
 
     def _versions(self) -> DataFrame:
-        schema = "version BIGINT, run_id STRING"
-        return self.spark.read.schema(schema).parquet(self.versions)
+        return self.spark.read.schema("version BIGINT, run_id STRING").parquet(self.versions)
 
     def current_version(self) -> int:
         """Newest published version (0 = nothing yet). Reads the tiny version log."""
@@ -129,19 +139,23 @@ class IncrementalPipeline:
             return 0
         return int(v or 0)
 
-    def staged(self) -> DataFrame:
-        v = self.current_version()
+    def _empty_staged(self) -> DataFrame:
+        return staging.stage_rows(self.spark.createDataFrame([], self.schema), run_id="")
+
+    def staged(self, version: int | None = None) -> DataFrame:
+        v = self.current_version() if version is None else version
         if v == 0:
-            raw_cols = staging.stage_rows(self.spark.createDataFrame([], self.schema), run_id="")
-            return raw_cols
-        return self.spark.read.parquet(tables.snapshot_path(self.staged_root, v))
+            return self._empty_staged()
+        schema = T.StructType([*self._empty_staged().schema.fields, T.StructField("_v", T.LongType())])
+        return (self.spark.read.schema(schema).parquet(self.staged_root)
+                .filter(F.col("_v") <= v).drop("_v"))
 
     def mart(self, name: str) -> DataFrame:
         return self.spark.read.parquet(tables.snapshot_path(f"{self.root}/{name}", self.current_version()))
 
     def run(self, run_id: str, as_of) -> dict:
         """One gated run: ingest new files; if any raw rows are unmerged, MERGE them
-        into a new staged version and rebuild the marts from it."""
+        into the staged table as version N+1 and advance the marts."""
         ingest_new_files(self.spark, self.landing, self.raw, self.checkpoint, self.schema,
                          run_id=run_id, pattern=self.pattern)
         raw = read_raw(self.spark, self.raw, self.schema)
@@ -152,20 +166,31 @@ class IncrementalPipeline:
         pending = raw.filter(~F.col(RUN_COL).isin(*merged_runs)) if merged_runs else raw
         if pending.isEmpty():  # the has-data gate: nothing new, no work
             return {"run_id": run_id, "merged": False, "version": self.current_version()}
+        pending_runs = sorted({run_id, *[r[0] for r in pending.select(RUN_COL).distinct().collect()]})
         tables.append_rows(load_history(pending, table_name=staging.RAW_TABLE, as_of=as_of), self.loads)
 
+        previous = self.current_version()
+        version = previous + 1
         feed = changes.appended_rows(pending.drop(FILE_COL, RUN_COL))
         staged_feed = staging.stage_rows(feed, as_of=as_of, source_object=staging.RAW_STREAM, run_id=run_id)
         stamps = staging.lineage_stamps(as_of, staging.RAW_STREAM, run_id)
-        version = self.current_version() + 1
-        silver = tables.publish_snapshot(
-            merge.merge_changes(self.staged(), staged_feed, self.key, stamps=stamps),
-            self.staged_root, version)
-        for name, build in self.mart_builders.items():
-            tables.publish_snapshot(build(silver, group=self.group, as_of=as_of, run_id=run_id),
-                                    f"{self.root}/{name}", version)
-        runs = [(version, r) for r in sorted({run_id, *[r[0] for r in pending.select(RUN_COL).distinct().collect()]})]
-        tables.append_rows(self.spark.createDataFrame(runs, "version BIGINT, run_id STRING"), self.versions)
+        added = merge.insert_new_keys(self.staged(previous), staged_feed, self.key, stamps=stamps)
+        (added.withColumn("_v", F.lit(version).cast("bigint")).write
+         .option("partitionOverwriteMode", "dynamic").mode("overwrite")
+         .partitionBy("_v").parquet(self.staged_root))
+        added = self.spark.read.parquet(f"{self.staged_root}/_v={version}")
+
+        for name, measures in self.mart_measures.items():
+            delta = refresh.mart_state(added, [self.group], measures)
+            state = delta if previous == 0 else refresh.apply_delta(
+                self.spark.read.parquet(tables.snapshot_path(f"{self.root}/{name}_state", previous)),
+                delta, [self.group], measures)
+            state = tables.publish_snapshot(state, f"{self.root}/{name}_state", version)
+            tables.publish_snapshot(
+                refresh.finalize(state, [self.group], measures, marts.mart_stamps(as_of, run_id)),
+                f"{self.root}/{name}", version)
+        tables.append_rows(self.spark.createDataFrame([(version, r) for r in pending_runs],
+                                                      "version BIGINT, run_id STRING"), self.versions)
         return {"run_id": run_id, "merged": True, "version": version}
 
     def load_history(self) -> DataFrame:

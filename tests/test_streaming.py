@@ -35,13 +35,13 @@ def test_each_file_loads_once(spark):
 def test_pipeline_gate_and_replay(spark):
     root, landing = work_dir(spark, "t_elt"), work_dir(spark, "t_landing")
     schema = spark.createDataFrame([], SCHEMA).schema
-    from stratum.operators import marts
+    from stratum.operators import refresh
     p = ingest.IncrementalPipeline(spark, root, landing, schema, pattern="employee_data_part_*.parquet",
-                                   mart_builders={"survey_results": marts.survey_results})
+                                   mart_measures={"survey_results": refresh.survey_measures()})
     _land(spark, landing, range(6))
     assert p.run("r1", "2024-01-30 00:00:00")["version"] == 1
     assert p.run("r2", "2024-01-30 00:01:00") == {"run_id": "r2", "merged": False, "version": 1}
-    _land(spark, landing, range(6, 9))
+    _land(spark, landing, [*range(6, 9), 2])  # key 2 again: the MERGE ignores an existing key
     assert p.run("r3", "2024-01-31 00:00:00")["version"] == 2
     staged = p.staged()
     assert staged.count() == 9
