@@ -47,10 +47,13 @@ def with_json_number_fields(df: DataFrame, json_col: str, fields: Mapping[str, s
     be pushed beneath. Without it, a filter on a score (a range check, a
     reject rule) is pushed below the projection with the parse inlined into
     it -- one `from_json` per field per comparison. A NULL or malformed text
-    still yields its row, with NULL fields.
+    still yields its row, with NULL fields. The generator stays in the plan
+    even when no field is read, so ask only for the fields a consumer uses.
     """
     from stratum.sources.tables import spread_input
     df = spread_input(df)
+    if not fields:
+        return df
     tmp = "__json_fields"
     parsed = F.from_json(F.col(json_col), _string_struct(list(fields.values())))
     exploded = df.select(*[F.col(c) for c in df.columns], F.explode(F.array(parsed)).alias(tmp))

@@ -102,12 +102,18 @@ ORDERS_WITH_ORPHANS = [
 ]
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """A driver table; `spread` applies the parallelism floor for inputs of
+    JSON-heavy steps (every table here is a single row group)."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if spread:
+        from stratum.sources.tables import spread_input
+        df = spread_input(df)
+    return df
 
 
 def raw_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").selectExpr(*RAW_FROM_EVENTS)
+    return table(spark, sf_dir, "events", spread=True).selectExpr(*RAW_FROM_EVENTS)
 
 
 def raw_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:

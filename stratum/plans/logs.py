@@ -92,7 +92,7 @@ STEP_LABELS = [("DEMOGRAPHICS TABLE", "DEMOGRAPHICS TABLE"), ("SURVEY TABLE", "S
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events")
+    return table(spark, sf_dir, "events", spread=True)
 
 
 def runs(spark, sf_dir) -> DataFrame:

@@ -67,7 +67,8 @@ def q_survey_results(spark, sf_dir):
 
 @register("demographics", o.demographics_mart(o.staged(o.RAW_ORDERS)))
 def q_demographics(spark, sf_dir):
-    return marts.demographics(staged_orders(spark, sf_dir), as_of=fx.AS_OF, run_id=fx.RUN_ID)
+    # The mart reads no survey field, so its staging parses none.
+    return marts.demographics(staged_orders(spark, sf_dir, fields={}), as_of=fx.AS_OF, run_id=fx.RUN_ID)
 
 
 @register("row_count", f"SELECT count(*) AS silver_row_count FROM ({o.RAW_EVENTS}) r")
@@ -582,9 +583,9 @@ def q_dt_stage(spark, sf_dir):
 @register("replace_table", o.demographics_mart(o.staged(o.RAW_ORDERS)))
 def q_replace_table(spark, sf_dir):
     path = work_dir(spark, "demographics")
-    tables.replace_table(marts.demographics(staged_orders(spark, sf_dir), as_of=fx.PREVIOUS_AS_OF,
+    tables.replace_table(marts.demographics(staged_orders(spark, sf_dir, fields={}), as_of=fx.PREVIOUS_AS_OF,
                                             run_id=fx.PREVIOUS_RUN_ID), path)
-    return tables.replace_table(marts.demographics(staged_orders(spark, sf_dir), as_of=fx.AS_OF,
+    return tables.replace_table(marts.demographics(staged_orders(spark, sf_dir, fields={}), as_of=fx.AS_OF,
                                                    run_id=fx.RUN_ID), path)
 
 

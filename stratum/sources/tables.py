@@ -51,14 +51,16 @@ def materialize(df: DataFrame, path: str) -> DataFrame:
 
 
 def spread_input(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Give the input of a CPU-heavy row-wise step at least the session's parallelism.
-
-    A file written as one row group scans as one task however many cores
-    wait, so a CPU-heavy step after it (JSON parsing) runs serially. When the
-    scan has fewer partitions than `min_partitions` (default: the default
-    parallelism), rows are dealt round-robin to that many partitions; a large
-    input -- many files or row groups -- is returned untouched, so at scale
-    this adds nothing. Filters and column pruning still reach the scan.
+    """Give a freshly scanned input at least the session's parallelism.
+
+    For a plain scan (+ narrow steps) that feeds a CPU-heavy row-wise step
+    such as JSON parsing. A file written as one row group scans as one task
+    however many cores wait; when the scan has fewer partitions than
+    `min_partitions` (default: the default parallelism), rows are dealt
+    round-robin to that many. A large input -- many files or row groups -- is
+    returned untouched, so at scale this adds nothing. Filters and column
+    pruning still reach the scan. Do not call it on a plan with shuffles:
+    counting its partitions would run them.
     """
     if df.isStreaming:
         return df
