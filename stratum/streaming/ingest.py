@@ -35,13 +35,22 @@ def _raw_schema(schema: T.StructType) -> T.StructType:
 
 
 def file_stream(spark: SparkSession, landing: str, schema: T.StructType, *, pattern: str | None = None,
-                fmt: str = "parquet", max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming read of new files, columns matched to `schema` by name (ignoring case)."""
+                fmt: str = "parquet", max_files_per_trigger: int | None = None,
+                archive_dir: str | None = None) -> DataFrame:
+    """Streaming read of new files, columns matched to `schema` by name (ignoring case).
+
+    `max_files_per_trigger` bounds each micro-batch (an AvailableNow run then
+    processes a large backlog as several batches instead of one huge one);
+    `archive_dir` moves each processed file there once its batch commits, so
+    listing the landing folder stays cheap as files accumulate.
+    """
     reader = spark.readStream.format(fmt).schema(schema)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    if archive_dir:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     return reader.load(landing)
 
 
@@ -55,9 +64,11 @@ def run_available_now(df: DataFrame, sink: str, checkpoint: str, partition_by: l
 
 def ingest_new_files(spark: SparkSession, landing: str, raw_table: str, checkpoint: str,
                      schema: T.StructType, *, run_id: str, pattern: str | None = None,
-                     fmt: str = "parquet") -> DataFrame:
+                     fmt: str = "parquet", max_files_per_trigger: int | None = None,
+                     archive_dir: str | None = None) -> DataFrame:
     """Load files not loaded before into `raw_table`; return this run's rows."""
-    stream = (file_stream(spark, landing, schema, pattern=pattern, fmt=fmt)
+    stream = (file_stream(spark, landing, schema, pattern=pattern, fmt=fmt,
+                          max_files_per_trigger=max_files_per_trigger, archive_dir=archive_dir)
               .withColumn(FILE_COL, F.col("_metadata.file_name"))
               .withColumn(RUN_COL, F.lit(run_id)))
     run_available_now(stream, raw_table, checkpoint, [RUN_COL])

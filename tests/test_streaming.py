@@ -47,3 +47,14 @@ def test_pipeline_gate_and_replay(spark):
     assert staged.count() == 9
     assert {r.etl_run_id for r in staged.filter(F.col("employee_number") >= 6).collect()} == {"r3"}
     assert p.mart("survey_results").first().num_responses == 9
+
+
+def test_bounded_batches_and_archive(spark):
+    root, landing = work_dir(spark, "t_pipe"), work_dir(spark, "t_landing")
+    schema = spark.createDataFrame([], SCHEMA).schema
+    _land(spark, landing, range(10))
+    _land(spark, landing, range(10, 20))
+    got = ingest.ingest_new_files(spark, landing, f"{root}/raw", f"{root}/ck", schema, run_id="r1",
+                                  pattern="employee_data_part_*.parquet", max_files_per_trigger=1,
+                                  archive_dir=f"{root}/archive")
+    assert sorted(r.employee_number for r in got.collect()) == list(range(20))
