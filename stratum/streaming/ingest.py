@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -186,9 +186,13 @@ class IncrementalPipeline:
         staged_feed = staging.stage_rows(feed, as_of=as_of, source_object=staging.RAW_STREAM, run_id=run_id)
         stamps = staging.lineage_stamps(as_of, staging.RAW_STREAM, run_id)
         added = merge.insert_new_keys(self.staged(previous), staged_feed, self.key, stamps=stamps)
-        (added.withColumn("_v", F.lit(version).cast("bigint")).write
+        # Rows affected, counted while the rows are written (no second pass).
+        observed = Observation(f"merge_{version}")
+        (added.observe(observed, F.count(F.lit(1)).alias("rows_inserted"))
+         .withColumn("_v", F.lit(version).cast("bigint")).write
          .option("partitionOverwriteMode", "dynamic").mode("overwrite")
          .partitionBy("_v").parquet(self.staged_root))
+        rows_inserted = observed.get["rows_inserted"]
         added = self.spark.read.parquet(f"{self.staged_root}/_v={version}")
 
         for name, measures in self.mart_measures.items():
@@ -202,7 +206,7 @@ class IncrementalPipeline:
                 f"{self.root}/{name}", version)
         tables.append_rows(self.spark.createDataFrame([(version, r) for r in pending_runs],
                                                       "version BIGINT, run_id STRING"), self.versions)
-        return {"run_id": run_id, "merged": True, "version": version}
+        return {"run_id": run_id, "merged": True, "version": version, "rows_inserted": rows_inserted}
 
     def load_history(self) -> DataFrame:
         return self.spark.read.parquet(self.loads)

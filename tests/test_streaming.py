@@ -39,10 +39,12 @@ def test_pipeline_gate_and_replay(spark):
     p = ingest.IncrementalPipeline(spark, root, landing, schema, pattern="employee_data_part_*.parquet",
                                    mart_measures={"survey_results": refresh.survey_measures()})
     _land(spark, landing, range(6))
-    assert p.run("r1", "2024-01-30 00:00:00")["version"] == 1
+    first = p.run("r1", "2024-01-30 00:00:00")
+    assert (first["version"], first["rows_inserted"]) == (1, 6)
     assert p.run("r2", "2024-01-30 00:01:00") == {"run_id": "r2", "merged": False, "version": 1}
     _land(spark, landing, [*range(6, 9), 2])  # key 2 again: the MERGE ignores an existing key
-    assert p.run("r3", "2024-01-31 00:00:00")["version"] == 2
+    third = p.run("r3", "2024-01-31 00:00:00")
+    assert (third["version"], third["rows_inserted"]) == (2, 3)  # key 2 re-delivered: ignored
     staged = p.staged()
     assert staged.count() == 9
     assert {r.etl_run_id for r in staged.filter(F.col("employee_number") >= 6).collect()} == {"r3"}
