@@ -42,11 +42,18 @@ def get_session(master: str | None = None, app: str = "stratum",
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by `spark.checkpoint.dir`, set here only if unset."""
+    """The shared folder named by `spark.checkpoint.dir`.
+
+    Set here only when unset and Spark runs in local mode (tests, one
+    machine); on a cluster a machine-local folder would not be shared by the
+    executors, so an unset setting is an error there.
+    """
     root = spark.conf.get(_CHECKPOINT_KEY, None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(f"set {_CHECKPOINT_KEY} to a folder shared by the cluster")
         root = tempfile.mkdtemp(prefix="stratum-ckpt-")
         spark.conf.set(_CHECKPOINT_KEY, root)
     try:
