@@ -70,7 +70,8 @@ def event_recent(events: DataFrame, k: int = 50, types: Sequence[str] = ("EVENT"
     """WHERE RECORD_TYPE IN (...) ORDER BY TIMESTAMP DESC LIMIT k (total order by payload)."""
     return (events.filter(F.col("record_type").isin(*types))
             .orderBy(F.col("timestamp").desc(), F.col("value").asc_nulls_last(),
-                     F.col("scope").asc_nulls_last(), F.col("severity").asc_nulls_last())
+                     F.col("scope").asc_nulls_last(), F.col("severity").asc_nulls_last(),
+                     F.col("record_type").asc_nulls_last())
             .limit(k))
 
 

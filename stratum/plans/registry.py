@@ -216,7 +216,8 @@ def q_event_rows(spark, sf_dir):
 
 @register("event_recent", f"""SELECT * FROM ({o.PIPELINE_EVENTS}) e
 WHERE record_type IN ('EVENT', 'LOG', 'INFO')
-ORDER BY timestamp DESC, value ASC NULLS LAST, scope ASC NULLS LAST, severity ASC NULLS LAST
+ORDER BY timestamp DESC, value ASC NULLS LAST, scope ASC NULLS LAST, severity ASC NULLS LAST,
+  record_type ASC NULLS LAST
 LIMIT 50""")
 def q_event_recent(spark, sf_dir):
     return observe.event_recent(pipeline_events(spark, sf_dir))
