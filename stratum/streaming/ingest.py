@@ -15,6 +15,7 @@ run: it picks up every raw partition whose run id is not yet merged.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratum.functions.scalars import ts_literal
-from stratum.operators import changes, marts, merge, refresh, staging
+from stratum.operators import changes, marts, merge, observe, refresh, staging
 from stratum.sources import tables
 
 RUN_COL = "_run_id"
@@ -105,6 +106,18 @@ def staged_stream(spark: SparkSession, landing: str, schema: T.StructType, sink:
     return spark.read.schema(staged.schema).parquet(sink)
 
 
+# The names the run log uses for this pipeline and its task.
+PIPELINE = "streams_tasks_elt"
+TASK_NAME = "T_SILVER_FROM_BRONZE_STREAM"
+RUNS_SCHEMA = ("run_id STRING, pipeline STRING, stage STRING, procedure STRING, source STRING, target STRING, "
+               "started_at TIMESTAMP_NTZ, ended_at TIMESTAMP_NTZ, status STRING, result STRING, "
+               "error_code BIGINT, error_message STRING")
+
+
+def _now() -> _dt.datetime:
+    return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+
+
 def _default_marts() -> dict:
     return {"demographics": refresh.demographics_measures(), "survey_results": refresh.survey_measures()}
 
@@ -138,6 +151,8 @@ class IncrementalPipeline:
         self.staged_root = f"{self.root}/staged"
         self.versions = f"{self.root}/_versions"
         self.loads = f"{self.root}/_load_history"
+        self.events = f"{self.root}/_events"
+        self.task_history = f"{self.root}/_task_history"
 
     def _versions(self) -> DataFrame:
         return self.spark.read.schema("version BIGINT, run_id STRING").parquet(self.versions)
@@ -166,7 +181,37 @@ class IncrementalPipeline:
 
     def run(self, run_id: str, as_of) -> dict:
         """One gated run: ingest new files; if any raw rows are unmerged, MERGE them
-        into the staged table as version N+1 and advance the marts."""
+        into the staged table as version N+1 and advance the marts.
+
+        The run logs itself: a STARTED and a SUCCESS/FAILED log row per stage
+        (`observe.event_rows`) and one task-history row. A failure is logged as
+        FAILED and raised -- never reported as success.
+        """
+        scheduled = _now()
+        steps: list[dict] = []
+        try:
+            result = self._run(run_id, as_of, steps)
+        except Exception as exc:
+            if steps and steps[-1]["status"] == "RUNNING":
+                steps[-1].update(status="FAILED", ended_at=_now(), error_code=1,
+                                 error_message=f"{type(exc).__name__}: {exc}"[:500])
+            self._log(run_id, steps, scheduled, "FAILED", None, f"{type(exc).__name__}: {exc}"[:500])
+            raise
+        state = "SUCCEEDED" if result["merged"] else "SKIPPED"
+        text = (f"Merged {result['rows_inserted']} rows into version {result['version']}"
+                if result["merged"] else "No new data")
+        self._log(run_id, steps, scheduled, state, text, None)
+        return result
+
+    def _step(self, steps: list[dict], run_id: str, stage: str, procedure: str, source: str, target: str) -> dict:
+        step = dict(run_id=run_id, pipeline=PIPELINE, stage=stage, procedure=procedure, source=source,
+                    target=target, started_at=_now(), ended_at=None, status="RUNNING", result=None,
+                    error_code=None, error_message=None)
+        steps.append(step)
+        return step
+
+    def _run(self, run_id: str, as_of, steps: list[dict]) -> dict:
+        load = self._step(steps, run_id, "silver_load", "staging.merge", staging.RAW_TABLE, staging.STAGED_TABLE)
         ingest_new_files(self.spark, self.landing, self.raw, self.checkpoint, self.schema,
                          run_id=run_id, pattern=self.pattern)
         raw = read_raw(self.spark, self.raw, self.schema)
@@ -176,6 +221,7 @@ class IncrementalPipeline:
             merged_runs = []
         pending = raw.filter(~F.col(RUN_COL).isin(*merged_runs)) if merged_runs else raw
         if pending.isEmpty():  # the has-data gate: nothing new, no work
+            steps.remove(load)
             return {"run_id": run_id, "merged": False, "version": self.current_version()}
         pending_runs = sorted({run_id, *[r[0] for r in pending.select(RUN_COL).distinct().collect()]})
         tables.append_rows(load_history(pending, table_name=staging.RAW_TABLE, as_of=as_of), self.loads)
@@ -193,8 +239,12 @@ class IncrementalPipeline:
          .option("partitionOverwriteMode", "dynamic").mode("overwrite")
          .partitionBy("_v").parquet(self.staged_root))
         rows_inserted = observed.get["rows_inserted"]
-        added = self.spark.read.parquet(f"{self.staged_root}/_v={version}")
+        load.update(status="SUCCESS", ended_at=_now(),
+                    result=f"Processed {rows_inserted} new rows into {staging.STAGED_TABLE} with etl_run_id={run_id}")
 
+        build = self._step(steps, run_id, "gold_materialize", "marts.refresh", staging.STAGED_TABLE,
+                           ",".join(self.mart_measures))
+        added = self.spark.read.parquet(f"{self.staged_root}/_v={version}")
         for name, measures in self.mart_measures.items():
             delta = refresh.mart_state(added, [self.group], measures)
             state = delta if previous == 0 else refresh.apply_delta(
@@ -204,10 +254,27 @@ class IncrementalPipeline:
             tables.publish_snapshot(
                 refresh.finalize(state, [self.group], measures, marts.mart_stamps(as_of, run_id)),
                 f"{self.root}/{name}", version)
+        build.update(status="SUCCESS", ended_at=_now(), result=f"Built {len(self.mart_measures)} marts")
         tables.append_rows(self.spark.createDataFrame([(version, r) for r in pending_runs],
                                                       "version BIGINT, run_id STRING"), self.versions)
         return {"run_id": run_id, "merged": True, "version": version, "rows_inserted": rows_inserted}
 
+    def _log(self, run_id: str, steps: list[dict], scheduled, state: str, text, error) -> None:
+        if steps:
+            runs = self.spark.createDataFrame([{k: v for k, v in s.items()} for s in steps], RUNS_SCHEMA)
+            tables.append_rows(observe.event_rows(runs), self.events)
+        history = self.spark.createDataFrame(
+            [(TASK_NAME, scheduled, _now(), state, text, "1" if error else None, error)],
+            "name STRING, scheduled_time TIMESTAMP_NTZ, completed_time TIMESTAMP_NTZ, state STRING, "
+            "return_value STRING, error_code STRING, error_message STRING")
+        tables.append_rows(history, self.task_history)
+
+    def event_log(self) -> DataFrame:
+        return self.spark.read.parquet(self.events)
+
+    def task_runs(self) -> DataFrame:
+        return self.spark.read.parquet(self.task_history)
+
     def load_history(self) -> DataFrame:
         return self.spark.read.parquet(self.loads)
 

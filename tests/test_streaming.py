@@ -49,6 +49,14 @@ def test_pipeline_gate_and_replay(spark):
     assert staged.count() == 9
     assert {r.etl_run_id for r in staged.filter(F.col("employee_number") >= 6).collect()} == {"r3"}
     assert p.mart("survey_results").first().num_responses == 9
+    log = p.event_log()
+    assert log.filter("record_type = 'LOG'").count() == 8  # 2 merged runs x 2 stages x (STARTED, SUCCESS)
+    assert sorted(r.state for r in p.task_runs().collect()) == ["SKIPPED", "SUCCEEDED", "SUCCEEDED"]
+    from stratum.operators import observe
+    summary = {(r.pipeline_stage, r.status): r.execution_count
+               for r in observe.event_summary(log, "2100-01-01 00:00:00", days=365 * 200).collect()}
+    assert summary == {("silver_load", "STARTED"): 2, ("silver_load", "SUCCESS"): 2,
+                       ("gold_materialize", "STARTED"): 2, ("gold_materialize", "SUCCESS"): 2}
 
 
 def test_bounded_batches_and_archive(spark):
@@ -60,3 +68,20 @@ def test_bounded_batches_and_archive(spark):
                                   pattern="employee_data_part_*.parquet", max_files_per_trigger=1,
                                   archive_dir=f"{root}/archive")
     assert sorted(r.employee_number for r in got.collect()) == list(range(20))
+
+
+def test_failed_stage_is_logged_as_failed_and_raised(spark):
+    import pytest
+    from stratum.operators import refresh
+    root, landing = work_dir(spark, "t_elt"), work_dir(spark, "t_landing")
+    schema = spark.createDataFrame([], SCHEMA).schema
+    broken = {"demographics": refresh.demographics_measures()}  # needs age/gender: absent here
+    p = ingest.IncrementalPipeline(spark, root, landing, schema, pattern="employee_data_part_*.parquet",
+                                   mart_measures=broken)
+    _land(spark, landing, range(4))
+    with pytest.raises(Exception):
+        p.run("r1", "2024-01-30 00:00:00")
+    statuses = sorted(r.value.split('"status":"')[1].split('"')[0] for r in p.event_log().collect())
+    assert statuses == ["FAILED", "STARTED", "STARTED", "SUCCESS"]
+    assert [r.state for r in p.task_runs().collect()] == ["FAILED"]
+    assert p.current_version() == 0  # nothing published: the next run redoes the whole merge
