@@ -10,7 +10,10 @@ Plan, chosen for skew and scale:
      keeps the groups whose net weight is not 0. Identical rows cancel
      map-side, so unchanged data never crosses the network whole, and no
      key -- however hot -- funnels into one task: the shuffle key is the
-     whole row.
+     whole row. (Hash-repartitioning before aggregating measured ~30 %
+     faster on all-distinct rows, but it would ship every copy of a heavily
+     duplicated row to one task; the map-side partial sums keep that case
+     to one row per task, so they stay.)
   2. update pairing on the (small) set of changed rows only: per key, one
      deleted and one inserted row make an update. The per-key flags are an
      aggregate (at most one row per key) joined back with a left join,
