@@ -83,6 +83,7 @@ def _new_key_rows(target: DataFrame, candidates: DataFrame, keys: list[str]) ->
     cand_keys = candidates.filter(~any_null(keys)).select(*keys).distinct()
     target_keys = (target.filter(~any_null(keys)).select(*keys)
                    .join(cand_keys, on=keys, how="left_semi")
+                   .distinct()  # a key on many target rows becomes one row, collapsed map-side
                    .withColumn(NULL_SPREAD, F.lit(0).cast("bigint")))
     return (candidates.withColumn(NULL_SPREAD, null_spread(keys, candidates.columns))
             .join(target_keys, on=[*keys, NULL_SPREAD], how="left_anti"))
