@@ -25,6 +25,13 @@ LOG_KEYS = ["component", "run_id", "pipeline", "stage", "status", "source", "tar
 READ_KEYS = ["run_id", "pipeline", "stage", "event", "status", "task_name", "duration_seconds",
              "source", "target", "error_message"]
 COMPONENT = "ELT_Pipeline"
+# The texts a mart build and the build summary report.
+STEP_OK = ("SUCCESS: Built ", " with ", " rows in ", " seconds")
+STEP_ERROR = ("ERROR: Failed to build ", " - ")
+ERROR_PREFIX = "ERROR:%"
+SUMMARY_TITLE = "=== GOLD LAYER BUILD SUMMARY ==="
+SUMMARY_TIME = ("Total execution time: ", " seconds")
+SUMMARY_ERRORS = "Errors encountered: "
 
 
 def _strings(keys: Sequence[str]) -> T.StructType:
@@ -168,15 +175,14 @@ def step_messages(steps: DataFrame) -> DataFrame:
     """Per build step: the status text the build procedure returns."""
     secs = seconds_between(F.col("started_at"), F.col("ended_at"))
     text = (F.when(F.col("error_message").isNotNull(),
-                   F.concat(F.lit("ERROR: Failed to build "), F.col("table_name"), F.lit(" - "), F.col("error_message")))
-            .otherwise(F.concat(F.lit("SUCCESS: Built "), F.col("table_name"), F.lit(" with "),
-                                F.col("row_count").cast("string"), F.lit(" rows in "), secs.cast("string"),
-                                F.lit(" seconds"))))
+                   F.concat(F.lit(STEP_ERROR[0]), F.col("table_name"), F.lit(STEP_ERROR[1]), F.col("error_message")))
+            .otherwise(F.concat(F.lit(STEP_OK[0]), F.col("table_name"), F.lit(STEP_OK[1]),
+                                F.col("row_count").cast("string"), F.lit(STEP_OK[2]), secs.cast("string"),
+                                F.lit(STEP_OK[3]))))
     return steps.withColumn("result", text)
 
 
-def run_summary(steps: DataFrame, labels: Sequence[tuple[str, str]],
-                title: str = "=== GOLD LAYER BUILD SUMMARY ===") -> DataFrame:
+def run_summary(steps: DataFrame, labels: Sequence[tuple[str, str]], title: str = SUMMARY_TITLE) -> DataFrame:
     """One row per run: elapsed seconds, failed-step count and the summary text.
 
     `labels` is [(step value, heading)] in print order; each heading's text is
@@ -184,7 +190,7 @@ def run_summary(steps: DataFrame, labels: Sequence[tuple[str, str]],
     many rows a run has.
     """
     msgs = step_messages(steps)
-    is_error = F.col("result").like("ERROR:%")
+    is_error = F.col("result").like(ERROR_PREFIX)
     per_step = [F.max(F.when(F.col("step") == step, F.col("result"))).alias(f"__t{i}")
                 for i, (step, _) in enumerate(labels)]
     agg = msgs.groupBy("run_id").agg(
@@ -193,8 +199,8 @@ def run_summary(steps: DataFrame, labels: Sequence[tuple[str, str]],
         F.sum(F.when(is_error, 1).otherwise(0)).cast("bigint").alias("error_count"),
         *per_step)
     total = seconds_between(F.col("run_started_at"), F.col("__end"))
-    parts = [F.lit(title + "\n"), F.lit("Total execution time: "), total.cast("string"), F.lit(" seconds\n"),
-             F.lit("Errors encountered: "), F.col("error_count").cast("string"), F.lit("\n\n")]
+    parts = [F.lit(title + "\n"), F.lit(SUMMARY_TIME[0]), total.cast("string"), F.lit(SUMMARY_TIME[1] + "\n"),
+             F.lit(SUMMARY_ERRORS), F.col("error_count").cast("string"), F.lit("\n\n")]
     for i, (_, heading) in enumerate(labels):
         parts += [F.lit(("\n" if i else "") + heading + ": "), F.coalesce(F.col(f"__t{i}"), F.lit(""))]
     return agg.select(
