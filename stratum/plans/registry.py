@@ -485,7 +485,7 @@ def _landing_frame(spark, sf_dir, odd_case: bool = True):
 
 
 def _land(spark, sf_dir, landing, slices, prefix="employee_data_part", fmt="parquet"):
-    df = _landing_frame(spark, sf_dir, odd_case=(fmt != "json")).filter(F.col("__slice").isin(*slices))
+    df = _landing_frame(spark, sf_dir).filter(F.col("__slice").isin(*slices))
     return files.land_files(spark, df, "__slice", landing, prefix, fmt=fmt,
                             options={"header": "true"} if fmt == "csv" else None)
 

@@ -5,7 +5,10 @@ columns are matched to the target schema by name ignoring case, missing
 columns load as NULL and extra columns are ignored; a glob on the file name
 selects which files load. Parquet does the matching in the scan itself (the
 requested schema is resolved case-insensitively and pruned to the target's
-columns); CSV is read as text by header name, then cast to the target types.
+columns); CSV is read as text by header name, then cast to the target types;
+JSON lines are parsed into a text map with lower-cased keys (Spark's JSON
+reader matches names case-sensitively), then each target field is cast.
+JSON fields must be flat (a nested value arrives as its JSON text).
 """
 
 from __future__ import annotations
@@ -29,6 +32,12 @@ def load_by_name(spark: SparkSession, path: str, schema: T.StructType, *, fmt: s
     if fmt == "csv":
         raw = reader.option("header", "true").option("inferSchema", "false").load(path)
         return conform(raw, schema)
+    if fmt == "json":
+        text = reader.format("text").load(path)
+        fields = F.transform_keys(F.from_json(F.col("value"), T.MapType(T.StringType(), T.StringType())),
+                                  lambda k, v: F.lower(k))
+        return text.select(*[fields.getItem(f.name.lower()).cast(f.dataType).alias(f.name)
+                             for f in schema.fields])
     return conform(reader.schema(schema).load(path), schema)
 
 
