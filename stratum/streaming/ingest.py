@@ -16,6 +16,7 @@ run: it picks up every raw partition whose run id is not yet merged.
 from __future__ import annotations
 
 import datetime as _dt
+import json
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -114,6 +115,11 @@ RUNS_SCHEMA = ("run_id STRING, pipeline STRING, stage STRING, procedure STRING,
                "error_code BIGINT, error_message STRING")
 
 
+REFRESH_SCHEMA = ("name STRING, schema_name STRING, data_timestamp TIMESTAMP_NTZ, refresh_end_time TIMESTAMP_NTZ, "
+                  "state STRING, state_code STRING, state_message STRING, refresh_action STRING, "
+                  "query_id STRING, statistics STRING")
+
+
 def _now() -> _dt.datetime:
     return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
 
@@ -152,6 +158,7 @@ class IncrementalPipeline:
         self.versions = f"{self.root}/_versions"
         self.loads = f"{self.root}/_load_history"
         self.events = f"{self.root}/_events"
+        self.refreshes = f"{self.root}/_refresh_history"
         self.task_history = f"{self.root}/_task_history"
 
     def _versions(self) -> DataFrame:
@@ -189,13 +196,16 @@ class IncrementalPipeline:
         """
         scheduled = _now()
         steps: list[dict] = []
+        self._refreshing: list[tuple] = []
         try:
             result = self._run(run_id, as_of, steps)
         except Exception as exc:
+            message = f"{type(exc).__name__}: {exc}"[:500]
             if steps and steps[-1]["status"] == "RUNNING":
-                steps[-1].update(status="FAILED", ended_at=_now(), error_code=1,
-                                 error_message=f"{type(exc).__name__}: {exc}"[:500])
-            self._log(run_id, steps, scheduled, "FAILED", None, f"{type(exc).__name__}: {exc}"[:500])
+                steps[-1].update(status="FAILED", ended_at=_now(), error_code=1, error_message=message)
+            if self._refreshing and self._refreshing[-1][4] == "RUNNING":
+                self._refresh_row(*self._refreshing.pop()[:3], "FAILED", message, None, run_id, as_of)
+            self._log(run_id, steps, scheduled, "FAILED", None, message)
             raise
         state = "SUCCEEDED" if result["merged"] else "SKIPPED"
         text = (f"Merged {result['rows_inserted']} rows into version {result['version']}"
@@ -239,6 +249,8 @@ class IncrementalPipeline:
          .option("partitionOverwriteMode", "dynamic").mode("overwrite")
          .partitionBy("_v").parquet(self.staged_root))
         rows_inserted = observed.get["rows_inserted"]
+        self._refresh_row("DT_EMPLOYEE_DATA_STG", "SILVER", previous, "SUCCEEDED", None,
+                          rows_inserted, run_id, as_of)
         load.update(status="SUCCESS", ended_at=_now(),
                     result=f"Processed {rows_inserted} new rows into {staging.STAGED_TABLE} with etl_run_id={run_id}")
 
@@ -246,19 +258,36 @@ class IncrementalPipeline:
                            ",".join(self.mart_measures))
         added = self.spark.read.parquet(f"{self.staged_root}/_v={version}")
         for name, measures in self.mart_measures.items():
+            self._refreshing.append((f"DT_{name.upper()}", "GOLD", previous, None, "RUNNING"))
             delta = refresh.mart_state(added, [self.group], measures)
             state = delta if previous == 0 else refresh.apply_delta(
                 self.spark.read.parquet(tables.snapshot_path(f"{self.root}/{name}_state", previous)),
                 delta, [self.group], measures)
             state = tables.publish_snapshot(state, f"{self.root}/{name}_state", version)
-            tables.publish_snapshot(
+            mart = tables.publish_snapshot(
                 refresh.finalize(state, [self.group], measures, marts.mart_stamps(as_of, run_id)),
                 f"{self.root}/{name}", version)
+            self._refreshing.pop()
+            self._refresh_row(f"DT_{name.upper()}", "GOLD", previous, "SUCCEEDED", None, mart.count(),
+                              run_id, as_of)
         build.update(status="SUCCESS", ended_at=_now(), result=f"Built {len(self.mart_measures)} marts")
         tables.append_rows(self.spark.createDataFrame([(version, r) for r in pending_runs],
                                                       "version BIGINT, run_id STRING"), self.versions)
         return {"run_id": run_id, "merged": True, "version": version, "rows_inserted": rows_inserted}
 
+    def _refresh_row(self, name: str, schema_name: str, previous: int, state: str, message, rows,
+                     run_id: str, as_of) -> None:
+        """One refresh-history row: data time, completion, state and row statistics (JSON)."""
+        stats = None if rows is None else json.dumps(
+            {"numInsertedRows": int(rows), "numDeletedRows": 0, "numCopiedRows": 0})
+        row = (name, schema_name, _dt.datetime.fromisoformat(str(as_of)), _now(), state,
+               "SUCCESS" if state == "SUCCEEDED" else "ERROR", message,
+               "INCREMENTAL" if previous else "FULL", f"{run_id}:{name}", stats)
+        tables.append_rows(self.spark.createDataFrame([row], REFRESH_SCHEMA), self.refreshes)
+
+    def refresh_history(self) -> DataFrame:
+        return self.spark.read.parquet(self.refreshes)
+
     def _log(self, run_id: str, steps: list[dict], scheduled, state: str, text, error) -> None:
         if steps:
             runs = self.spark.createDataFrame([{k: v for k, v in s.items()} for s in steps], RUNS_SCHEMA)

@@ -57,6 +57,13 @@ def test_pipeline_gate_and_replay(spark):
                for r in observe.event_summary(log, "2100-01-01 00:00:00", days=365 * 200).collect()}
     assert summary == {("silver_load", "STARTED"): 2, ("silver_load", "SUCCESS"): 2,
                        ("gold_materialize", "STARTED"): 2, ("gold_materialize", "SUCCESS"): 2}
+    hist = p.refresh_history()
+    totals = {r.name: (r.total_refreshes, r.successful_refreshes, r.total_rows_inserted)
+              for r in observe.refresh_summary(hist, "2100-01-01 00:00:00", days=365 * 200).collect()}
+    assert totals == {"DT_EMPLOYEE_DATA_STG": (2, 2, 9), "DT_SURVEY_RESULTS": (2, 2, 2)}
+    fresh = refresh.freshness(hist).collect()
+    assert {r.name: r.last_completed_refresh_state for r in fresh} == {
+        "DT_EMPLOYEE_DATA_STG": "SUCCEEDED", "DT_SURVEY_RESULTS": "SUCCEEDED"}
 
 
 def test_bounded_batches_and_archive(spark):
@@ -84,4 +91,6 @@ def test_failed_stage_is_logged_as_failed_and_raised(spark):
     statuses = sorted(r.value.split('"status":"')[1].split('"')[0] for r in p.event_log().collect())
     assert statuses == ["FAILED", "STARTED", "STARTED", "SUCCESS"]
     assert [r.state for r in p.task_runs().collect()] == ["FAILED"]
+    assert sorted((r.name, r.state) for r in p.refresh_history().collect()) == [
+        ("DT_DEMOGRAPHICS", "FAILED"), ("DT_EMPLOYEE_DATA_STG", "SUCCEEDED")]
     assert p.current_version() == 0  # nothing published: the next run redoes the whole merge
