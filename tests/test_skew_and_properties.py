@@ -84,3 +84,28 @@ def test_merge_of_diff_restores_after(spark, before_keys, after_keys, flips):
     a = spark.createDataFrame(after, SCHEMA)
     merged = merge_changes(b, snapshot_diff(b, a, "k"), "k")
     assert rows(merged) == sorted(after, key=repr)
+
+
+rows_st = st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 6)), st.sampled_from(["a", "b"])), max_size=14)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(before=rows_st, after=rows_st)
+def test_diff_matches_brute_force_bag_difference(spark, before, after):
+    from collections import Counter
+    b = spark.createDataFrame(before, "k bigint, v string")
+    a = spark.createDataFrame(after, "k bigint, v string")
+    got = Counter((r.k, r.v, r._action, r._is_update) for r in snapshot_diff(b, a, "k").collect())
+    gone, new = Counter(before) - Counter(after), Counter(after) - Counter(before)
+    per_key = Counter()
+    for (k, _), n in gone.items():
+        per_key[(k, "d")] += n
+    for (k, _), n in new.items():
+        per_key[(k, "i")] += n
+    paired = lambda k: k is not None and per_key[(k, "d")] == 1 and per_key[(k, "i")] == 1
+    want = Counter()
+    for (k, v), n in gone.items():
+        want[(k, v, "DELETE", paired(k))] += n
+    for (k, v), n in new.items():
+        want[(k, v, "INSERT", paired(k))] += n
+    assert got == want
