@@ -109,3 +109,50 @@ def test_diff_matches_brute_force_bag_difference(spark, before, after):
     for (k, v), n in new.items():
         want[(k, v, "INSERT", paired(k))] += n
     assert got == want
+
+
+class _Ambiguous(Exception):
+    pass
+
+
+def _merge_by_hand(target, feed):
+    """The MERGE fate table, row by row in plain Python."""
+    src = [r for r in feed if not (r[2] == "DELETE" and r[3])]
+    out = []
+    for k, v, s in target:
+        if k is None:
+            out.append((k, v, s))
+            continue
+        rows = [r for r in src if r[0] == k]
+        dels = [r for r in rows if r[2] == "DELETE"]
+        upds = [r for r in rows if r[2] == "INSERT" and r[3]]
+        if len(dels) + len(upds) > 1:
+            raise _Ambiguous
+        if dels:
+            continue
+        out.append((k, upds[0][1], "new") if upds else (k, v, s))
+    keys = {k for k, _, _ in target if k is not None}
+    out += [(r[0], r[1], "new") for r in src if r[2] == "INSERT" and (r[0] is None or r[0] not in keys)]
+    return sorted(out, key=repr)
+
+
+key_st = st.one_of(st.none(), st.integers(0, 4))
+target_st = st.lists(st.tuples(key_st, st.sampled_from(["a", "b"]), st.just("old")), max_size=8)
+feed_st = st.lists(st.tuples(key_st, st.sampled_from(["x", "y"]), st.sampled_from(["INSERT", "DELETE"]),
+                             st.booleans()), max_size=6)
+
+
+@settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(target=target_st, feed=feed_st)
+def test_merge_matches_the_fate_table_by_hand(spark, target, feed):
+    import pytest
+    t = spark.createDataFrame(target, "k bigint, v string, s string")
+    f = spark.createDataFrame(feed, "k bigint, v string, _action string, _is_update boolean")
+    out = merge_changes(t, f, "k", stamps={"s": F.lit("new")})
+    try:
+        want = _merge_by_hand(target, feed)
+    except _Ambiguous:
+        with pytest.raises(Exception, match="several DELETE/UPDATE"):
+            out.collect()
+        return
+    assert rows(out) == want
