@@ -23,7 +23,17 @@ from stratum.operators.staging import conform
 
 
 def load_by_name(spark: SparkSession, path: str, schema: T.StructType, *, fmt: str = "parquet",
-                 pattern: str | None = None, options: dict | None = None) -> DataFrame:
+                 pattern: str | None = None, regex: str | None = None,
+                 options: dict | None = None) -> DataFrame:
+    """Load files under `path` into `schema`, columns matched by name ignoring case.
+
+    `pattern` is a glob on file names, applied while listing; `regex` a full
+    regular expression on the file path (e.g. `.*employee_data_part_.*[.]parquet`),
+    applied to the file-metadata column of each row.
+    """
+    if regex:
+        df = load_by_name(spark, path, schema, fmt=fmt, pattern=pattern, options=options, regex=None)
+        return df.filter(F.col("_metadata.file_path").rlike(f"^(?:{regex})$"))
     reader = spark.read.format(fmt)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)

@@ -94,3 +94,12 @@ def test_failed_stage_is_logged_as_failed_and_raised(spark):
     assert sorted((r.name, r.state) for r in p.refresh_history().collect()) == [
         ("DT_DEMOGRAPHICS", "FAILED"), ("DT_EMPLOYEE_DATA_STG", "SUCCEEDED")]
     assert p.current_version() == 0  # nothing published: the next run redoes the whole merge
+
+
+def test_regex_file_filter(spark):
+    landing = work_dir(spark, "t_landing")
+    schema = spark.createDataFrame([], SCHEMA).schema
+    _land(spark, landing, range(4))
+    _land(spark, landing, range(100, 103), prefix="employee_archive")
+    got = files.load_by_name(spark, landing, schema, regex=r".*employee_data_part_.*[.]parquet")
+    assert sorted(r.employee_number for r in got.collect()) == [0, 1, 2, 3]
