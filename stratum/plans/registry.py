@@ -182,7 +182,8 @@ def _dt_survey(spark, sf_dir):
     feed = changes.snapshot_diff(before, after, "event_id")  # read once: no need to store it
     measures = refresh.survey_measures()
     stage = lambda raw: staging.stage_rows(raw, as_of=fx.AS_OF, process_type="dt_refresh")
-    state = refresh.mart_state(stage(before.selectExpr(*fx.RAW_FROM_EVENTS)), ["department"], measures)
+    from stratum.sources.tables import spread_input
+    state = refresh.mart_state(stage(spread_input(before).selectExpr(*fx.RAW_FROM_EVENTS)), ["department"], measures)
     delta_rows = stage(feed.selectExpr(*fx.RAW_FROM_EVENTS, "_action"))
     state = refresh.refresh_mart(state, delta_rows, changes.signed_weight(feed), ["department"], measures)
     return refresh.finalize(state, ["department"], measures,
