@@ -84,7 +84,7 @@ def json_text(pairs: list[tuple[str, str]]) -> str:
     return f"('{{' || rtrim({joined}, ',') || '}}')"
 
 
-VALUE_COLS = [c for c in __import__("stratum.plans.fixtures", fromlist=["x"]).ORDER_COLUMNS if c != "o_orderkey"]
+VALUE_COLS = [c for c in fx.ORDER_COLUMNS if c != "o_orderkey"]
 
 
 def _distinct(a: str, b: str) -> str:
