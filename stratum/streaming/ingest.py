@@ -68,7 +68,14 @@ def ingest_new_files(spark: SparkSession, landing: str, raw_table: str, checkpoi
                      schema: T.StructType, *, run_id: str, pattern: str | None = None,
                      fmt: str = "parquet", max_files_per_trigger: int | None = None,
                      archive_dir: str | None = None) -> DataFrame:
-    """Load files not loaded before into `raw_table`; return this run's rows."""
+    """Load files not loaded before into `raw_table`; return this run's rows.
+
+    A new checkpoint (re-creating the load) needs a new `raw_table` folder:
+    the sink's own log would otherwise skip the batch ids it already holds
+    and drop the reloaded rows, so that combination is refused.
+    """
+    if not _exists(spark, checkpoint) and _exists(spark, f"{raw_table.rstrip('/')}/_spark_metadata"):
+        raise ValueError(f"{raw_table} already has a stream log; load into a new folder with a new checkpoint")
     stream = (file_stream(spark, landing, schema, pattern=pattern, fmt=fmt,
                           max_files_per_trigger=max_files_per_trigger, archive_dir=archive_dir)
               .withColumn(FILE_COL, F.col("_metadata.file_name"))
@@ -77,6 +84,12 @@ def ingest_new_files(spark: SparkSession, landing: str, raw_table: str, checkpoi
     return read_raw(spark, raw_table, schema).filter(F.col(RUN_COL) == run_id)
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    from stratum.sources.files import _fs
+    fs, p = _fs(spark, path)
+    return bool(fs.exists(p))
+
+
 def read_raw(spark: SparkSession, raw_table: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(_raw_schema(schema)).parquet(raw_table)
 

@@ -103,3 +103,24 @@ def test_regex_file_filter(spark):
     _land(spark, landing, range(100, 103), prefix="employee_archive")
     got = files.load_by_name(spark, landing, schema, regex=r".*employee_data_part_.*[.]parquet")
     assert sorted(r.employee_number for r in got.collect()) == [0, 1, 2, 3]
+
+
+def test_new_checkpoint_loads_everything_again(spark):
+    """Re-creating the load pipe clears its history: a fresh checkpoint reloads every file."""
+    root, landing = work_dir(spark, "t_pipe"), work_dir(spark, "t_landing")
+    schema = spark.createDataFrame([], SCHEMA).schema
+    _land(spark, landing, range(5))
+    args = dict(pattern="employee_data_part_*.parquet")
+    assert ingest.ingest_new_files(spark, landing, f"{root}/raw", f"{root}/ck1", schema, run_id="r1", **args).count() == 5
+    assert ingest.ingest_new_files(spark, landing, f"{root}/raw", f"{root}/ck1", schema, run_id="r2", **args).count() == 0
+    assert ingest.ingest_new_files(spark, landing, f"{root}/raw2", f"{root}/ck2", schema, run_id="r3", **args).count() == 5
+
+
+def test_new_checkpoint_on_old_raw_table_is_refused(spark):
+    import pytest
+    root, landing = work_dir(spark, "t_pipe"), work_dir(spark, "t_landing")
+    schema = spark.createDataFrame([], SCHEMA).schema
+    _land(spark, landing, range(3))
+    ingest.ingest_new_files(spark, landing, f"{root}/raw", f"{root}/ck1", schema, run_id="r1")
+    with pytest.raises(ValueError, match="stream log"):
+        ingest.ingest_new_files(spark, landing, f"{root}/raw", f"{root}/ck2", schema, run_id="r2")
