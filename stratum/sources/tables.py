@@ -66,3 +66,12 @@ def spread_input(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
         return df
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
+def truncate_table(spark: SparkSession, path: str) -> DataFrame:
+    """TRUNCATE TABLE: keep the schema, drop every row (the schema is read first,
+    so the folder being overwritten is not also being read)."""
+    schema = spark.read.parquet(path).schema
+    empty = spark.createDataFrame([], schema)
+    empty.write.mode("overwrite").parquet(path)
+    return spark.read.schema(schema).parquet(path)

@@ -41,3 +41,12 @@ def test_quarantine_and_score(spark):
     assert sorted(r.reject_reason for r in bad.collect()) == ["null_key", "too_big"]
     sc = {r.check_name: r for r in quality.quality_score(df, {"null_key": F.col("k").isNull()}, table_name="t").collect()}
     assert sc["null_key"].issue_count == 1 and abs(sc["null_key"].quality_score - 2 / 3) < 1e-12
+
+
+def test_truncate_keeps_schema(spark):
+    from stratum.session import work_dir
+    from stratum.sources import tables
+    path = work_dir(spark, "t_trunc")
+    tables.replace_table(spark.createDataFrame([(1, "a")], "k bigint, v string"), path)
+    out = tables.truncate_table(spark, path)
+    assert out.count() == 0 and out.dtypes == [("k", "bigint"), ("v", "string")]
