@@ -210,6 +210,7 @@ class IncrementalPipeline:
         scheduled = _now()
         steps: list[dict] = []
         self._refreshing: list[tuple] = []
+        self._refresh_rows: list[tuple] = []
         try:
             result = self._run(run_id, as_of, steps)
         except Exception as exc:
@@ -300,15 +301,19 @@ class IncrementalPipeline:
         """One refresh-history row: data time, completion, state and row statistics (JSON)."""
         stats = None if rows is None else json.dumps(
             {"numInsertedRows": int(rows), "numDeletedRows": 0, "numCopiedRows": 0})
-        row = (name, schema_name, _dt.datetime.fromisoformat(str(as_of)), _now(), state,
-               "SUCCESS" if state == "SUCCEEDED" else "ERROR", message,
-               "INCREMENTAL" if previous else "FULL", f"{run_id}:{name}", stats)
-        tables.append_rows(self.spark.createDataFrame([row], REFRESH_SCHEMA), self.refreshes)
+        self._refresh_rows.append(
+            (name, schema_name, _dt.datetime.fromisoformat(str(as_of)), _now(), state,
+             "SUCCESS" if state == "SUCCEEDED" else "ERROR", message,
+             "INCREMENTAL" if previous else "FULL", f"{run_id}:{name}", stats))
 
     def refresh_history(self) -> DataFrame:
         return self.spark.read.parquet(self.refreshes)
 
     def _log(self, run_id: str, steps: list[dict], scheduled, state: str, text, error) -> None:
+        """Append the run's log rows, refresh-history rows and task-history row (one write each)."""
+        if self._refresh_rows:
+            tables.append_rows(self.spark.createDataFrame(self._refresh_rows, REFRESH_SCHEMA), self.refreshes)
+            self._refresh_rows = []
         if steps:
             runs = self.spark.createDataFrame([{k: v for k, v in s.items()} for s in steps], RUNS_SCHEMA)
             tables.append_rows(observe.event_rows(runs), self.events)
