@@ -50,7 +50,7 @@ def materialize(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def spread_input(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+def spread_input(df: DataFrame, min_partitions: int | None = None, max_factor: int = 64) -> DataFrame:
     """Give a freshly scanned input at least the session's parallelism.
 
     For a plain scan (+ narrow steps) that feeds a CPU-heavy row-wise step
@@ -59,13 +59,16 @@ def spread_input(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     `min_partitions` (default: the default parallelism), rows are dealt
     round-robin to that many. A large input -- many files or row groups -- is
     returned untouched, so at scale this adds nothing. Filters and column
-    pruning still reach the scan. Do not call it on a plan with shuffles:
+    pruning still reach the scan. Growth is capped at `max_factor` times the
+    scan's own partitions, so a small file on a large cluster is not dealt
+    into thousands of tiny tasks. Do not call it on a plan with shuffles:
     counting its partitions would run them.
     """
     if df.isStreaming:
         return df
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    have = df.rdd.getNumPartitions()
+    target = min(min_partitions or df.sparkSession.sparkContext.defaultParallelism, max(1, have) * max_factor)
+    return df.repartition(target) if have < target else df
 
 
 def truncate_table(spark: SparkSession, path: str) -> DataFrame:
