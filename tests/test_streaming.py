@@ -124,3 +124,21 @@ def test_new_checkpoint_on_old_raw_table_is_refused(spark):
     ingest.ingest_new_files(spark, landing, f"{root}/raw", f"{root}/ck1", schema, run_id="r1")
     with pytest.raises(ValueError, match="stream log"):
         ingest.ingest_new_files(spark, landing, f"{root}/raw", f"{root}/ck2", schema, run_id="r2")
+
+
+def test_cli_run_and_checks(spark):
+    import json
+    from stratum import cli
+    root, landing = work_dir(spark, "t_cli"), work_dir(spark, "t_landing")
+    _land(spark, landing, range(5))
+    full = ("employee_number bigint, employee_name string, gender string, department string, age double, "
+            "length_of_service double, engagement_survey string")  # absent columns load as NULL
+    assert cli.main(["run", "--root", root, "--landing", landing, "--schema", full,
+                     "--run-id", "r1", "--as-of", "2024-01-31 00:00:00"]) == 0
+    staged = f"{root}/staged"
+    raw = f"{root}/raw"
+    results = f"{root}/_dq"
+    assert cli.main(["checks", "--raw", raw, "--staged", staged, "--results", results,
+                     "--as-of", "2024-01-31 00:00:00"]) == 0
+    got = {r.check_name: r.issue_count for r in spark.read.parquet(results).collect()}
+    assert got == {"null_employee_number": 0, "invalid_survey_range": 5}  # only one of five scores present
