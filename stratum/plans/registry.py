@@ -538,6 +538,10 @@ def q_ingest_new_files(spark, sf_dir):
 @register("load_history")
 def q_load_history(spark, sf_dir):
     """Per-file load log of two refreshes, read back for the last 10 minutes."""
+    return ingest.recent_loads(_load_two_refreshes(spark, sf_dir), fx.AS_OF, minutes=10)
+
+
+def _load_two_refreshes(spark, sf_dir):
     root, landing = work_dir(spark, "pipe"), work_dir(spark, "landing")
     schema = _raw_schema(spark, sf_dir)
     hist = f"{root}/_load_history"
@@ -547,7 +551,21 @@ def q_load_history(spark, sf_dir):
         rows = ingest.ingest_new_files(spark, landing, f"{root}/raw", f"{root}/_ckpt", schema,
                                        run_id=run_id, pattern=FILE_PATTERN)
         tables.append_rows(ingest.load_history(rows, table_name=staging.RAW_TABLE, as_of=as_of), hist)
-    return ingest.recent_loads(tables.read_table(spark, hist), fx.AS_OF, minutes=10)
+    return tables.read_table(spark, hist)
+
+
+@register("load_history_by_slice", f"""SELECT '{staging.RAW_TABLE}' AS table_name,
+  lpad(CAST(employee_number % 5 + 1 AS VARCHAR), 2, '0') AS file_group,
+  CASE WHEN employee_number % 5 + 1 <= 3 THEN TIMESTAMP '2024-01-30 23:55:00' ELSE {o.TS_AS_OF} END AS last_load_time,
+  count(*) AS row_count
+FROM ({o.RAW_EVENTS}) r GROUP BY ALL""")
+def q_load_history_by_slice(spark, sf_dir):
+    """Rows loaded per landed file group in the last 10 minutes (the per-file history
+    rolled up to the name prefix each upload used)."""
+    recent = ingest.recent_loads(_load_two_refreshes(spark, sf_dir), fx.AS_OF, minutes=10)
+    group = F.regexp_extract(F.col("file_name"), r"employee_data_part_(\d+)_", 1)
+    return (recent.groupBy("table_name", group.alias("file_group"), "last_load_time")
+            .agg(F.sum("row_count").alias("row_count")))
 
 
 def _pipeline_runs(spark, sf_dir):
