@@ -98,14 +98,11 @@ def quarantine(df: DataFrame, rules: Mapping[str, Column], reason_col: str = "re
 def quality_score(df: DataFrame, checks: Mapping[str, Column], *, table_name: str) -> DataFrame:
     """Per check: rows checked, rows failing, and the passing share -- all checks
     in one scan (one global aggregate), then one output row per check."""
-    aggs = [F.count(F.lit(1)).alias("__rows")]
-    aggs += [F.count_if(F.coalesce(cond, F.lit(False))).alias(f"__c{i}") for i, cond in enumerate(checks.values())]
-    counted = df.agg(*aggs)
-    stacked = F.explode(F.array(*[
-        F.struct(F.lit(name).alias("check_name"), F.col(f"__c{i}").alias("issue_count"))
-        for i, name in enumerate(checks)]))
-    return counted.select(F.col("__rows").alias("rows_checked"), stacked.alias("__c")).select(
-        "__c.check_name", F.lit(table_name).alias("table_name"), "rows_checked", "__c.issue_count",
+    aggs = [F.count(F.lit(1)).alias("rows_checked")]
+    aggs += [F.count_if(F.coalesce(cond, F.lit(False))).alias(name) for name, cond in checks.items()]
+    counted = df.agg(*aggs).unpivot("rows_checked", list(checks), "check_name", "issue_count")
+    return counted.select(
+        "check_name", F.lit(table_name).alias("table_name"), "rows_checked", "issue_count",
         F.try_divide((F.col("rows_checked") - F.col("issue_count")).cast("double"),
                      F.col("rows_checked").cast("double")).alias("quality_score"))
 
