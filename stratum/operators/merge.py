@@ -33,7 +33,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from stratum.operators.changes import ACTION, IS_UPDATE, NULL_SPREAD, _keys, any_null, null_spread
@@ -112,8 +112,14 @@ def insert_new_keys(target: DataFrame, changes: DataFrame, key: str | list[str],
 
 def merge_changes(target: DataFrame, changes: DataFrame, key: str | list[str], *,
                   stamps: Mapping[str, Column] | None = None,
-                  action_col: str = ACTION, update_col: str = IS_UPDATE) -> DataFrame:
-    """The target table after the MERGE, with target's schema and column order."""
+                  action_col: str = ACTION, update_col: str = IS_UPDATE,
+                  observation: Observation | None = None) -> DataFrame:
+    """The target table after the MERGE, with target's schema and column order.
+
+    With `observation`, the rows inserted / updated / deleted are counted
+    while the result is computed (read `observation.get` after the write):
+    the MERGE's affected-row counts without a second pass.
+    """
     keys = _keys(key)
     stamps = dict(stamps or {})
     target_fates, inserts, value_cols = _plan(target, changes, keys, action_col, update_col)
@@ -127,7 +133,7 @@ def merge_changes(target: DataFrame, changes: DataFrame, key: str | list[str], *
             kept_cols.append(F.when(is_update, F.col("__new").getField(c)).otherwise(F.col(c)).alias(c))
         else:
             kept_cols.append(F.col(c))
-    kept = target_fates.filter(F.col(FATE) != "DELETE").select(*kept_cols)
+    kept = target_fates.select(*kept_cols, FATE)
 
     types = dict(target.dtypes)
     ins_cols = []
@@ -138,7 +144,13 @@ def merge_changes(target: DataFrame, changes: DataFrame, key: str | list[str], *
             ins_cols.append(F.col(c).cast(types[c]).alias(c))
         else:
             ins_cols.append(F.lit(None).cast(types[c]).alias(c))
-    return kept.unionByName(inserts.select(*ins_cols))
+    both = kept.unionByName(inserts.select(*ins_cols, F.lit("INSERT").alias(FATE)))
+    if observation is not None:
+        fate = F.col(FATE)
+        both = both.observe(observation, F.count_if(fate == "INSERT").alias("rows_inserted"),
+                            F.count_if(fate == "UPDATE").alias("rows_updated"),
+                            F.count_if(fate == "DELETE").alias("rows_deleted"))
+    return both.filter(F.col(FATE) != "DELETE").drop(FATE)
 
 
 def merge_counts(target: DataFrame, changes: DataFrame, key: str | list[str], *,

@@ -35,6 +35,11 @@ def test_every_fate(spark):
     ], key=repr)
     c = merge_counts(target, feed, "k").first()
     assert (c.rows_inserted, c.rows_updated, c.rows_deleted) == (5, 3, 1)
+    from pyspark.sql import Observation
+    obs = Observation("merge")
+    merge_changes(target, feed, "k", stamps={"staged_at": F.lit("new")}, observation=obs) \
+        .write.format("noop").mode("overwrite").save()
+    assert obs.get == {"rows_inserted": 5, "rows_updated": 3, "rows_deleted": 1}
 
 
 def test_ambiguous_changes_raise(spark):
