@@ -57,3 +57,19 @@ def test_flatten_object(spark):
                                "id int, j string")
     got = sorted((r.id, r.key, r.value) for r in flatten_object(df, "j", keep=["id"]).collect())
     assert got == [(1, "a", "1"), (1, "b", '{"x":2}'), (1, "c", "t"), (1, "d", None)]
+
+
+def test_scalar_helpers(spark):
+    from stratum.functions.scalars import json_object, seconds_between, ts_literal, avg_exact
+    df = spark.createDataFrame([("2024-01-01 00:00:00.9", "2024-01-01 00:00:01.1", None)],
+                               "a string, b string, n string")
+    r = df.select(
+        seconds_between(F.col("a").cast("timestamp_ntz"), F.col("b").cast("timestamp_ntz")).alias("boundaries"),
+        json_object([("x", F.lit(1)), ("n", F.col("n")), ("s", F.lit("t"))]).alias("obj"),
+        ts_literal("2024-01-31 00:00:00").alias("ts"),
+    ).first()
+    assert r.boundaries == 1          # .9 -> 1.1 crosses one second boundary
+    assert r.obj == '{"x":1,"s":"t"}'  # NULL-valued keys are left out
+    assert dict(df.select(ts_literal("2024-01-31 00:00:00").alias("t")).dtypes)["t"] == "timestamp_ntz"
+    empty = spark.createDataFrame([(None,)], "v bigint").agg(avg_exact(F.col("v")).alias("a")).first()
+    assert empty.a is None
