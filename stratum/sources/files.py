@@ -91,8 +91,3 @@ def land_files(spark: SparkSession, df: DataFrame, slice_col: str, dest: str, pr
                 raise OSError(f"could not land {f} as {target}")
             landed.append(target)
     return landed
-
-
-def with_source_file(df: DataFrame, name: str = "_source_file") -> DataFrame:
-    """Add the name of the file each row came from (file-source metadata column)."""
-    return df.withColumn(name, F.col("_metadata.file_name"))

@@ -331,7 +331,3 @@ class IncrementalPipeline:
 
     def load_history(self) -> DataFrame:
         return self.spark.read.parquet(self.loads)
-
-
-def stamp_columns(as_of, run_id: str) -> dict[str, Column]:
-    return staging.lineage_stamps(as_of, staging.RAW_STREAM, run_id)
