@@ -33,15 +33,25 @@ def any_of(conds: Sequence[Column]) -> Column:
 
 def issue_report(issues: DataFrame, *, check_name: str, layer: str, table_name: str,
                  sample: Sequence[tuple[str, Column | str]], array_key: str, as_of,
-                 limit: int = 10) -> DataFrame:
+                 limit: int = 10, stage_issues: str | None = None) -> DataFrame:
     """One result row for the issue rows `issues`.
 
     `sample` = [(json key, column)]; up to `limit` issue rows, the smallest in
     the order of those columns (NULLs first), become `{array_key: [...]}`
     with NULL-valued keys left out.
+
+    The count and the sample are two branches over `issues`, i.e. two scans of
+    the checked table. With `stage_issues` (a folder in the shared checkpoint
+    area) the issue rows -- only the sampled fields -- are written once in a
+    single scan and both branches read that table instead: the better plan
+    when issues are few next to the table, the worse one when most rows fail.
     """
     fields = [(F.col(c) if isinstance(c, str) else c).alias(k) for k, c in sample]
     keys = [k for k, _ in sample]
+    if stage_issues:
+        from stratum.sources.tables import materialize
+        issues = materialize(issues.select(*fields), stage_issues)
+        fields = [F.col(k) for k in keys]
     picked = (issues.select(*fields).orderBy(*[F.col(k).asc_nulls_first() for k in keys]).limit(limit)
               .select(F.lit(0).cast("bigint").alias("__n"), F.struct(*keys).alias("__s")))
     counted = issues.agg(F.count(F.lit(1)).alias("__n")).select(
@@ -58,23 +68,26 @@ def issue_report(issues: DataFrame, *, check_name: str, layer: str, table_name:
 
 
 def null_check(df: DataFrame, column: str, *, sample: Sequence[tuple[str, Column | str]],
-               check_name: str, layer: str, table_name: str, as_of, limit: int = 10) -> DataFrame:
+               check_name: str, layer: str, table_name: str, as_of, limit: int = 10,
+               stage_issues: str | None = None) -> DataFrame:
     """Rows whose `column` is NULL: count and `{"sample_rows": [...]}`."""
     return issue_report(df.filter(F.col(column).isNull()), check_name=check_name, layer=layer,
-                        table_name=table_name, sample=sample, array_key="sample_rows", as_of=as_of, limit=limit)
+                        table_name=table_name, sample=sample, array_key="sample_rows", as_of=as_of, limit=limit,
+                        stage_issues=stage_issues)
 
 
 def range_check(df: DataFrame, columns: Sequence[str], *, sample: Sequence[tuple[str, Column | str]],
                 check_name: str, layer: str, table_name: str, as_of, lo: int = 1, hi: int = 5,
-                limit: int = 10) -> DataFrame:
+                limit: int = 10, stage_issues: str | None = None) -> DataFrame:
     """Rows with any of `columns` outside [lo, hi] or NULL: count and `{"bad_rows": [...]}`."""
     bad = any_of([out_of_range(F.col(c), lo, hi) for c in columns])
     return issue_report(df.filter(bad), check_name=check_name, layer=layer, table_name=table_name,
-                        sample=sample, array_key="bad_rows", as_of=as_of, limit=limit)
+                        sample=sample, array_key="bad_rows", as_of=as_of, limit=limit, stage_issues=stage_issues)
 
 
 def ref_check(df: DataFrame, fk: str, parent: DataFrame, pk: str, *, sample: Sequence[tuple[str, Column | str]],
-              check_name: str, layer: str, table_name: str, as_of, limit: int = 10) -> DataFrame:
+              check_name: str, layer: str, table_name: str, as_of, limit: int = 10,
+              stage_issues: str | None = None) -> DataFrame:
     """Referential integrity: non-NULL `fk` values with no `pk` in `parent` (left anti join).
 
     NULL foreign keys are not violations and never enter the join.
@@ -82,7 +95,8 @@ def ref_check(df: DataFrame, fk: str, parent: DataFrame, pk: str, *, sample: Seq
     orphans = df.filter(F.col(fk).isNotNull()).join(
         parent.select(F.col(pk).alias(fk)), on=fk, how="left_anti")
     return issue_report(orphans, check_name=check_name, layer=layer, table_name=table_name,
-                        sample=sample, array_key="sample_rows", as_of=as_of, limit=limit)
+                        sample=sample, array_key="sample_rows", as_of=as_of, limit=limit,
+                        stage_issues=stage_issues)
 
 
 def quarantine(df: DataFrame, rules: Mapping[str, Column], reason_col: str = "reject_reason"

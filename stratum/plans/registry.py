@@ -364,8 +364,12 @@ def _range_oracle(staged_sql, ts=o.TS_AS_OF):
                        ts=ts, ts_keys=("staged_at",))
 
 
-register("null_check", _null_oracle(o.RAW_ORDERS))(
-    lambda spark, sf_dir: _null_check(fx.raw_from_orders(spark, sf_dir), fx.AS_OF))
+@register("null_check", _null_oracle(o.RAW_ORDERS))
+def q_null_check(spark, sf_dir):
+    """NULL keys are ~1 % of rows: stage the issue rows once, then count and sample them."""
+    return quality.null_check(fx.raw_from_orders(spark, sf_dir), "employee_number", sample=NULL_SAMPLE,
+                              check_name="null_employee_number", layer="bronze", table_name=staging.RAW_TABLE,
+                              as_of=fx.AS_OF, stage_issues=work_dir(spark, "null_issues"))
 register("range_check", _range_oracle(_STAGED_EVENTS))(
     lambda spark, sf_dir: _range_check(staged_events(spark, sf_dir), fx.AS_OF))
 

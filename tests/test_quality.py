@@ -50,3 +50,12 @@ def test_truncate_keeps_schema(spark):
     tables.replace_table(spark.createDataFrame([(1, "a")], "k bigint, v string"), path)
     out = tables.truncate_table(spark, path)
     assert out.count() == 0 and out.dtypes == [("k", "bigint"), ("v", "string")]
+
+
+def test_staged_issues_give_the_same_report(spark):
+    from stratum.session import work_dir
+    df = spark.createDataFrame([(None if i % 4 == 0 else i, f"n{i % 7}") for i in range(200)], "k bigint, name string")
+    args = dict(sample=[("name", "name")], check_name="c", layer="l", table_name="t", as_of="2024-01-31 00:00:00")
+    plain = quality.null_check(df, "k", **args).first()
+    staged = quality.null_check(df, "k", stage_issues=work_dir(spark, "t_issues"), **args).first()
+    assert plain == staged and plain.issue_count == 50
