@@ -73,23 +73,28 @@ RAW_FROM_ORDERS = [
 
 ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 
-# A change scenario over the whole orders table: "before" lacks every 10th
-# key; "after" drops every 7th key, reprices keys = 1 (mod 7), and has the
-# 10th keys. Every row of orders is read on both sides.
-BEFORE_FILTER = "o_orderkey % 10 <> 0"
-AFTER_FILTER = "o_orderkey % 7 <> 0"
+# A change scenario over the whole orders table: "before" is the table as it
+# stood before the 2001 orders arrived; "after" is today's table, in which
+# low-priority pending orders were cancelled (deleted) and open urgent orders
+# repriced (updated). Every row of orders is read for both snapshots.
+BEFORE_FILTER = "year(o_orderdate) < 2001"
+AFTER_FILTER = "NOT (o_orderstatus = 'P' AND o_orderpriority = '5-LOW')"
 AFTER_COLUMNS = [
     "o_orderkey", "o_custkey", "o_orderstatus",
-    "CASE WHEN o_orderkey % 7 = 1 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice",
+    "CASE WHEN o_orderstatus = 'O' AND o_orderpriority = '1-URGENT' THEN o_totalprice + 1 "
+    "ELSE o_totalprice END AS o_totalprice",
     "o_orderdate", "o_orderpriority",
 ]
 
 EVENT_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
-EVENTS_BEFORE_FILTER = "event_id % 10 <> 0"
-EVENTS_AFTER_FILTER = "event_id % 7 <> 0"
+# The same for events: "before" is the stream up to 24 January; "after" has
+# the later events, drops retracted low-value error events and reassigns
+# high-value purchases to another user.
+EVENTS_BEFORE_FILTER = "day(ts) < 25"
+EVENTS_AFTER_FILTER = "NOT (event_type = 'error' AND value < 5)"
 EVENTS_AFTER_COLUMNS = [
     "event_id", "ts",
-    "CASE WHEN event_id % 7 = 1 THEN user_id + 1 ELSE user_id END AS user_id",
+    "CASE WHEN event_type = 'purchase' AND value >= 25 THEN user_id + 1 ELSE user_id END AS user_id",
     "event_type", "value", "props",
 ]
 
