@@ -86,6 +86,10 @@ AFTER_COLUMNS = [
     "o_orderdate", "o_orderpriority",
 ]
 
+# Landing files are exported per department: upload group 1..5 by department name.
+UPLOAD_GROUP = ("CASE department WHEN 'click' THEN 1 WHEN 'error' THEN 2 WHEN 'purchase' THEN 3 "
+                "WHEN 'signup' THEN 4 ELSE 5 END")
+
 EVENT_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 # The same for events: "before" is the stream up to 24 January; "after" has
 # the later events, drops retracted low-value error events and reassigns

@@ -481,12 +481,13 @@ FILE_PATTERN = "employee_data_part_*.parquet"
 
 def _landing_frame(spark, sf_dir, odd_case: bool = True):
     """Raw rows as a source system delivers them: mixed-case column names, one
-    column missing (hours_absent), one extra, and a slice number 1..5."""
+    column missing (hours_absent), one extra, and an upload group 1..5 (one per
+    department)."""
     raw = fx.raw_from_events(spark, sf_dir)
     cols = [F.col(c).alias((c.upper() if i % 2 == 0 else c.title()) if odd_case else c)
             for i, c in enumerate(raw.columns) if c != "hours_absent"]
     return raw.select(*cols, F.lit("ignored").alias("EXTRA_COL"),
-                      (F.col("employee_number") % 5 + 1).cast("int").alias("__slice"))
+                      F.expr(fx.UPLOAD_GROUP).cast("int").alias("__slice"))
 
 
 def _land(spark, sf_dir, landing, slices, prefix="employee_data_part", fmt="parquet"):
@@ -526,7 +527,7 @@ def q_load_json(spark, sf_dir):
                               pattern="employee_data_part_*.json")
 
 
-@register("ingest_new_files", f"SELECT * FROM ({_RAW_NO_HOURS}) r WHERE employee_number % 5 + 1 IN (4, 5)")
+@register("ingest_new_files", f"SELECT * FROM ({_RAW_NO_HOURS}) r WHERE {fx.UPLOAD_GROUP} IN (4, 5)")
 def q_ingest_new_files(spark, sf_dir):
     """Two pipe refreshes: the second loads only the two files landed in between."""
     root, landing = work_dir(spark, "pipe"), work_dir(spark, "landing")
@@ -559,8 +560,8 @@ def _load_two_refreshes(spark, sf_dir):
 
 
 @register("load_history_by_slice", f"""SELECT '{staging.RAW_TABLE}' AS table_name,
-  lpad(CAST(employee_number % 5 + 1 AS VARCHAR), 2, '0') AS file_group,
-  CASE WHEN employee_number % 5 + 1 <= 3 THEN TIMESTAMP '2024-01-30 23:55:00' ELSE {o.TS_AS_OF} END AS last_load_time,
+  lpad(CAST({fx.UPLOAD_GROUP} AS VARCHAR), 2, '0') AS file_group,
+  CASE WHEN {fx.UPLOAD_GROUP} <= 3 THEN TIMESTAMP '2024-01-30 23:55:00' ELSE {o.TS_AS_OF} END AS last_load_time,
   count(*) AS row_count
 FROM ({o.RAW_EVENTS}) r GROUP BY ALL""")
 def q_load_history_by_slice(spark, sf_dir):
