@@ -49,17 +49,21 @@ def checkpoint_root(spark: SparkSession) -> str:
     executors, so an unset setting is an error there.
     """
     root = spark.conf.get(_CHECKPOINT_KEY, None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: only the conf is visible
+        sc = None
+    if not root and sc is not None:
+        root = sc.getCheckpointDir()
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if sc is None or not sc.master.startswith("local"):
             raise RuntimeError(f"set {_CHECKPOINT_KEY} to a folder shared by the cluster")
         root = tempfile.mkdtemp(prefix="stratum-ckpt-")
         spark.conf.set(_CHECKPOINT_KEY, root)
     try:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(root)
-    except Exception:  # Spark Connect has no SparkContext; the conf is enough
+        if sc is not None and not sc.getCheckpointDir():
+            sc.setCheckpointDir(root)
+    except Exception:  # the conf is enough
         pass
     return root.rstrip("/")
 

@@ -66,8 +66,12 @@ def spread_input(df: DataFrame, min_partitions: int | None = None, max_factor: i
     """
     if df.isStreaming:
         return df
-    have = df.rdd.getNumPartitions()
-    target = min(min_partitions or df.sparkSession.sparkContext.defaultParallelism, max(1, have) * max_factor)
+    try:
+        have = df.rdd.getNumPartitions()
+        parallelism = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    except Exception:  # no RDD access (e.g. a Spark Connect session): leave the input as it is
+        return df
+    target = min(parallelism, max(1, have) * max_factor)
     return df.repartition(target) if have < target else df
 
 
