@@ -73,3 +73,18 @@ def test_scalar_helpers(spark):
     assert dict(df.select(ts_literal("2024-01-31 00:00:00").alias("t")).dtypes)["t"] == "timestamp_ntz"
     empty = spark.createDataFrame([(None,)], "v bigint").agg(avg_exact(F.col("v")).alias("a")).first()
     assert empty.a is None
+
+
+def test_conform_and_evolve_schema(spark):
+    from pyspark.sql import types as T
+    from stratum.operators.staging import conform, empty_like, evolve_schema
+    df = spark.createDataFrame([(1, "x", "extra")], "ID bigint, Name string, other string")
+    target = T.StructType([T.StructField("id", T.LongType()), T.StructField("name", T.StringType()),
+                           T.StructField("source_object", T.StringType()), T.StructField("n", T.IntegerType())])
+    out = conform(df, target, {"source_object": "bronze"})
+    assert out.columns == ["id", "name", "source_object", "n"]           # by name, any case; extras dropped
+    assert tuple(out.first()) == (1, "x", "bronze", None)               # unlisted: default or NULL
+    ev = evolve_schema(df, [("score", "bigint", None), ("source_object", "string", "bronze")])
+    assert ev.dtypes[-2:] == [("score", "bigint"), ("source_object", "string")]
+    assert ev.first().source_object == "bronze"                          # existing rows take the default
+    assert empty_like(df, [("score", "bigint", None)]).count() == 0
