@@ -59,3 +59,31 @@ def test_staged_issues_give_the_same_report(spark):
     plain = quality.null_check(df, "k", **args).first()
     staged = quality.null_check(df, "k", stage_issues=work_dir(spark, "t_issues"), **args).first()
     assert plain == staged and plain.issue_count == 50
+
+
+def test_run_summary_and_freshness(spark):
+    from stratum.operators import observe, refresh
+    steps = spark.createDataFrame([
+        ("r1", "DEMOGRAPHICS TABLE", "demo", "2024-01-01 00:00:00.9", "2024-01-01 00:00:02.1", 6, None),
+        ("r1", "SURVEY TABLE", "survey", "2024-01-01 00:00:02.1", "2024-01-01 00:00:03.0", 5, "boom"),
+        ("r2", "DEMOGRAPHICS TABLE", "demo", "2024-01-01 00:00:00", "2024-01-01 00:00:01", 6, None),
+    ], "run_id string, step string, table_name string, started_at string, ended_at string, row_count int, "
+       "error_message string").withColumn("started_at", F.col("started_at").cast("timestamp_ntz")) \
+        .withColumn("ended_at", F.col("ended_at").cast("timestamp_ntz"))
+    out = {r.run_id: r for r in observe.run_summary(
+        steps, [("DEMOGRAPHICS TABLE", "DEMOGRAPHICS TABLE"), ("SURVEY TABLE", "SURVEY TABLE")]).collect()}
+    assert (out["r1"].status, out["r1"].error_count, out["r1"].total_seconds) == ("FAILED", 1, 3)
+    assert "SUCCESS: Built demo with 6 rows in 2 seconds" in out["r1"].summary
+    assert "SURVEY TABLE: ERROR: Failed to build survey - boom" in out["r1"].summary
+    assert out["r2"].status == "SUCCESS" and out["r2"].summary.endswith("SURVEY TABLE: ")
+    hist = spark.createDataFrame([
+        ("DT_A", "2024-01-01 00:00:00", "2024-01-01 00:04:00", "SUCCEEDED", "q1"),
+        ("DT_A", "2024-01-01 01:00:00", "2024-01-01 01:10:00", "FAILED", "q2"),
+        ("XDT_B", "2024-01-01 00:00:00", "2024-01-01 00:01:00", "SUCCEEDED", "q3"),
+    ], "name string, data_timestamp string, refresh_end_time string, state string, query_id string")
+    hist = hist.select("name", *[F.col(c).cast("timestamp_ntz").alias(c) for c in ("data_timestamp", "refresh_end_time")],
+                       "state", "query_id")
+    f = refresh.freshness(hist, target_lag_sec=300).collect()
+    assert len(f) == 1 and f[0].name == "DT_A"
+    assert (f[0].time_within_target_lag_ratio, f[0].maximum_lag_sec, f[0].last_completed_refresh_state) == (0.5, 600, "FAILED")
+    assert str(f[0].latest_data_timestamp) == "2024-01-01 00:00:00"
