@@ -25,6 +25,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+BROADCAST_ROWS = 1_000_000  # fixed-width rows (ids, hashes) up to which a join side is broadcast
+
+
+def bounded(table: DataFrame) -> DataFrame:
+    """A written table of narrow rows as a join side: broadcast if it was counted to be small, else shuffled as usual."""
+    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
+
+
 def row_key(id_col: str, text_col: str) -> list[Column]:
     """Columns naming a row by its id and text, so that rows repeating an id stay apart."""
     return [F.col(id_col).alias("__id"),

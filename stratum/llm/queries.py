@@ -114,8 +114,8 @@ ORACLES: dict[str, str] = {
         n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
         pairs AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS c FROM sh a JOIN sh b USING (k) WHERE a.doc_id < b.doc_id GROUP BY ALL),
         links AS (SELECT u, v FROM pairs JOIN n a ON a.doc_id = u JOIN n b ON b.doc_id = v WHERE 100 * c >= 75 * (a.n + b.n - c)),
-        both AS (SELECT u, v FROM links UNION SELECT v, u FROM links),
-        reach AS (SELECT doc_id AS u, doc_id AS v FROM documents UNION SELECT reach.u, both.v FROM reach JOIN both ON reach.v = both.u)
+        ends AS (SELECT u, v FROM links UNION SELECT v, u FROM links),
+        reach AS (SELECT doc_id AS u, doc_id AS v FROM documents UNION SELECT reach.u, ends.v FROM reach JOIN ends ON reach.v = ends.u)
         SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
         FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT u AS doc_id, min(v) AS component_id FROM reach GROUP BY u) USING (doc_id)""",
 }
