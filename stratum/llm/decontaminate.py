@@ -20,14 +20,15 @@ SPAN, K = 10, 8
 BROADCAST_ROWS = 200_000  # benchmark windows (of fixed width) up to which they are broadcast; beyond, joins shuffle
 
 # A text's bytes as one character each: lower() then changes A-Z, and maps other texts one to one.
-_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _KEY = ["__id", "__th", "__tl"]
 
 
 def words(text: Column) -> Column:
     """The words of a text (A-Z lower-cased), one character a byte; null has none."""
     plain = F.lower(F.decode(text.cast("binary"), "ISO-8859-1"))
-    return F.coalesce(F.regexp_extract_all(plain, F.lit(_WORD), F.lit(0)), F.array().cast("array<string>"))
+    # Splitting is linear; extracting all matches copies the text for each of them.
+    return F.coalesce(F.array_remove(F.split(plain, _BETWEEN), ""), F.array().cast("array<string>"))
 
 
 def _pairwise(left: Column, right: Column, by: int, f) -> Column:
