@@ -32,6 +32,7 @@ FORMS = {
     "ip": r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])",
 }
 _ANY = "|".join(FORMS.values())
+_FENCE = "\u0001\u0002"
 _SEPARATORS = "[^A-Za-z0-9]"
 
 
@@ -187,9 +188,15 @@ def pseudonymise(docs: DataFrame, key: str, *, text_col: str = "text", restore:
     independent, other columns are untouched. `restore` turns pseudonyms made with the same key back.
     """
     text = F.col(text_col)
-    found = F.when(F.rlike(text, F.lit("[0-9@]|AKIA|[Pp]assw|secret|token|api")), F.regexp_extract_all(text, F.lit(_ANY), F.lit(0)))
-    df = docs.withColumn("__found", found).withColumn("__made", F.transform("__found", lambda m: pseudonym(m, key, restore)))
-    whole = F.array_join(F.zip_with(F.split(text, _ANY, -1), F.concat("__made", F.array(F.lit(""))), lambda a, b: F.concat(a, b)), "")
+    # Candidates are fenced and the text split at the fences, in one linear pass; a text that holds
+    # the fence itself is left as one part, and its candidates are extracted one by one.
+    likely, fenced = F.rlike(text, F.lit("[0-9@]|AKIA|[Pp]assw|secret|token|api")), F.contains(text, F.lit(_FENCE))
+    parts = F.split(F.regexp_replace(text, f"(?:{_ANY})", f"{_FENCE}$0{_FENCE}"), _FENCE)
+    df = docs.withColumn("__parts", F.when(likely & ~fenced, parts).when(likely, F.flatten(F.zip_with(
+        F.split(text, _ANY, -1), F.concat(F.regexp_extract_all(text, F.lit(f"(?:{_ANY})"), F.lit(0)), F.array(F.lit(""))), lambda a, b: F.array(a, b)))))
+    df = df.withColumn("__found", F.filter("__parts", lambda x, i: i % 2 == 1))
+    df = df.withColumn("__made", F.transform("__found", lambda m: pseudonym(m, key, restore)))
+    whole = F.array_join(F.transform("__parts", lambda x, i: F.when(i % 2 == 1, F.get("__made", F.floor(i / 2).cast("int"))).otherwise(x)), "")
     changed = F.size(F.filter(F.zip_with("__found", "__made", lambda a, b: a != b), lambda x: x))
     return (df.withColumn("__n_pseudonyms", F.when(F.size("__found") > 0, changed).otherwise(F.lit(0)).cast("bigint"))
-            .withColumn(text_col, F.when(F.size("__found") > 0, whole).otherwise(text)).drop("__found", "__made"))
+            .withColumn(text_col, F.when(F.size("__found") > 0, whole).otherwise(text)).drop("__parts", "__found", "__made"))
