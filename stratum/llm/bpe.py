@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 
 from stratum.llm.common import slices
 
-MEMO_ENTRIES = 300_000   # encoded pre-tokens a worker remembers before it starts afresh
-MEMO_BYTES = 64          # longer pre-tokens are encoded each time
+MEMO_ENTRIES = 600_000   # encoded pre-tokens that a worker remembers at least, and twice as many at most
+MEMO_CHARS = 64          # longer pre-tokens are encoded each time
 VOCABULARY_BYTES = 64 << 20  # largest vocabulary file that is sent to every executor
 
 
@@ -33,51 +33,22 @@ def parse_ranks(data: bytes) -> dict[bytes, int]:
     return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in data.splitlines() if line)}
 
 
-class RankQueue:
-    """Places waiting per rank; the lowest rank by find-first-set over a hierarchy of 64-bit words."""
-
-    def __init__(self, ranks: int) -> None:
-        self.buckets: dict[int, list[int]] = {}
-        self.levels: list[list[int]] = []
-        while ranks > 1 or not self.levels:
-            ranks = -(-ranks // 64)
-            self.levels.append([0] * ranks)
-
-    def push(self, rank: int, place: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket is not None:
-            bucket.append(place)
-            return
-        self.buckets[rank] = [place]
-        at = rank
-        for level in self.levels:
-            word, bit = at >> 6, at & 63
-            before = level[word]
-            level[word] = before | 1 << bit
-            if before:
-                break
-            at = word
-
-    def lowest(self) -> int:
-        """The lowest waiting rank, or -1."""
-        at = 0
-        for level in reversed(self.levels):
-            word = level[at]
-            if not word:
-                return -1
-            at = at << 6 | (word & -word).bit_length() - 1
-        return at
-
-    def take(self, rank: int) -> list[int]:
-        """Empty the bucket of `rank`; its places from left to right."""
-        at = rank
-        for level in self.levels:
-            word, bit = at >> 6, at & 63
-            level[word] &= ~(1 << bit)
-            if level[word]:
-                break
-            at = word
-        return sorted(self.buckets.pop(rank))
+class Memo(dict):
+    """Results of `make` by key; what was not asked for among the last `size` to 2 `size` keys is forgotten."""
+
+    def __init__(self, make, size: int) -> None:
+        super().__init__()
+        self.make, self.size, self.older = make, size, {}
+
+    def __missing__(self, key):
+        found = self.older.get(key)
+        if found is None:
+            found = self.make(key)
+        if len(self) >= self.size:
+            self.older = dict(self)
+            self.clear()
+        self[key] = found
+        return found
 
 
 class Encoder:
@@ -88,73 +59,89 @@ class Encoder:
         pattern = pattern.replace(r"[^\s\p{L}\p{N}]", r"[^\p{White_Space}\p{L}\p{N}]")
         self.findall = regex.compile(pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")).findall
         self.ranks = ranks
-        self.queue = RankQueue(max(ranks.values(), default=0) + 1)
-        self.memo: dict[str, tuple[int, ...]] = {}
+        # Two levels of bitmaps over the ranks, of about as many bits each.
+        self.shift = (max(ranks.values(), default=1).bit_length() + 1) // 2
+        self.words = [0] * (1 << self.shift)
+        self.bits = [1 << i for i in range(1 << self.shift)]
+        self.memo = Memo(lambda piece: tuple(self.piece(piece.encode())), MEMO_ENTRIES)
         self.token = {rank: token for token, rank in ranks.items()}
 
     def piece(self, piece: bytes) -> list[int]:
         """Ids of one pre-token: always merge the lowest-ranked pair, leftmost first."""
-        rank_of = self.ranks.get
-        whole = rank_of(piece)
-        if whole is not None:
-            return [whole]
-        n, queue = len(piece), self.queue
+        ranks = self.ranks
+        if piece in ranks:
+            return [ranks[piece]]
+        rank_of, words, bits, shift = ranks.get, self.words, self.bits, self.shift
+        mask = (1 << shift) - 1
+        n, top, buckets = len(piece), 0, {}
         end = list(range(1, n + 1))       # part i is piece[i:end[i]]; the next part begins at end[i]
         before = list(range(-1, n))       # where the previous part begins
-        waiting = [-1] * (n + 1)          # rank of the pair that begins at part i, -1: no token
-        for i in range(n - 1):
-            rank = rank_of(piece[i:i + 2])
-            if rank is not None:
-                waiting[i] = rank
-                queue.push(rank, i)
-        while (rank := queue.lowest()) >= 0:
-            places = queue.take(rank)
+        waiting = [rank_of(piece[i:i + 2], -1) for i in range(n - 1)]  # rank of the pair that begins at part i, -1: no token
+        waiting += (-1, -1)
+        for i, rank in enumerate(waiting):
+            if rank >= 0:
+                if rank in buckets:
+                    buckets[rank].append(i)
+                else:
+                    buckets[rank] = [i]
+                    words[rank >> shift] |= bits[rank & mask]
+                    top |= bits[rank >> shift]
+        while top:
+            w = (top & -top).bit_length() - 1
+            word = words[w]
+            rank = w << shift | (word & -word).bit_length() - 1
+            words[w] = word & word - 1
+            if not words[w]:
+                top &= top - 1
+            places = buckets.pop(rank)
+            if len(places) > 1:
+                places.sort()
             for k, i in enumerate(places):
                 if waiting[i] != rank:
                     continue  # stale
                 middle = end[i]
                 stop = end[i] = end[middle]
                 waiting[middle] = waiting[i] = -1
-                least = rank
+                least, left = rank, before[i]
                 if stop < n:
                     before[stop] = i
-                    new = rank_of(piece[i:end[stop]])
-                    if new is not None:
-                        waiting[i] = new
-                        queue.push(new, i)
-                        least = min(least, new)
-                left = before[i]
+                    waiting[i] = new = rank_of(piece[i:end[stop]], -1)
+                    if new >= 0:
+                        if new < least:
+                            least = new
+                        if new in buckets:
+                            buckets[new].append(i)
+                        else:
+                            buckets[new] = [i]
+                            words[new >> shift] |= bits[new & mask]
+                            top |= bits[new >> shift]
                 if left >= 0:
-                    new = rank_of(piece[left:stop])
-                    if new is None:
-                        waiting[left] = -1
-                    elif new != waiting[left]:
-                        waiting[left] = new
-                        queue.push(new, left)
-                        least = min(least, new)
-                if least < rank:  # a lower rank came up: it goes first
-                    for place in places[k + 1:]:
-                        queue.push(rank, place)
+                    waiting[left] = new = rank_of(piece[left:stop], -1)
+                    if new >= 0:
+                        if new < least:
+                            least = new
+                        if new in buckets:
+                            buckets[new].append(left)
+                        else:
+                            buckets[new] = [left]
+                            words[new >> shift] |= bits[new & mask]
+                            top |= bits[new >> shift]
+                if least < rank and k + 1 < len(places):  # a lower rank came up: it goes first
+                    buckets[rank] = places[k + 1:]
+                    words[rank >> shift] |= bits[rank & mask]
+                    top |= bits[rank >> shift]
                     break
         ids, i = [], 0
         while i < n:
-            ids.append(self.ranks[piece[i:end[i]]])
+            ids.append(ranks[piece[i:end[i]]])
             i = end[i]
         return ids
 
-    def remembered(self, piece: str) -> tuple[int, ...]:
-        found = self.memo.get(piece)
-        if found is None:
-            data = piece.encode()
-            found = tuple(self.piece(data))
-            if len(data) <= MEMO_BYTES:
-                if len(self.memo) >= MEMO_ENTRIES:
-                    self.memo.clear()
-                self.memo[piece] = found
-        return found
-
     def encode(self, text: str) -> np.ndarray:
-        return np.fromiter(chain.from_iterable(map(self.remembered, self.findall(text))), dtype="<u4")
+        remembered = self.memo.__getitem__
+        long = max(map(len, pieces := self.findall(text)), default=0) > MEMO_CHARS
+        found = (remembered(p) if len(p) <= MEMO_CHARS else self.piece(p.encode()) for p in pieces) if long else map(remembered, pieces)
+        return np.fromiter(chain.from_iterable(found), dtype="<u4")
 
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.token.__getitem__, ids))
