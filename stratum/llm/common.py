@@ -12,16 +12,28 @@ from pyspark.sql import functions as F
 
 from stratum.session import work_dir
 
+WIDE_ROWS = 256         # Arrow rows at once where a row holds several texts
 BATCH_BYTES = 4 << 20  # text handled at once inside a task; bounds a worker's memory, not the data
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+_ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def stored(df: DataFrame, name: str, arrow_rows: int | None = None) -> DataFrame:
     """Write `df` as a table in the shared folder and read it back.
 
     Cuts the lineage: a lost executor costs a re-read of files, not a recompute.
+    `arrow_rows`: how many rows Python gets at once meanwhile, where a row holds several texts.
     """
-    path = work_dir(df.sparkSession, f"llm-{name}")
-    df.write.parquet(path)
+    path, conf = work_dir(df.sparkSession, f"llm-{name}"), df.sparkSession.conf
+    before = conf.get(_ARROW_ROWS)
+    try:
+        if arrow_rows:
+            conf.set(_ARROW_ROWS, str(arrow_rows))
+            df = df.select("*")  # planned anew
+        df.write.parquet(path)
+    finally:
+        conf.set(_ARROW_ROWS, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

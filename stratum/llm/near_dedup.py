@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratum.llm.common import bounded, byte_texts, mix, slices, span_hashes, stored, words_joined
+from stratum.llm.common import WIDE_ROWS, bounded, byte_texts, mix, slices, span_hashes, stored, words_joined
 from stratum.llm.components import components
 
 ROWS, BANDS, MANTISSA = 5, 48, 10
@@ -245,11 +245,11 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     classes = stored(classes.join(ids, "__id", "left_semi"), "candidates")
     most = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("met"), "b"))
     companions = pairs.join(met.withColumnRenamed("__id", "b"), "b").withColumn("__n", most).filter(F.col("__n") <= COMPANIONS).select("a", "b")
-    profiles = stored(_profiles(companions.unionByName(pairs.select("a", F.col("a").alias("b")).distinct()), texts, size), "profiles")
-    held = stored(_held_against(pairs, profiles, texts, size, percent), "held")
+    profiles = stored(_profiles(companions.unionByName(pairs.select("a", F.col("a").alias("b")).distinct()), texts, size), "profiles", WIDE_ROWS)
+    held = stored(_held_against(pairs, profiles, texts, size, percent), "held", WIDE_ROWS)
     links = stored(held.select(F.explode("links").alias("u"), F.col("b").alias("v")), "links")
     rest = stored(_likely(_remaining(held, components(links), percent), classes, percent), "pairs")
-    links = links.unionByName(_verified(rest, texts, size, percent))
+    links = links.unionByName(stored(_verified(rest, texts, size, percent), "verified", WIDE_ROWS))
     labels = components(links.select("u", "v").unionByName(copies))
     return (rows.join(labels.withColumnRenamed("node", "__id"), "__id", "left")
             .select(F.col("__id").alias(id_col), "n_shingles", F.coalesce("component", "__id").alias("component_id"))
