@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratum.llm.common import slices, stored
+from stratum.llm.common import bounded, slices, stored
 
 STEM_SIZES = range(4, 8)   # letters of a stem
 TOXIC_SHARE = 0.01         # an entry stands in this share of the toxic documents at least
@@ -221,17 +221,19 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id"
     """
     known = (labels.select(F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("__label"))
              .filter("__id is not null and __label in (0, 1)").groupBy("__id").agg(F.max("__label").alias("__label")))
-    texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
     if learn is not None:
-        texts = texts.filter(learn(F.col("__id")))
-    rows = stored(texts.join(known, "__id"), "labelled")
+        known = known.filter(learn(F.col("__id")))
+    known = stored(known, "labels")
+    texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
+    rows = stored(texts.join(bounded(known), "__id"), "labelled")
     n, positive = rows.agg(F.count(F.lit(1)), F.sum("__label")).first()
     all_rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"))
     share = (positive or 0) / n if n else 0.0
     if not 0 < share < 1:
         return all_rows.withColumns({"__score": F.lit(float(share)), "__predicted": F.lit(int(share >= 0.5))})
     lexicon = mine(rows)
-    sample = rows.orderBy(F.xxhash64("__id", F.lit(2)), "__id").limit(FIT_ROWS).select(F.struct("__text").alias("__row"), F.col("__label").cast("double").alias("__label"))
+    chosen = rows.select("__id").distinct().orderBy(F.xxhash64("__id", F.lit(2)), "__id").limit(FIT_ROWS)
+    sample = rows.join(F.broadcast(chosen), "__id").select(F.struct("__text").alias("__row"), F.col("__label").cast("double").alias("__label"))
     fit = stored(_with_evidence(sample, lexicon, "__text").select("__label", "__evidence"), "evidence")
     model = LogisticRegression(featuresCol="x", labelCol="__label", regParam=0.001, maxIter=50, standardization=False).fit(fit.select("__label", array_to_vector("__evidence").alias("x")))
     total = F.lit(float(model.intercept))
