@@ -1,7 +1,7 @@
 """Numbers out of JSON text: parse, pick a key, read its text as a number, keep it whole.
 
 Semantics kept from the reference's staging step:
-  * malformed text, missing key, JSON null            -> NULL
+  * malformed text (also single quotes, text after the value), missing key, JSON null -> NULL
   * "4", 4, " 5 "                                     -> 4, 4, 5
   * 3.6 / "4.6" / -4.5 / 1e2                          -> 4 / 5 / -5 / 100 (round half away from zero)
   * "n/a", true, {"x": 1}, "1,000"                    -> NULL
@@ -28,6 +28,20 @@ def try_to_number(text: Column) -> Column:
     return text.try_cast("decimal(38,0)").try_cast("bigint")
 
 
+# JSON as the standard has it: single-quoted strings are malformed.
+STRICT = {"allowSingleQuotes": "false"}
+
+
+def _parsed(json_text: Column, keys: Sequence[str]) -> Column:
+    """The text as the elements of a list: a valid object is its only element, and text after
+    it (which a parser reading one value would not see) makes the list malformed or longer."""
+    return F.from_json(F.concat(F.lit("["), json_text, F.lit("]")), T.ArrayType(_string_struct(keys)), STRICT)
+
+
+def _field(parsed: Column, key: str) -> Column:
+    return F.when(F.size(parsed) == 1, F.get(parsed, F.lit(0)).getField(key))
+
+
 def _string_struct(keys: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(k, T.StringType(), True) for k in dict.fromkeys(keys)])
 
@@ -35,8 +49,8 @@ def _string_struct(keys: Sequence[str]) -> T.StructType:
 def json_number_fields(json_text: Column, fields: Mapping[str, str]) -> list[Column]:
     """One bigint column per `{output_name: json_key}`; parses the text once per row
     when used through `with_json_number_fields` (see there)."""
-    parsed = F.from_json(json_text, _string_struct(list(fields.values())))
-    return [try_to_number(parsed.getField(key)).alias(name) for name, key in fields.items()]
+    parsed = _parsed(json_text, list(fields.values()))
+    return [try_to_number(_field(parsed, key)).alias(name) for name, key in fields.items()]
 
 
 def with_json_number_fields(df: DataFrame, json_col: str, fields: Mapping[str, str]) -> DataFrame:
@@ -53,11 +67,11 @@ def with_json_number_fields(df: DataFrame, json_col: str, fields: Mapping[str, s
     if not fields:
         return df
     tmp = "__json_fields"
-    parsed = F.from_json(F.col(json_col), _string_struct(list(fields.values())))
+    parsed = _parsed(F.col(json_col), list(fields.values()))
     exploded = df.select(*[F.col(c) for c in df.columns], F.explode(F.array(parsed)).alias(tmp))
     return exploded.select(
         *[F.col(c) for c in df.columns],
-        *[try_to_number(F.col(tmp).getField(key)).alias(name) for name, key in fields.items()],
+        *[try_to_number(_field(F.col(tmp), key)).alias(name) for name, key in fields.items()],
     )
 
 

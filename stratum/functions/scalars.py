@@ -24,10 +24,10 @@ def nullifzero(c: Column) -> Column:
 def avg_exact(c: Column) -> Column:
     """AVG of integer (or rounded) values: exact sum, one division as double.
 
-    Partial sums are exact integers, so the result does not depend on how the
+    Partial sums are exact wide decimals, which 64-bit values cannot overflow, so the result does not depend on how the
     rows were split over tasks; an empty or all-NULL group gives NULL.
     """
-    return F.try_divide(F.sum(c).cast("double"), F.count(c).cast("double"))
+    return F.try_divide(F.sum(c.cast("decimal(20,0)")).cast("double"), F.count(c).cast("double"))
 
 
 def seconds_between(start: Column, end: Column) -> Column:

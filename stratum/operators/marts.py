@@ -61,6 +61,7 @@ def demographics(staged: DataFrame, *, group: str = "department", age: str = "ag
             *gender_counts(F.col(gender)),
         )
         .withColumns(mart_stamps(as_of, run_id, source_object, process_type))
+        .orderBy(group)
     )
 
 

@@ -123,7 +123,8 @@ def event_summary(events: DataFrame, as_of, days: int = 7, pipeline: str = "stre
     return (parsed.filter((F.col("pipeline") == pipeline) & F.col("status").isNotNull())
             .groupBy(F.col("stage").alias("pipeline_stage"), "status")
             .agg(F.count(F.lit(1)).alias("execution_count"),
-                 avg_exact(F.col("duration_seconds")).alias("avg_duration_seconds")))
+                 avg_exact(F.col("duration_seconds")).alias("avg_duration_seconds"))
+            .orderBy("pipeline_stage", "status"))
 
 
 def run_history(history: DataFrame, as_of, *, hours: float = 2, limit: int = 50,
@@ -160,7 +161,7 @@ def refresh_summary(history: DataFrame, as_of, *, days: int = 1, pattern: str =
         F.sum(try_to_number(F.col("__st.numInsertedRows"))).alias("total_rows_inserted"),
         F.sum(try_to_number(F.col("__st.numDeletedRows"))).alias("total_rows_deleted"),
         F.sum(try_to_number(F.col("__st.numCopiedRows"))).alias("total_rows_copied"),
-    )
+    ).orderBy("name")
 
 
 def table_listing(history: DataFrame, *, pattern: str = "DT_%", target_lag_sec: int = 300) -> DataFrame:
@@ -168,7 +169,8 @@ def table_listing(history: DataFrame, *, pattern: str = "DT_%", target_lag_sec:
     return (history.filter(F.col("name").like(pattern))
             .groupBy("name", "schema_name")
             .agg(F.count(F.lit(1)).alias("refresh_count"))
-            .withColumn("target_lag_sec", F.lit(target_lag_sec).cast("bigint")))
+            .withColumn("target_lag_sec", F.lit(target_lag_sec).cast("bigint"))
+            .orderBy("schema_name", "name"))
 
 
 def step_messages(steps: DataFrame) -> DataFrame:

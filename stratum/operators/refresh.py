@@ -62,7 +62,8 @@ def mart_state(rows: DataFrame, group: Sequence[str], measures: Sequence[Measure
         if m.kind == "sum":
             aggs.append(F.sum(w * m.expr).cast("bigint").alias(m.name))
         elif m.kind == "avg":
-            aggs.append(F.sum(w * m.expr).cast("bigint").alias(f"{m.name}__sum"))
+            # Wide: a sum of many 64-bit values can leave the 64-bit range.
+            aggs.append(F.sum(w * m.expr.cast("decimal(20,0)")).cast("decimal(38,0)").alias(f"{m.name}__sum"))
             aggs.append(F.sum(F.when(m.expr.isNotNull(), w).otherwise(0)).cast("bigint").alias(f"{m.name}__n"))
     return rows.groupBy(*group).agg(*aggs)
 
@@ -82,7 +83,7 @@ def apply_delta(state: DataFrame, delta: DataFrame, group: Sequence[str],
     """state + delta per group (NULL group keys match each other); empty groups vanish."""
     cols = _state_columns(measures)
     return (state.select(*group, *cols).unionByName(delta.select(*group, *cols))
-            .groupBy(*group).agg(*[F.sum(c).cast("bigint").alias(c) for c in cols])
+            .groupBy(*group).agg(*[F.sum(c).cast("decimal(38,0)" if c.endswith("__sum") else "bigint").alias(c) for c in cols])
             .filter(F.col(ROWS) > 0))
 
 
@@ -113,9 +114,11 @@ def freshness(history: DataFrame, *, name: str = "name", data_ts: str = "data_ti
 
     Lag of a refresh = seconds from its data timestamp to its completion.
     `time_within_target_lag_ratio` is the share of refreshes completed within
-    the target; `maximum_lag_sec` the worst lag. All bounded aggregates.
+    the target; `maximum_lag_sec` the worst lag. A refresh that is still running (no end
+    time) does not count. All bounded aggregates.
     """
-    h = history.filter(F.col(name).like(pattern)) if pattern else history
+    h = history.filter(F.col(end_ts).isNotNull())
+    h = h.filter(F.col(name).like(pattern)) if pattern else h
     lag = seconds_between(F.col(data_ts), F.col(end_ts))
     ok = F.col(state) == "SUCCEEDED"
     return (

@@ -40,14 +40,16 @@ def load_by_name(spark: SparkSession, path: str, schema: T.StructType, *, fmt: s
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
     if fmt == "csv":
-        raw = reader.option("header", "true").option("inferSchema", "false").load(path)
-        return conform(raw, schema)
+        # Values are read by place under the first file's header: a file with another header is an error, not a swap.
+        first = reader.option("header", "true").option("inferSchema", "false").load(path)
+        return conform(reader.schema(first.schema).option("enforceSchema", "false").load(path), schema)
     if fmt == "json":
         text = reader.format("text").load(path)
-        fields = F.transform_keys(F.from_json(F.col("value"), T.MapType(T.StringType(), T.StringType())),
-                                  lambda k, v: F.lower(k))
-        return text.select(*[fields.getItem(f.name.lower()).cast(f.dataType).alias(f.name)
-                             for f in schema.fields])
+        fields = F.map_entries(F.from_json(F.col("value"), T.MapType(T.StringType(), T.StringType())))
+
+        def named(name: str):  # of keys that differ in case only, the first counts
+            return F.get(F.filter(fields, lambda e: F.lower(e["key"]) == name.lower()), F.lit(0))["value"]
+        return text.select(*[named(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
     return conform(reader.schema(schema).load(path), schema)
 
 

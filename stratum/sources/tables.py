@@ -7,13 +7,32 @@ reads it (Spark refuses that anyway).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 
 def replace_table(df: DataFrame, path: str) -> DataFrame:
-    """CREATE OR REPLACE TABLE t AS <df>: overwrite the folder, return the table."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    """CREATE OR REPLACE TABLE t AS <df>: write the rows aside, then switch folders by rename.
+
+    A build that fails leaves the old table as it is, and `df` may read the table it replaces.
+    """
+    spark, path, mark = df.sparkSession, path.rstrip("/"), uuid.uuid4().hex[:8]
+    made = f"{path}__new_{mark}"
+    df.write.parquet(made)
+    new = spark._jvm.org.apache.hadoop.fs.Path(made)
+    fs = new.getFileSystem(spark._jsc.hadoopConfiguration())
+    here, old = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, f"{path}__old_{mark}"))
+    had = fs.exists(here)
+    if had and not fs.rename(here, old):
+        raise OSError(f"could not set aside {path}")
+    if not fs.rename(new, here):
+        if had:
+            fs.rename(old, here)
+        raise OSError(f"could not publish {path}")
+    if had:
+        fs.delete(old, True)
+    return spark.read.parquet(path)
 
 
 def append_rows(df: DataFrame, path: str) -> None:

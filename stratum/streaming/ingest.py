@@ -90,6 +90,12 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    from stratum.sources.files import _fs
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
 def read_raw(spark: SparkSession, raw_table: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(_raw_schema(schema)).parquet(raw_table)
 
@@ -179,23 +185,26 @@ class IncrementalPipeline:
 
     def current_version(self) -> int:
         """Newest published version (0 = nothing yet). Reads the tiny version log."""
-        try:
-            v = self._versions().agg(F.max("version")).first()[0]
-        except Exception:  # no log yet
+        if not _exists(self.spark, self.versions):  # no log yet; an unreadable one is an error
             return 0
-        return int(v or 0)
+        return int(self._versions().agg(F.max("version")).first()[0] or 0)
 
     def _empty_staged(self) -> DataFrame:
         return staging.stage_rows(self.spark.createDataFrame([], self.schema), run_id="")
 
     def staged(self, version: int | None = None) -> DataFrame:
         v = self.current_version() if version is None else version
-        if v == 0:
+        if v == 0 or not _exists(self.spark, self.staged_root):
             return self._empty_staged()
         schema = T.StructType([*self._empty_staged().schema.fields, T.StructField("_v", T.LongType())])
         return (self.spark.read.schema(schema).parquet(self.staged_root)
                 .filter(F.col("_v") <= v).drop("_v"))
 
+    def _added(self, version: int) -> DataFrame:
+        """The rows of one version; a version may add none."""
+        part = f"{self.staged_root}/_v={version}"
+        return self.spark.read.schema(self._empty_staged().schema).parquet(part) if _exists(self.spark, part) else self._empty_staged()
+
     def mart(self, name: str) -> DataFrame:
         return self.spark.read.parquet(tables.snapshot_path(f"{self.root}/{name}", self.current_version()))
 
@@ -211,10 +220,12 @@ class IncrementalPipeline:
         steps: list[dict] = []
         self._refreshing: list[tuple] = []
         self._refresh_rows: list[tuple] = []
+        if _exists(self.spark, self.versions) and not self._versions().filter(F.col("run_id") == run_id).isEmpty():
+            raise ValueError(f"run id {run_id!r} was merged before; rows loaded under it again would not be seen")
         try:
             result = self._run(run_id, as_of, steps)
         except Exception as exc:
-            message = f"{type(exc).__name__}: {exc}"[:500]
+            message = f"{type(exc).__name__}: {exc}"
             if steps and steps[-1]["status"] == "RUNNING":
                 steps[-1].update(status="FAILED", ended_at=_now(), error_code=1, error_message=message)
             if self._refreshing and self._refreshing[-1][4] == "RUNNING":
@@ -239,19 +250,17 @@ class IncrementalPipeline:
         ingest_new_files(self.spark, self.landing, self.raw, self.checkpoint, self.schema,
                          run_id=run_id, pattern=self.pattern)
         raw = read_raw(self.spark, self.raw, self.schema)
-        try:
-            merged_runs = [r[0] for r in self._versions().select("run_id").distinct().collect()]
-        except Exception:
-            merged_runs = []
-        pending = raw.filter(~F.col(RUN_COL).isin(*merged_runs)) if merged_runs else raw
+        pending = raw
+        if _exists(self.spark, self.versions):
+            pending = raw.join(self._versions().select(F.col("run_id").alias(RUN_COL)).distinct(), RUN_COL, "left_anti").select(*raw.columns)
         if pending.isEmpty():  # the has-data gate: nothing new, no work
             steps.remove(load)
             return {"run_id": run_id, "merged": False, "version": self.current_version()}
-        pending_runs = sorted({run_id, *[r[0] for r in pending.select(RUN_COL).distinct().collect()]})
-        tables.append_rows(load_history(pending, table_name=staging.RAW_TABLE, as_of=as_of), self.loads)
-
         previous = self.current_version()
         version = previous + 1
+        # A redo after a failure writes the same folders again: nothing is logged or staged twice.
+        load_history(pending, table_name=staging.RAW_TABLE, as_of=as_of).write.mode("overwrite").parquet(f"{self.loads}/version={version}")
+        _delete(self.spark, f"{self.staged_root}/_v={version}")
         feed = changes.appended_rows(pending.drop(FILE_COL, RUN_COL))
         staged_feed = staging.stage_rows(feed, as_of=as_of, source_object=staging.RAW_STREAM, run_id=run_id)
         stamps = staging.lineage_stamps(as_of, staging.RAW_STREAM, run_id)
@@ -277,7 +286,7 @@ class IncrementalPipeline:
 
         build = self._step(steps, run_id, "gold_materialize", "marts.refresh", staging.STAGED_TABLE,
                            ",".join(self.mart_measures))
-        added = self.spark.read.parquet(f"{self.staged_root}/_v={version}")
+        added = self._added(version)
         for name, measures in self.mart_measures.items():
             self._refreshing.append((f"DT_{name.upper()}", "GOLD", previous, None, "RUNNING"))
             delta = refresh.mart_state(added, [self.group], measures)
@@ -292,8 +301,8 @@ class IncrementalPipeline:
             self._refresh_row(f"DT_{name.upper()}", "GOLD", previous, "SUCCEEDED", None, mart.count(),
                               run_id, as_of)
         build.update(status="SUCCESS", ended_at=_now(), result=f"Built {len(self.mart_measures)} marts")
-        tables.append_rows(self.spark.createDataFrame([(version, r) for r in pending_runs],
-                                                      "version BIGINT, run_id STRING"), self.versions)
+        merged = pending.select(F.col(RUN_COL).alias("run_id")).union(self.spark.createDataFrame([(run_id,)], "run_id STRING")).distinct()
+        tables.append_rows(merged.select(F.lit(version).cast("bigint").alias("version"), "run_id"), self.versions)
         return {"run_id": run_id, "merged": True, "version": version, "rows_inserted": rows_inserted}
 
     def _refresh_row(self, name: str, schema_name: str, previous: int, state: str, message, rows,
@@ -330,4 +339,5 @@ class IncrementalPipeline:
         return self.spark.read.parquet(self.task_history)
 
     def load_history(self) -> DataFrame:
-        return self.spark.read.parquet(self.loads)
+        """Load history of the published versions."""
+        return self.spark.read.parquet(self.loads).filter(F.col("version") <= self.current_version()).drop("version")

@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as E
+from stratum.plans.registry import ORACLES, QUERIES
 from oracle_compare import compare, duck
 
 SF = "/root/testdata/sf0.001"
@@ -19,9 +20,9 @@ def test_entry_runs(spark):
     assert df.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
-    info = compare(spark, con, name, E.queries()[name], E.oracle_sql().get(name), SF)
+    info = compare(spark, con, name, QUERIES[name], ORACLES.get(name), SF)
     assert info["ok"] is not False, info
     if name not in WINDOWED:
         assert info["rows"] > 0, info

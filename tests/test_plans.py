@@ -2,7 +2,7 @@
 
 import pytest
 
-import __spark_entry__ as E
+from stratum.plans.registry import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -12,7 +12,7 @@ def _plan(df) -> str:
 
 
 def test_no_python_udf_anywhere(spark):
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         if name in {"ingest_new_files", "load_history", "load_history_by_slice", "incremental_run", "dt_stage"}:
             continue  # these run their streams eagerly; covered in test_streaming
         plan = _plan(fn(spark, SF))
@@ -32,7 +32,7 @@ def test_pushdown_and_pruning(spark):
 def test_one_shuffle_per_mart(spark, name):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        plan = _plan(E.queries()[name](spark, SF))
+        plan = _plan(QUERIES[name](spark, SF))
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert plan.count("Exchange hashpartitioning") == 1
@@ -40,7 +40,7 @@ def test_one_shuffle_per_mart(spark, name):
 
 
 def test_no_full_outer_or_cartesian_anywhere(spark):
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         if name in {"ingest_new_files", "load_history", "load_history_by_slice", "incremental_run", "dt_stage"}:
             continue
         plan = _plan(fn(spark, SF))
