@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stratum.llm.bpe import encode_documents
-from stratum.llm.common import stored
+from stratum.llm.common import bounded, stored
 from stratum.llm.decontaminate import decontaminate
 from stratum.llm.near_dedup import near_duplicates
 from stratum.llm.pii import pseudonymise
@@ -22,8 +22,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (its smallest id), and one row of each id; rows without an id stay."""
     judged = stored(near_duplicates(docs).select("doc_id", "kept"), "judged")
-    left = docs.join(judged.filter("not kept").select("doc_id").distinct(), "doc_id", "left_anti")
-    repeated = judged.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    gone = bounded(stored(judged.filter("not kept").select("doc_id").distinct(), "gone"))
+    repeated = bounded(stored(judged.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "repeated"))
+    left = docs.join(gone, "doc_id", "left_anti")
     first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
     again = left.join(repeated, "doc_id", "left_semi").withColumn("__row", first).filter("__row = 1").drop("__row")
     return left.join(repeated, "doc_id", "left_anti").unionByName(again).select(docs.columns)
@@ -33,7 +34,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Documents without a benchmark passage."""
     keyed = docs.withColumn("__key", F.struct(F.col("doc_id"), F.xxhash64("text").alias("hash")))
     judged = decontaminate(keyed, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col="__key")
-    gone = judged.filter("contaminated").select(F.col("__key").alias("__gone")).distinct()
+    gone = bounded(stored(judged.filter("contaminated").select(F.col("__key").alias("__gone")).distinct(), "contaminated"))
     return keyed.join(gone, F.col("__key").eqNullSafe(F.col("__gone")), "left_anti").select(docs.columns)
 
 
