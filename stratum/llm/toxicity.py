@@ -31,7 +31,8 @@ from stratum.llm.common import bounded, slices, stored
 
 STEM_SIZES = range(4, 8)   # letters of a stem
 TOXIC_SHARE = 0.01         # an entry stands in this share of the toxic documents at least
-LIFT = 20.0                # and is so many times as common there as in others
+LIFT = 10.0                # and is so many times as common there as in others, of which UNSEEN more are
+UNSEEN = 3                 # thought to hold it than were seen (where none was, 3 is the 95 % bound)
 RELATIVE_SCORE = 0.05      # and scores this share of the best entry's score at least
 ENTRIES = 500              # lexicon size at most (the feature's limit)
 FIT_ROWS = 40_000          # learning rows that the regression is fitted on at most, chosen by hash
@@ -164,7 +165,7 @@ def mine(rows: DataFrame) -> Lexicon:
     elsewhere = {(r.term, r.stem): r.n for r in _counted(rows.filter("__label = 0"), lambda text: _terms(text) & shared.value).collect()}
     scored = []
     for r in common:
-        lift = ((r.n + 0.5) / (toxic + 1)) / ((elsewhere.get((r.term, r.stem), 0) + 0.5) / (clean + 1))
+        lift = ((r.n + 0.5) / (toxic + 1)) / ((elsewhere.get((r.term, r.stem), 0) + UNSEEN) / (clean + UNSEEN))
         if lift >= LIFT:
             scored.append((r.n / toxic * math.log(lift), len(r.term) + (not r.stem), r.term, r.stem))
     scored.sort(key=lambda x: (-x[0], -x[1], x[2]))

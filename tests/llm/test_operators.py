@@ -137,7 +137,7 @@ def test_hyperminhash_estimate():
 
 def test_passages(spark):
     shared = _words(60, 3)
-    fuzzy = [*shared[:20], "other", *shared[21:40], "two", "more", *shared[40:]]
+    fuzzy = [*shared[:25], "other", *shared[26:50], "two", "more", *shared[50:]]  # runs of 23 words share a seed
     texts = [_words(100, 1) + shared, _words(10, 2) + shared + _words(90, 4), _words(300, 5) + fuzzy, shared[:40] + _words(50, 6)]
     docs = _docs(spark, [*map(" ".join, texts), None, "", " ".join(shared), " ".join(shared)])
     got = {r.doc_id: (r.class_id, r.n_links, [(p.start, p.stop, p.of) for p in r.passages]) for r in repeated_passages(docs).collect()}
