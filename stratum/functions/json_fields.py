@@ -53,23 +53,25 @@ def json_number_fields(json_text: Column, fields: Mapping[str, str]) -> list[Col
     return [try_to_number(_field(parsed, key)).alias(name) for name, key in fields.items()]
 
 
-def with_json_number_fields(df: DataFrame, json_col: str, fields: Mapping[str, str]) -> DataFrame:
+def with_json_number_fields(df: DataFrame, json_col: str, fields: Mapping[str, str], *,
+                            filtered: bool = True) -> DataFrame:
     """Append the numeric fields of the JSON text column `json_col` to `df`.
 
-    The text is parsed exactly once per row: the parsed struct is produced by
-    a generator (`explode` of a one-element array), which predicates cannot
-    be pushed beneath. Without it, a filter on a score (a range check, a
-    reject rule) is pushed below the projection with the parse inlined into
-    it -- one `from_json` per field per comparison. A NULL or malformed text
-    still yields its row, with NULL fields. The generator stays in the plan
-    even when no field is read, so ask only for the fields a consumer uses.
+    `filtered`: for consumers that filter on the fields (a range check, a reject
+    rule). A generator (`explode` of a one-element array) makes the parsed
+    struct, and predicates cannot be pushed beneath it; else one `from_json` per
+    field per comparison would be. Without it the struct is a projection of its
+    own: still one parse per row, as the optimizer doesn't inline it into the
+    fields, and a consumer that reads no field neither parses nor reads the
+    text. A NULL or malformed text yields its row, with NULL fields.
     """
     if not fields:
         return df
     tmp = "__json_fields"
     parsed = _parsed(F.col(json_col), list(fields.values()))
-    exploded = df.select(*[F.col(c) for c in df.columns], F.explode(F.array(parsed)).alias(tmp))
-    return exploded.select(
+    if filtered:
+        parsed = F.explode(F.array(parsed))
+    return df.select(*[F.col(c) for c in df.columns], parsed.alias(tmp)).select(
         *[F.col(c) for c in df.columns],
         *[try_to_number(_field(F.col(tmp), key)).alias(name) for name, key in fields.items()],
     )
@@ -81,3 +83,12 @@ def flatten_object(df: DataFrame, json_col: str, keep: Sequence[str] = ()) -> Da
     Rows whose text is not a JSON object yield no rows."""
     as_map = F.from_json(F.col(json_col), T.MapType(T.StringType(), T.StringType()))
     return df.select(*keep, F.explode(as_map).alias("key", "value"))
+
+
+def flatten_array(df: DataFrame, json_col: str, keep: Sequence[str] = ()) -> DataFrame:
+    """Flatten a JSON array laterally: one row per element with its place (from 0) and text
+    (strings unquoted, nested values as compact JSON, JSON null as NULL).
+    Rows whose text is not a JSON array yield no rows."""
+    as_list = F.from_json(F.col(json_col), T.ArrayType(T.StringType()), STRICT)
+    is_list = F.ltrim(F.col(json_col)).startswith("[")  # a lone value would be read as a list of one
+    return df.select(*keep, F.posexplode(F.when(is_list, as_list)).alias("pos", "value"))

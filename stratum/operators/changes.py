@@ -7,20 +7,24 @@ of an update, the way a table stream reports an UPDATE.
 Plan, chosen for skew and scale:
   1. signed bag difference: before rows weigh -1, after rows +1; one
      aggregation over all columns (partial sums on each task, one shuffle)
-     keeps the groups whose net weight is not 0. Both snapshots are shuffled
-     (copies within one task are summed first, but a row and its unchanged
-     counterpart sit in different tasks), and no key -- however hot -- funnels into one task: the shuffle key is the
-     whole row. (Hash-repartitioning before aggregating measured ~30 %
+     keeps the groups whose net weight is not 0. Both snapshots are shuffled,
+     once each (copies within one task are summed first, but a row and its
+     unchanged counterpart sit in different tasks), and no key -- however hot
+     -- funnels into one task: the shuffle key is the whole row. (Hash-repartitioning before aggregating measured ~30 %
      faster on all-distinct rows, but it would ship every copy of a heavily
      duplicated row to one task; the map-side partial sums keep that case
      to one row per task, so they stay.)
   2. update pairing on the (small) set of changed rows only: per key, one
      deleted and one inserted row make an update. The per-key flags are an
      aggregate (at most one row per key) joined back with a left join,
-     which adaptive execution can split when one key is hot.
-Rows with a NULL key never pair (NULL = NULL is unknown) and skip the join.
+     which adaptive execution can split when one key is hot. Both sides read
+     the shuffle of step 1: the key is joined as one struct, so that no
+     NOT NULL filter is pushed beneath one side's aggregate only, which would
+     make the two plans differ and run that shuffle twice.
+Rows with a NULL key never pair (NULL = NULL is unknown): a row hash beside the
+key spreads them, and they are never flagged.
 Duplicate rows are kept as a bag: a row present twice and deleted twice
-yields two DELETE rows.
+yields two DELETE rows; a row's copies are made in chunks of bounded size.
 """
 
 from __future__ import annotations
@@ -52,6 +56,14 @@ def null_spread(keys: list[str], cols: list[str]) -> Column:
     return F.when(any_null(keys), F.xxhash64(*[F.col(c) for c in cols])).otherwise(F.lit(0).cast("bigint"))
 
 
+COPIES = 4096  # copies of one row made at once
+
+
+def key_of(keys: list[str]) -> Column:
+    """The key and its spread as one value; equal NULL parts are equal here, unlike in `=`."""
+    return F.struct(*keys, NULL_SPREAD)
+
+
 def snapshot_diff(before: DataFrame, after: DataFrame, key: str | list[str], *,
                   action_col: str = ACTION, update_col: str = IS_UPDATE) -> DataFrame:
     keys = _keys(key)
@@ -62,19 +74,21 @@ def snapshot_diff(before: DataFrame, after: DataFrame, key: str | list[str], *,
            .withColumn(NULL_SPREAD, null_spread(keys, cols)))
 
     pairs = (
-        net.filter(F.col(NULL_SPREAD) == 0)
-        .groupBy(*keys, NULL_SPREAD)
+        net.groupBy(key_of(keys).alias("__k"))
         .agg(F.sum(F.when(F.col("__n") < 0, -F.col("__n")).otherwise(0)).alias("__d"),
              F.sum(F.when(F.col("__n") > 0, F.col("__n")).otherwise(0)).alias("__i"))
         .filter((F.col("__d") == 1) & (F.col("__i") == 1))
-        .select(*keys, NULL_SPREAD, F.lit(True).alias(update_col))
+        .select("__k", F.lit(True).alias(update_col))
     )
-    flagged = net.join(pairs, on=[*keys, NULL_SPREAD], how="left")
+    flagged = net.withColumn("__k", key_of(keys)).join(pairs, on="__k", how="left")
+    n = F.abs(F.col("__n"))
+    left = n - F.col("__chunk") * COPIES
     return (
-        flagged.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.abs(F.col("__n")))))
+        flagged.withColumn("__chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((n - 1) / COPIES))))
+        .withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.least(left, F.lit(COPIES).cast("bigint")))))
         .select(*cols,
                 F.when(F.col("__n") > 0, F.lit("INSERT")).otherwise(F.lit("DELETE")).alias(action_col),
-                F.coalesce(F.col(update_col), F.lit(False)).alias(update_col))
+                (F.coalesce(F.col(update_col), F.lit(False)) & ~any_null(keys)).alias(update_col))
     )
 
 

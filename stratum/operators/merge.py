@@ -170,18 +170,30 @@ def merge_counts(target: DataFrame, changes: DataFrame, key: str | list[str], *,
     )
 
 
-def update_where_in(df: DataFrame, set_col: str, value, key: str, *, pick: str = "min") -> DataFrame:
-    """UPDATE t SET c = v WHERE k IN (SELECT k FROM t LIMIT 1), made deterministic.
-
-    The picked key is a scalar subquery (min or max of k), evaluated once;
-    the update itself is a map-only rewrite of every row, published as a new
-    snapshot by the caller (Parquet files are never updated in place).
+def update_where_in(df: DataFrame, set_col: str, value, key: str, *, pick: str = "min",
+                    keys: DataFrame | None = None, keys_col: str | None = None) -> DataFrame:
+    """UPDATE t SET c = v WHERE k IN (SELECT ...): the table after the update.
+
+    With `keys`, the rows whose key stands in its column `keys_col` (default:
+    `key`): the distinct keys are joined as a flag, so a key listed twice
+    changes nothing, a small key side is broadcast by its measured size, and
+    rows with a NULL key match nothing and are spread by a row hash. Without
+    it, the one key that the reference's `LIMIT 1` subquery picks, made
+    deterministic: a scalar subquery (min or max of k), evaluated once. The
+    update rewrites every row and is published as a new snapshot by the caller
+    (`tables.publish_snapshot`); Parquet files are never updated in place.
     """
-    agg = F.min(key) if pick == "min" else F.max(key)
-    picked = df.agg(agg).scalar()
-    hit = F.col(key) == picked
-    dtype = dict(df.dtypes)[set_col]
-    return df.withColumn(set_col, F.when(hit, F.lit(value).cast(dtype)).otherwise(F.col(set_col)))
+    new = F.lit(value).cast(dict(df.dtypes)[set_col])
+    if keys is None:
+        agg = F.min(key) if pick == "min" else F.max(key)
+        return df.withColumn(set_col, F.when(F.col(key) == df.agg(agg).scalar(), new).otherwise(F.col(set_col)))
+    listed = keys.select(F.col(keys_col or key).alias("__key")).filter("__key IS NOT NULL").distinct()
+    listed = listed.select("__key", F.lit(0).cast("bigint").alias("__spread"), F.lit(True).alias("__hit"))
+    spread = df.withColumn(NULL_SPREAD, null_spread([key], df.columns))
+    on = (F.col(key) == F.col("__key")) & (F.col(NULL_SPREAD) == F.col("__spread"))
+    hit = F.coalesce(F.col("__hit"), F.lit(False))
+    return spread.join(listed, on, "left").select(
+        *[F.when(hit, new).otherwise(F.col(c)).alias(c) if c == set_col else F.col(c) for c in df.columns])
 
 
 def semi_in(df: DataFrame, key: str, keys_df: DataFrame, keys_col: str | None = None) -> DataFrame:

@@ -43,16 +43,18 @@ def lineage_stamps(as_of, source_object: str, run_id: str | None = None,
 def stage_rows(raw: DataFrame, *, json_col: str = "engagement_survey",
                fields: Mapping[str, str] = SURVEY_FIELDS, as_of="1970-01-01 00:00:00",
                source_object: str = RAW_TABLE, run_id: str | None = None,
-               process_type: str | None = None, keep: Sequence[str] | None = None) -> DataFrame:
+               process_type: str | None = None, keep: Sequence[str] | None = None,
+               filtered: bool = False) -> DataFrame:
     """Every raw column (or `keep`), the numeric survey fields, then the stamps.
 
     Map-only: scan -> project, no shuffle. A malformed JSON text stages with
-    NULL scores (use `quality.quarantine` to route such rows aside).
+    NULL scores (use `quality.quarantine` to route such rows aside). `filtered`:
+    the consumer filters on the scores (see `with_json_number_fields`).
     """
     base = raw.select(*(keep or raw.columns))
     if json_col not in base.columns:
         base = base.withColumn(json_col, raw[json_col])
-    staged = with_json_number_fields(base, json_col, fields)
+    staged = with_json_number_fields(base, json_col, fields, filtered=filtered)
     if keep is not None and json_col not in keep:
         staged = staged.drop(json_col)
     return staged.withColumns(lineage_stamps(as_of, source_object, run_id, process_type))

@@ -77,7 +77,7 @@ ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_
 # stood before the 2001 orders arrived; "after" is today's table, in which
 # low-priority pending orders were cancelled (deleted) and open urgent orders
 # repriced (updated). Every row of orders is read for both snapshots.
-BEFORE_FILTER = "year(o_orderdate) < 2001"
+BEFORE_FILTER = "o_orderdate < DATE '2001-01-01'"
 AFTER_FILTER = "NOT (o_orderstatus = 'P' AND o_orderpriority = '5-LOW')"
 AFTER_COLUMNS = [
     "o_orderkey", "o_custkey", "o_orderstatus",
@@ -94,7 +94,7 @@ EVENT_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 # The same for events: "before" is the stream up to 24 January; "after" has
 # the later events, drops retracted low-value error events and reassigns
 # high-value purchases to another user.
-EVENTS_BEFORE_FILTER = "day(ts) < 25"
+EVENTS_BEFORE_FILTER = "ts < DATE '2024-01-25'"
 EVENTS_AFTER_FILTER = "NOT (event_type = 'error' AND value < 5)"
 EVENTS_AFTER_COLUMNS = [
     "event_id", "ts",

@@ -67,8 +67,7 @@ def q_survey_results(spark, sf_dir):
 
 @register("demographics", o.demographics_mart(o.staged(o.RAW_ORDERS)))
 def q_demographics(spark, sf_dir):
-    # The mart reads no survey field, so its staging parses none.
-    return marts.demographics(staged_orders(spark, sf_dir, fields={}), as_of=fx.AS_OF, run_id=fx.RUN_ID)
+    return marts.demographics(staged_orders(spark, sf_dir), as_of=fx.AS_OF, run_id=fx.RUN_ID)
 
 
 @register("row_count", f"SELECT count(*) AS silver_row_count FROM ({o.RAW_EVENTS}) r")
@@ -151,6 +150,17 @@ def q_update_where_in(spark, sf_dir):
     return merge.update_where_in(fx.raw_from_orders(spark, sf_dir), "employee_number", None, "employee_number")
 
 
+_BUILDING = "SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING'"
+
+
+@register("update_where_listed", f"""SELECT * REPLACE (CASE WHEN o_custkey IN ({_BUILDING}) THEN 'X' ELSE o_orderstatus END AS o_orderstatus)
+FROM ({fx.sql_select(fx.ORDERS_WITH_ORPHANS, 'orders')}) x""")
+def q_update_where_listed(spark, sf_dir):
+    orders = fx.table(spark, sf_dir, "orders").selectExpr(*fx.ORDERS_WITH_ORPHANS)
+    building = fx.table(spark, sf_dir, "customer").filter(F.col("c_mktsegment") == "BUILDING")
+    return merge.update_where_in(orders, "o_orderstatus", "X", "o_custkey", keys=building, keys_col="c_custkey")
+
+
 @register("semi_in", f"""SELECT * FROM ({fx.sql_select(fx.ORDERS_WITH_ORPHANS, 'orders')}) x
 WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')""")
 def q_semi_in(spark, sf_dir):
@@ -346,7 +356,8 @@ def _null_check(raw, as_of):
 
 def _range_check(staged, as_of):
     return quality.range_check(staged, SCORES, sample=RANGE_SAMPLE, check_name="invalid_survey_range",
-                               layer="silver", table_name=staging.STAGED_TABLE, as_of=as_of)
+                               layer="silver", table_name=staging.STAGED_TABLE, as_of=as_of,
+                               stage_issues=work_dir(staged.sparkSession, "range_issues"))
 
 
 _RANGE_BAD = " OR ".join(f"coalesce({c}, 0) NOT BETWEEN 1 AND 5" for c in SCORES)
@@ -371,7 +382,7 @@ def q_null_check(spark, sf_dir):
                               check_name="null_employee_number", layer="bronze", table_name=staging.RAW_TABLE,
                               as_of=fx.AS_OF, stage_issues=work_dir(spark, "null_issues"))
 register("range_check", _range_oracle(_STAGED_EVENTS))(
-    lambda spark, sf_dir: _range_check(staged_events(spark, sf_dir), fx.AS_OF))
+    lambda spark, sf_dir: _range_check(staged_events(spark, sf_dir, filtered=True), fx.AS_OF))
 
 # Fault injection (made deterministic): score 99 on the smallest
 # staged key, NULL key on the smallest raw key; then the checks run again.
@@ -384,13 +395,13 @@ _TS2 = f"TIMESTAMP '{CHECK_AS_OF_2}'"
 
 def _injected_checks(spark, sf_dir):
     raw = merge.update_where_in(fx.raw_from_orders(spark, sf_dir), "employee_number", None, "employee_number")
-    staged = merge.update_where_in(staged_events(spark, sf_dir), "satisfaction_score", 99, "employee_number")
+    staged = merge.update_where_in(staged_events(spark, sf_dir, filtered=True), "satisfaction_score", 99, "employee_number")
     return _null_check(raw, CHECK_AS_OF_2).unionByName(_range_check(staged, CHECK_AS_OF_2))
 
 
 def _all_checks(spark, sf_dir):
     first = _null_check(fx.raw_from_orders(spark, sf_dir), fx.AS_OF).unionByName(
-        _range_check(staged_events(spark, sf_dir), fx.AS_OF))
+        _range_check(staged_events(spark, sf_dir, filtered=True), fx.AS_OF))
     return first.unionByName(_injected_checks(spark, sf_dir))
 
 
@@ -411,7 +422,7 @@ def q_dq_injected(spark, sf_dir):
 def q_dq_results(spark, sf_dir):
     path = work_dir(spark, "data_quality_results")
     for part in (_null_check(fx.raw_from_orders(spark, sf_dir), fx.AS_OF),
-                 _range_check(staged_events(spark, sf_dir), fx.AS_OF), _injected_checks(spark, sf_dir)):
+                 _range_check(staged_events(spark, sf_dir, filtered=True), fx.AS_OF), _injected_checks(spark, sf_dir)):
         tables.append_rows(part.select(*quality.RESULT_COLUMNS), path)
     return quality.latest_results(tables.read_table(spark, path), 50)
 
@@ -467,7 +478,7 @@ def q_quarantine(spark, sf_dir):
     rules = {"invalid_survey_json": F.col("engagement_survey").isNotNull()
              & F.try_parse_json(F.col("engagement_survey")).isNull(),
              "score_overflow": quality.any_of([F.coalesce(F.col(c), F.lit(0)) > 100 for c in SCORES])}
-    _, rejected = quality.quarantine(staged_events(spark, sf_dir), rules)
+    _, rejected = quality.quarantine(staged_events(spark, sf_dir, filtered=True), rules)
     return rejected.select("employee_number", "department", "engagement_survey", "reject_reason")
 
 
@@ -608,9 +619,9 @@ def q_dt_stage(spark, sf_dir):
 @register("replace_table", o.demographics_mart(o.staged(o.RAW_ORDERS)))
 def q_replace_table(spark, sf_dir):
     path = work_dir(spark, "demographics")
-    tables.replace_table(marts.demographics(staged_orders(spark, sf_dir, fields={}), as_of=fx.PREVIOUS_AS_OF,
+    tables.replace_table(marts.demographics(staged_orders(spark, sf_dir), as_of=fx.PREVIOUS_AS_OF,
                                             run_id=fx.PREVIOUS_RUN_ID), path)
-    return tables.replace_table(marts.demographics(staged_orders(spark, sf_dir, fields={}), as_of=fx.AS_OF,
+    return tables.replace_table(marts.demographics(staged_orders(spark, sf_dir), as_of=fx.AS_OF,
                                                    run_id=fx.RUN_ID), path)
 
 
@@ -658,3 +669,16 @@ WHERE json_valid(e.engagement_survey)""")
 def q_flatten_json(spark, sf_dir):
     from stratum.functions.json_fields import flatten_object
     return flatten_object(fx.raw_from_events(spark, sf_dir), "engagement_survey", keep=["employee_number"])
+
+
+# A JSON array per event: numbers, text, null and a nested object; every 11th is an object instead.
+_ARRAY_TEXT = ("CASE WHEN event_id % 11 = 0 THEN '{\"a\": 1}' ELSE concat('[', cast(user_id AS string), ',\"', event_type, "
+               "'\",null,{\"u\":', cast(user_id AS string), '}]') END AS items")
+
+
+@register("flatten_array", f"""SELECT event_id, CAST(j.key AS INTEGER) AS pos, json_extract_string(j.value, '$') AS value
+FROM (SELECT event_id, {_ARRAY_TEXT} FROM events) e, json_each(e.items) j
+WHERE json_type(e.items) = 'ARRAY'""")
+def q_flatten_array(spark, sf_dir):
+    from stratum.functions.json_fields import flatten_array
+    return flatten_array(fx.table(spark, sf_dir, "events").selectExpr("event_id", _ARRAY_TEXT), "items", keep=["event_id"])

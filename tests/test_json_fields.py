@@ -88,3 +88,10 @@ def test_conform_and_evolve_schema(spark):
     assert ev.dtypes[-2:] == [("score", "bigint"), ("source_object", "string")]
     assert ev.first().source_object == "bronze"                          # existing rows take the default
     assert empty_like(df, [("score", "bigint", None)]).count() == 0
+
+
+def test_flatten_array(spark):
+    from stratum.functions.json_fields import flatten_array
+    df = spark.createDataFrame([(1, '[1, "a", null, {"x":2}]'), (2, "[]"), (3, '{"x": 1}'), (4, "[1"), (5, None), (6, "7")], "id int, j string")
+    assert [tuple(r) for r in flatten_array(df, "j", ["id"]).orderBy("id", "pos").collect()] == \
+        [(1, 0, "1"), (1, 1, "a"), (1, 2, None), (1, 3, '{"x":2}')]

@@ -78,3 +78,24 @@ def test_update_where_in_and_semi_in(spark):
     assert rows(update_where_in(df, "s", 99, "k")) == [(1, 99), (2, 3), (3, 1)]
     keys = spark.createDataFrame([(1,), (None,)], "c bigint")
     assert rows(semi_in(df, "k", keys, "c")) == [(1, 2)]
+
+
+def test_update_where_in_listed_keys(spark):
+    df = spark.createDataFrame([(1, 5), (2, 3), (3, 1), (None, 7)], "k long, s int")
+    listed = spark.createDataFrame([(1,), (3,), (3,), (None,), (9,)], "id long")
+    assert sorted(rows(update_where_in(df, "s", 99, "k", keys=listed, keys_col="id")), key=str) == \
+        [(1, 99), (2, 3), (3, 99), (None, 7)]
+    assert sorted(rows(update_where_in(df, "s", 99, "k", keys=listed.limit(0), keys_col="id")), key=str) == sorted(rows(df), key=str)
+
+
+def test_diff_makes_many_copies_and_flags_no_null_key(spark):
+    from pyspark.sql import functions as F
+
+    from stratum.operators.changes import COPIES, snapshot_diff
+    n = 2 * COPIES + 3
+    before = spark.createDataFrame([(None, 1), (5, 1), (6, 1)], "k long, v int")
+    after = spark.range(n).select(F.lit(7).cast("long").alias("k"), F.lit(0).alias("v")).unionByName(
+        spark.createDataFrame([(None, 2), (5, 2), (6, 1)], "k long, v int"))
+    got = {tuple(r)[:4]: r[4] for r in snapshot_diff(before, after, "k").groupBy("k", "v", "_action", "_is_update").count().collect()}
+    assert got == {(7, 0, "INSERT", False): n, (None, 1, "DELETE", False): 1, (None, 2, "INSERT", False): 1,
+                   (5, 1, "DELETE", True): 1, (5, 2, "INSERT", True): 1}

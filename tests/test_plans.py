@@ -46,3 +46,31 @@ def test_no_full_outer_or_cartesian_anywhere(spark):
         plan = _plan(fn(spark, SF))
         assert "FullOuter" not in plan and "CartesianProduct" not in plan, name
         assert "BroadcastNestedLoopJoin" not in plan, name
+
+
+def _static_plan(spark, name) -> str:
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return _plan(QUERIES[name](spark, SF))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_change_feed_shuffles_each_snapshot_once(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _static_plan(spark, "snapshot_diff")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("FileScan") == 2
+    assert "ReusedExchange" in plan
+    assert "LessThan(o_orderdate" in plan  # the date bound reaches the scan
+
+
+def test_unread_scores_are_not_parsed(spark):
+    for name in ("row_count", "demographics"):
+        assert "from_json" not in _static_plan(spark, name), name
+
+
+def test_scores_are_parsed_once_per_row(spark):
+    assert _static_plan(spark, "survey_results").count("from_json(") == 1
