@@ -20,7 +20,7 @@ from stratum.llm.near_dedup import estimate, near_duplicates, registers
 from stratum.llm.pii import pseudonymise
 from stratum.llm.quality import score_quality
 from stratum.llm.queries import ORACLES, QUERIES, URL_RULES, id_remainder
-from stratum.llm.substring_dedup import align, chain, repeated_passages
+from stratum.llm.substring_dedup import align, align_passages, chain, repeated_passages
 from stratum.llm.token_counts import Counter, count_tokens
 from stratum.llm.toxicity import Lexicon, score_toxicity
 from stratum.llm.url_filter import judge_urls
@@ -161,6 +161,34 @@ def test_chain_is_the_best_by_brute_force():
     assert align(np.arange(30), np.arange(30), [5], [5]) == (0, 30, 0, 30, 30)
 
 
+def test_passages_in_one_chain_are_judged_on_their_own():
+    r = np.random.default_rng(3)
+    for size, gap in ((60, 20), (60, 40), (60, 150), (60, 300), (300, 1000)):
+        for _ in range(10):
+            one, two, *other = (r.integers(0, 2**62, n) for n in (size, size, *[gap] * 6))
+            a, b = np.concatenate([other[0], one, other[1], two, other[2]]), np.concatenate([other[3], one, other[4], two, other[5]])
+            xs = [gap + i for i in range(0, size - 8, 7)] + [2 * gap + size + i for i in range(0, size - 8, 7)]
+            covered = np.zeros(len(a), dtype=bool)
+            for start, stop in align_passages(a, b, xs, xs, 50, 0.8):
+                covered[start:stop] = True
+                assert np.isin(a[start:stop], b).sum() >= 0.8 * (stop - start)
+            assert covered[gap:gap + size].all() and covered[2 * gap + size:2 * gap + 2 * size].all()
+    # Runs too short alone are one passage together.
+    one, two, *other = (r.integers(0, 2**62, n) for n in (30, 30, 10, 10))
+    a, b = np.concatenate([one, other[0], two]), np.concatenate([one, other[1], two])
+    assert align_passages(a, b, [0, 20, 40, 60], [0, 20, 40, 60], 50, 0.8) == [(0, 70)]
+
+
+def test_two_shared_passages_per_pair(spark):
+    one, two = _words(60, 31), _words(60, 32)
+    texts = [_words(90, 33 + 9 * i) + one + _words(gap, 34 + 9 * i) + two + _words(30, 35 + 9 * i) for i, gap in enumerate((0, 40, 100, 150, 300))]
+    for row in repeated_passages(_docs(spark, map(" ".join, texts))).filter("doc_id > 0").collect():
+        words = set()
+        for p in row.passages:
+            words |= set(texts[row.doc_id][p.start:p.stop])
+        assert row.class_id == 0 and words >= {*one, *two}, row
+
+
 def test_top_k_against_brute_force(spark):
     r = np.random.default_rng(7)
     vectors = [list(map(float, v)) for v in r.normal(0, 0.1, (150, 8))]
