@@ -20,7 +20,7 @@ from stratum.llm.near_dedup import estimate, near_duplicates, registers
 from stratum.llm.pii import pseudonymise
 from stratum.llm.quality import score_quality
 from stratum.llm.queries import ORACLES, QUERIES, URL_RULES, id_remainder
-from stratum.llm.substring_dedup import align, align_passages, chain, repeated_passages
+from stratum.llm.substring_dedup import align, align_passages, chain, matches, repeated_passages
 from stratum.llm.token_counts import Counter, count_tokens
 from stratum.llm.toxicity import Lexicon, score_toxicity
 from stratum.llm.url_filter import judge_urls
@@ -189,6 +189,23 @@ def test_two_shared_passages_per_pair(spark):
         assert row.class_id == 0 and words >= {*one, *two}, row
 
 
+def test_all_places_of_a_seed_match(spark):
+    r = random.Random(8)
+    for _ in range(200):
+        h, g = (np.array([r.randrange(6) for _ in range(r.randint(0, 20))], dtype=np.int64) for _ in range(2))
+        x, y = matches(h, 3 * np.arange(len(h)), g, 5 * np.arange(len(g)))
+        assert sorted(zip(x.tolist(), y.tolist())) == sorted((3 * i, 5 * j) for i in range(len(h)) for j in range(len(g)) if h[i] == g[j])
+    same = np.zeros(2000, dtype=np.int64)  # far more equal seeds than are chained
+    x, y = matches(same, np.arange(2000), same, np.arange(2000))
+    assert len(x) <= 1 << 16 and set(x.tolist()) == set(y.tolist()) == {*range(2000)}
+    texts = []
+    for i in range(20):
+        one, two = _words(30, 50 + 9 * i), _words(30, 51 + 9 * i)
+        texts += [_words(200, 52 + 9 * i) + two + _words(200, 53 + 9 * i) + one + _words(200, 54 + 9 * i) + one + two, _words(40, 55 + 9 * i) + one + two + _words(40, 56 + 9 * i)]
+    got = {x.doc_id: [(p.start, p.stop, p.of) for p in x.passages] for x in repeated_passages(_docs(spark, map(" ".join, texts))).collect()}
+    assert all(got[i] == [(40, 100, i - 1)] for i in range(1, 40, 2)), got
+
+
 def test_top_k_against_brute_force(spark):
     r = np.random.default_rng(7)
     vectors = [list(map(float, v)) for v in r.normal(0, 0.1, (150, 8))]
