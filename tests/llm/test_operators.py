@@ -20,7 +20,7 @@ from stratum.llm.near_dedup import estimate, near_duplicates, registers
 from stratum.llm.pii import pseudonymise
 from stratum.llm.quality import score_quality
 from stratum.llm.queries import ORACLES, QUERIES, URL_RULES, id_remainder
-from stratum.llm.substring_dedup import align, align_passages, chain, matches, repeated_passages
+from stratum.llm.substring_dedup import align, align_passages, chain, matches, repeated_passages, worth_aligning
 from stratum.llm.token_counts import Counter, count_tokens
 from stratum.llm.toxicity import Lexicon, score_toxicity
 from stratum.llm.url_filter import judge_urls
@@ -206,6 +206,35 @@ def test_all_places_of_a_seed_match(spark):
     assert all(got[i] == [(40, 100, i - 1)] for i in range(1, 40, 2)), got
 
 
+def test_passages_whose_seeds_have_a_hub_without_them(spark):
+    def filled(i, *middle):
+        return _words(40, 300 + 2 * i) + [w for m in middle for w in m] + _words(40, 301 + 2 * i)
+
+    texts, want = [], []
+    for i in range(0, 400, 20):  # the hub holds 45 of 55 and 49 of 60 shared words
+        for held, size in ((45, 55), (49, 60)):
+            shared, first = _words(size, 200000 + i + size), len(texts)
+            texts += [filled(i + 1000 * size, shared[:held]), filled(i + 1000 * size + 3, shared), filled(i + 1000 * size + 6, shared)]
+            want += [(first, first, 0), (first + 1, first + 1, 0), (first + 2, first + 1, size)]
+    for i in range(0, 400, 20):  # hubs hold two of three lines
+        a, b, c = (_words(20, 100000 + i + k) for k in range(3))
+        first = len(texts)
+        texts += [filled(i, a, b), filled(i + 3, b, c), filled(i + 6, a, b, c), filled(i + 9, a, b, c)]
+        want += [(first + k, first + min(k, 2), 60 * (k == 3)) for k in range(4)]
+    got = {r.doc_id: (r.doc_id, r.class_id, r.n_repeated) for r in repeated_passages(_docs(spark, map(" ".join, texts))).collect()}
+    assert [got[i] for i in range(len(texts))] == want
+
+
+def test_chains_not_aligned_hold_no_other_passages():
+    r = np.random.default_rng(12)
+    for _ in range(60):
+        line = r.integers(3, 2**62, 12)
+        a, b = (np.concatenate([part for _ in range(25) for part in (line[:r.integers(8, 13)], r.integers(3, 2**62, r.integers(0, 6)) if r.random() < 0.3 else line[:0])]).astype(np.uint64) for _ in range(2))
+        chains = [([i], [j]) for i in range(0, len(a) - 8, 3) for j in range(len(b) - 8) if (a[i:i + 8] == b[j:j + 8]).all()]
+        spans, kept = ({s for xs, ys in c for s in align_passages(a, b, xs, ys, 50, 0.8)} for c in (chains, worth_aligning(a, b, chains, 50)))
+        assert spans == kept and len(worth_aligning(a, b, chains, 50)) < len(chains)
+
+
 def test_top_k_against_brute_force(spark):
     r = np.random.default_rng(7)
     vectors = [list(map(float, v)) for v in r.normal(0, 0.1, (150, 8))]
