@@ -23,7 +23,7 @@ _EPOCH, _DAYS = "1900-01-01", 1 << 16  # dates that are permuted: 1900-01-01 to
 FORMS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "key": r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])",
-    "secret": r"(?<![A-Za-z])(?:password|passwd|secret|token|api_key|apikey)\s{0,3}[=:]\s{0,3}[\"']?[A-Za-z0-9_\-]{8,}+",
+    "secret": r"(?<![A-Za-z])(?i:password|passwd|secret|token|api_key|apikey)\s{0,3}[=:]\s{0,3}[\"']?[A-Za-z0-9_\-]{8,}+",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "phone": r"(?<![0-9+])\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])|(?<![0-9])\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![0-9])",
     "date": r"(?<![0-9.-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9-])|(?<![0-9./])[0-9]{2}([./])[0-9]{2}\1[0-9]{4}(?![0-9])",
@@ -168,7 +168,7 @@ def _email(m: Column, key: str, restore: bool) -> Column:
     return F.concat(permute_text(F.substr(m, F.lit(1), at - 1), key, "email", restore), F.substr(m, at, F.length(m)))
 
 
-_PSEUDONYMS = {"email": _email, "key": _after("^AKIA", "key"), "secret": _after("^[a-z_]+\\s*[=:]\\s*[\"']?", "secret"), "iban": _iban, "phone": _phone,
+_PSEUDONYMS = {"email": _email, "key": _after("^AKIA", "key"), "secret": _after("^[A-Za-z_]+\\s*[=:]\\s*[\"']?", "secret"), "iban": _iban, "phone": _phone,
                "date": _date, "ssn": _ssn, "card": _card, "ip": _ip}
 # What a candidate is, told from the candidate alone.
 _TOLD = {"email": "@", "key": "^AKIA[0-9A-Z]{16}$", "secret": "[=:]", "iban": "^[A-Z]{2}[0-9]{2}", "phone": r"^[+(]",
@@ -190,7 +190,7 @@ def pseudonymise(docs: DataFrame, key: str, *, text_col: str = "text", restore:
     text = F.col(text_col)
     # Candidates are fenced and the text split at the fences, in one linear pass; a text that holds
     # the fence itself is left as one part, and its candidates are extracted one by one.
-    likely, fenced = F.rlike(text, F.lit("[0-9@]|AKIA|[Pp]assw|secret|token|api")), F.contains(text, F.lit(_FENCE))
+    likely, fenced = F.rlike(text, F.lit("[0-9@]|AKIA|(?i:passw|secret|token|api)")), F.contains(text, F.lit(_FENCE))
     parts = F.split(F.regexp_replace(text, f"(?:{_ANY})", f"{_FENCE}$0{_FENCE}"), _FENCE)
     df = docs.withColumn("__parts", F.when(likely & ~fenced, parts).when(likely, F.flatten(F.zip_with(
         F.split(text, _ANY, -1), F.concat(F.regexp_extract_all(text, F.lit(f"(?:{_ANY})"), F.lit(0)), F.array(F.lit(""))), lambda a, b: F.array(a, b)))))

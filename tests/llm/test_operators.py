@@ -262,6 +262,15 @@ def test_pseudonyms(spark):
     assert [r.text for r in back.collect()] == texts
 
 
+def test_names_of_secrets_in_any_case(spark):
+    texts = [f"{name}{sign}ABCDefghKLMNopqr" for name in ("password", "Password", "PASSWD", "Secret", "TOKEN", "Api_Key", "API_KEY", "ApiKey") for sign in ("=", ": ", ' = "')]
+    made = pseudonymise(_docs(spark, texts), "key").orderBy("doc_id")
+    rows = made.collect()
+    for row, text in zip(rows, texts):
+        assert row["__n_pseudonyms"] == 1 and row.text[:-16] == text[:-16] and row.text[-16:] != text[-16:], row
+    assert [r.text for r in pseudonymise(made.drop("__n_pseudonyms"), "key", restore=True).orderBy("doc_id").collect()] == texts
+
+
 def test_levenshtein_walk_against_brute_force():
     lexicon = Lexicon([("idiot", False), ("disgusting", False), ("scum", False), ("loweiung", True)])
 
