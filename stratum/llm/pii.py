@@ -6,6 +6,8 @@ octets up to 255, calendar dates; phone and social security numbers, e-mail
 addresses and keys by form). A pseudonym is a keyed permutation within the format: a Feistel network
 whose halves add a keyed hash of each other. Equal values get equal pseudonyms in all documents,
 different ones different; the key holder can turn them back. Check digits are made valid again.
+Cards and IBANs beside other numbers are found at group borders; there a value's pseudonym can be another one
+than alone, where the neighbours would be read with it.
 """
 
 from __future__ import annotations
@@ -28,9 +30,14 @@ FORMS = {
     "phone": r"(?<![0-9+])\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])|(?<![0-9])\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![0-9])",
     "date": r"(?<![0-9.-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9-])|(?<![0-9./])[0-9]{2}([./])[0-9]{2}\1[0-9]{4}(?![0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-    "card": r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",
+    "card": r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,36}(?![0-9])",
     "ip": r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])",
 }
+IBAN_LENGTHS = {country: int(n) for n, countries in (x.split(":") for x in (
+    "15:NO 16:BE 18:DK,FI,FO,GL,NL,SD 19:MK,SI 20:AT,BA,EE,KZ,LT,LU,MN,XK 21:CH,HR,LI,LV 22:BG,BH,CR,DE,GB,GE,IE,ME,RS,VA "
+    "23:AE,GI,IL,IQ,OM,SO,TL 24:AD,CZ,DZ,ES,MD,PK,RO,SA,SE,SK,TN,VG 25:AO,CV,LY,MZ,PT,ST 26:IS,TR 27:BI,DJ,FR,GR,IT,MC,MR,SM "
+    "28:AL,AZ,BY,CY,DO,GT,HN,HU,LB,NI,PL,SV 29:BR,EG,PS,QA,UA 30:JO,KW,MU,YE 31:MT,SC 32:LC 33:RU").split()) for country in countries.split(",")}
+TURNS = 64  # pseudonyms of pseudonyms that are tried where the characters around would be read with them
 _ANY = "|".join(FORMS.values())
 _FENCE = "\u0001\u0002"
 _SEPARATORS = "[^A-Za-z0-9]"
@@ -112,11 +119,66 @@ def mod_97(text: Column) -> Column:
     return F.aggregate(F.split(text, ""), F.lit(0), more)
 
 
+def _let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """`then` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def _is_card(m: Column) -> Column:
+    return _let(_bare(m), lambda digits: F.length(digits).between(13, 19) & (luhn_sum(digits) % 10 == 0))
+
+
+def _is_iban(m: Column) -> Column:
+    return _let(_bare(m), lambda bare: mod_97(F.concat(F.substr(bare, F.lit(5), F.length(bare)), F.substr(bare, F.lit(1), F.lit(4)))) == 1)
+
+
+def _borders(m: Column) -> Column:
+    """Places behind the groups of `m`."""
+    return F.filter(F.sequence(F.lit(1), F.length(m)), lambda e: (e == F.length(m)) | F.rlike(F.substr(m, e + 1, F.lit(1)), F.lit(_SEPARATORS)))
+
+
+def _cards(m: Column) -> Column:
+    """(at, size) of the cards in a run of digits: from left to right, at each group the longest that is valid."""
+    def from_group(s: Column, ends: Column, at: Column) -> Column:
+        size = F.array_max(F.filter(F.transform(ends, lambda e: e - at + 1), lambda n: n.between(13, 37) & _is_card(F.substr(m, at, n))))
+        return F.when(at < s.next, s).otherwise(_let(size, lambda n: F.when(n.isNull(), s).otherwise(
+            F.struct((at + n).alias("next"), F.concat(s.found, F.array(F.struct(at.alias("at"), n.alias("size")))).alias("found")))))
+
+    def cards(ends: Column) -> Column:
+        starts = F.concat(F.array(F.lit(1)), F.transform(F.filter(ends, lambda e: e < F.length(m)), lambda e: e + 2))
+        first = F.struct(F.lit(1).alias("next"), F.array().cast("array<struct<at:int,size:int>>").alias("found"))
+        return F.aggregate(starts, first, lambda s, at: from_group(s, ends, at), lambda s: s.found)
+
+    return F.when(_is_card(m), F.array(F.struct(F.lit(1).alias("at"), F.length(m).alias("size")))).otherwise(_let(_borders(m), cards))
+
+
+def _ibans(m: Column) -> Column:
+    """(at, size) of the IBAN in a candidate: the country's length if it is valid, else the whole."""
+    length = F.element_at(F.create_map(*[F.lit(x) for pair in IBAN_LENGTHS.items() for x in pair]), F.substr(m, F.lit(1), F.lit(2)))
+    sizes = F.filter(F.concat(F.filter(_borders(m), lambda e: F.length(_bare(F.substr(m, F.lit(1), e))) == length), F.array(F.length(m))), lambda e: _is_iban(F.substr(m, F.lit(1), e)))
+    return F.transform(F.slice(sizes, 1, 1), lambda n: F.struct(F.lit(1).alias("at"), n.alias("size")))
+
+
+def _inside(parts: Callable[[Column], Column], made: Callable[[Column, str, bool], Column]) -> Callable[[Column, str, bool], Column]:
+    """Pseudonyms of the valid parts of a candidate. Where a pseudonym and the characters around it would be
+    read as other parts, its own pseudonym is taken, and so on: so that it can be turned back."""
+    def one(m: Column, part: Column, all_parts: Column, key: str, restore: bool) -> Column:
+        def turn(s: Column) -> Column:
+            text = F.concat(F.substr(s.text, F.lit(1), part.at - 1), made(F.substr(s.text, part.at, part.size), key, restore), F.substr(s.text, part.at + part.size, F.length(s.text)))
+            return _let(text, lambda t: F.struct(t.alias("text"), (parts(t) == all_parts).alias("done")))
+        return F.aggregate(F.sequence(F.lit(1), F.lit(TURNS)), F.struct(m.alias("text"), F.lit(False).alias("done")),
+                           lambda s, _: F.when(s.done, s).otherwise(turn(s)), lambda s: F.when(s.done, s.text).otherwise(m))
+
+    def whole(m: Column, key: str, restore: bool) -> Column:
+        return _let(parts(m), lambda found: F.aggregate(F.reverse(found) if restore else found, m, lambda text, part: one(text, part, found, key, restore)))
+    return whole
+
+
 def _card(m: Column, key: str, restore: bool) -> Column:
     digits = _bare(m)
     body = F.concat(F.substr(digits, F.lit(1), F.lit(1)), permute_text(F.substr(digits, F.lit(2), F.length(digits) - 2), key, "card", restore))
     check = F.pmod(10 - luhn_sum(F.concat(body, F.lit("0"))) % 10, F.lit(10)).cast("string")
-    return F.when(luhn_sum(digits) % 10 == 0, _dressed(F.concat(body, check), m)).otherwise(m)
+    return _dressed(F.concat(body, check), m)
 
 
 def _iban(m: Column, key: str, restore: bool) -> Column:
@@ -124,7 +186,7 @@ def _iban(m: Column, key: str, restore: bool) -> Column:
     country, account = F.substr(bare, F.lit(1), F.lit(2)), F.substr(bare, F.lit(5), F.length(bare))
     made = permute_text(account, key, "iban", restore)
     check = F.lpad((98 - mod_97(F.concat(made, country, F.lit("00")))).cast("string"), 2, "0")
-    return F.when(mod_97(F.concat(account, F.substr(bare, F.lit(1), F.lit(4)))) == 1, _dressed(F.concat(country, check, made), m)).otherwise(m)
+    return _dressed(F.concat(country, check, made), m)
 
 
 def _phone(m: Column, key: str, restore: bool) -> Column:
@@ -168,8 +230,8 @@ def _email(m: Column, key: str, restore: bool) -> Column:
     return F.concat(permute_text(F.substr(m, F.lit(1), at - 1), key, "email", restore), F.substr(m, at, F.length(m)))
 
 
-_PSEUDONYMS = {"email": _email, "key": _after("^AKIA", "key"), "secret": _after("^[A-Za-z_]+\\s*[=:]\\s*[\"']?", "secret"), "iban": _iban, "phone": _phone,
-               "date": _date, "ssn": _ssn, "card": _card, "ip": _ip}
+_PSEUDONYMS = {"email": _email, "key": _after("^AKIA", "key"), "secret": _after("^[A-Za-z_]+\\s*[=:]\\s*[\"']?", "secret"), "iban": _inside(_ibans, _iban), "phone": _phone,
+               "date": _date, "ssn": _ssn, "card": _inside(_cards, _card), "ip": _ip}
 # What a candidate is, told from the candidate alone.
 _TOLD = {"email": "@", "key": "^AKIA[0-9A-Z]{16}$", "secret": "[=:]", "iban": "^[A-Z]{2}[0-9]{2}", "phone": r"^[+(]",
          "date": r"^(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}([./])[0-9]{2}\1[0-9]{4})$", "ssn": "^[0-9]{3}-[0-9]{2}-[0-9]{4}$", "ip": r"\.", "card": "^[0-9]"}
@@ -180,6 +242,11 @@ def pseudonym(m: Column, key: str, restore: bool = False) -> Column:
     return reduce(lambda rest, kind: F.when(F.rlike(m, F.lit(_TOLD[kind])), _PSEUDONYMS[kind](m, key, restore)).otherwise(rest), reversed(_TOLD), m)
 
 
+def _values_changed(m: Column, made: Column) -> Column:
+    several = F.rlike(m, F.lit("^[0-9](?:[ -]?[0-9]){25,}$"))  # digits of two cards
+    return F.when(m == made, 0).when(several, F.size(F.filter(_cards(m), lambda x: F.substr(m, x.at, x.size) != F.substr(made, x.at, x.size)))).otherwise(1)
+
+
 def pseudonymise(docs: DataFrame, key: str, *, text_col: str = "text", restore: bool = False) -> DataFrame:
     """`docs` with `text_col` pseudonymised and columns added: __n_pseudonyms (values that changed).
 
@@ -197,6 +264,6 @@ def pseudonymise(docs: DataFrame, key: str, *, text_col: str = "text", restore:
     df = df.withColumn("__found", F.filter("__parts", lambda x, i: i % 2 == 1))
     df = df.withColumn("__made", F.transform("__found", lambda m: pseudonym(m, key, restore)))
     whole = F.array_join(F.transform("__parts", lambda x, i: F.when(i % 2 == 1, F.get("__made", F.floor(i / 2).cast("int"))).otherwise(x)), "")
-    changed = F.size(F.filter(F.zip_with("__found", "__made", lambda a, b: a != b), lambda x: x))
+    changed = F.aggregate(F.zip_with("__found", "__made", _values_changed), F.lit(0), lambda n, x: n + x)
     return (df.withColumn("__n_pseudonyms", F.when(F.size("__found") > 0, changed).otherwise(F.lit(0)).cast("bigint"))
             .withColumn(text_col, F.when(F.size("__found") > 0, whole).otherwise(text)).drop("__parts", "__found", "__made"))

@@ -271,6 +271,20 @@ def test_names_of_secrets_in_any_case(spark):
     assert [r.text for r in pseudonymise(made.drop("__n_pseudonyms"), "key", restore=True).orderBy("doc_id").collect()] == texts
 
 
+def test_cards_and_ibans_beside_other_numbers(spark):
+    card, spaced = "4799134681044206", "4799 1346 8104 4206"
+    texts = [f"{spaced} 123", f"{card} 12/26", f"7 {card}", f"12345 {spaced}", f"{card}-5 x", f"{spaced} {card}"]
+    texts += ["AT61 1904 3002 3457 3201 2024", "AT611904300234573201 IST", "ES91 2100 0418 4502 0005 1332 2024"]
+    texts += [f"{spaced} {i}" for i in range(100, 160)]
+    made = pseudonymise(_docs(spark, texts), "key").orderBy("doc_id")
+    rows = made.collect()
+    assert [r["__n_pseudonyms"] for r in rows] == [1, 1, 1, 1, 1, 2, *[1] * (len(texts) - 6)]
+    for row, text in zip(rows, texts):
+        assert not {card, spaced, "1904 3002", "1904300234573201", "2100 0418"} & {x for x in (card, spaced, "1904 3002", "1904300234573201", "2100 0418") if x in row.text}, row
+        assert re.sub("[0-9]", "0", row.text) == re.sub("[0-9]", "0", text)
+    assert [r.text for r in pseudonymise(made.drop("__n_pseudonyms"), "key", restore=True).orderBy("doc_id").collect()] == texts
+
+
 def test_levenshtein_walk_against_brute_force():
     lexicon = Lexicon([("idiot", False), ("disgusting", False), ("scum", False), ("loweiung", True)])
 
