@@ -30,11 +30,10 @@ from pyspark.sql import types as T
 from stratum.llm.common import bounded, slices, stored
 
 STEM_SIZES = range(4, 8)   # letters of a stem
-TOXIC_SHARE = 0.01         # an entry stands in this share of the toxic documents at least
-LIFT = 10.0                # and is so many times as common there as in others, of which UNSEEN more are
+CHANCE = 0.05              # bound on the chance that any term is an entry by its counts' luck
+LIFT = 10.0                # an entry is so many times as common in toxic documents as in others, of which UNSEEN more are
 UNSEEN = 3                 # thought to hold it than were seen (where none was, 3 is the 95 % bound)
-RELATIVE_SCORE = 0.05      # and scores this share of the best entry's score at least
-ENTRIES = 500              # lexicon size at most (the feature's limit)
+HELD_TERMS = 200_000       # terms that tasks hold to count them in the other documents; of more, all are counted
 FIT_ROWS = 40_000          # learning rows that the regression is fitted on at most, chosen by hash
 NEAR = 0.7                 # what a misspelled match counts of an exact one
 WINDOW = 60                # characters of context before and after a match
@@ -52,33 +51,51 @@ def edits_allowed(entry: str, stem: bool) -> int:
     return 2 if n >= 9 else 1 if n >= 5 else 0
 
 
+def _shortened(text: str, letters: int) -> set[str]:
+    """The text with at most so many letters left out. Texts within so many edits have one in common."""
+    found = last = {text}
+    for _ in range(letters):
+        last = {t[:i] + t[i + 1:] for t in last for i in range(len(t))}
+        found = found | last
+    return found
+
+
 class Lexicon:
     """Entries (text, is a stem) in a trie; `find` walks it with a word's Levenshtein automaton."""
 
     def __init__(self, entries: list[tuple[str, bool]], ordinary: frozenset[str] = frozenset()) -> None:
         self.entries, self.ordinary = entries, ordinary
         self.root: dict = {}
+        self.shortened: dict[tuple[bool, int], set[str]] = {}
+        self.sizes: dict[tuple[bool, int], tuple[int, int]] = {}
         for i, (text, stem) in enumerate(entries):
             node = self.root
+            allowed = edits_allowed(text, stem)
+            kind = (stem, allowed)
+            self.shortened.setdefault(kind, set()).update(_shortened(text, allowed))
+            low, high = self.sizes.get(kind, (len(text), len(text)))
+            self.sizes[kind] = min(low, len(text)), max(high, len(text))
             for letter in text:
-                node = node.setdefault(letter, {})
-            node.setdefault("", []).append((edits_allowed(text, stem), stem, i))
+                node = node.setdefault(letter, {None: 0})
+                node[None] = max(node[None], allowed)  # edits that entries below allow
+            node.setdefault("", []).append((allowed, stem, i))
         self.memo: dict[str, tuple[int, int] | None] = {}
 
     def find(self, word: str) -> tuple[int, int] | None:
-        """(edits, entry) of the nearest entry that begins with the word's first letter, or None."""
-        first = self.root.get(word[:1])
-        if first is None:
+        """(edits, entry) of the nearest entry, or None."""
+        if not self.reachable(word):
             return None
         last = 1 << len(word)
         full = (last << 1) - 1
         places: dict[str, int] = {}
         for i, letter in enumerate(word):
             places[letter] = places.get(letter, 0) | 1 << i
-        best, walk = None, [(first, 2, 4 & full, 8 & full)]  # per edits: which word places the trie path can have reached
+        best, walk = None, [(self.root, 1, 2 & full, 4 & full)]  # per edits: which word places the trie path can have reached
         while walk:
             node, s0, s1, s2 = walk.pop()
             for letter, below in node.items():
+                if letter is None:
+                    continue
                 if not letter:
                     for allowed, stem, i in below:
                         for edits, s in enumerate((s0, s1, s2)[:allowed + 1]):
@@ -86,14 +103,25 @@ class Lexicon:
                                 best = min(best or (9, 0), (edits, i))
                                 break
                     continue
-                at = places.get(letter, 0)
+                at, most = places.get(letter, 0), below[None]
                 t0 = (s0 & at) << 1
-                t1 = ((s1 & at) << 1 | s0 | s0 << 1 | t0 << 1) & full
-                t2 = ((s2 & at) << 1 | s1 | s1 << 1 | t1 << 1) & full
+                t1 = ((s1 & at) << 1 | s0 | s0 << 1 | t0 << 1) & full if most else 0
+                t2 = ((s2 & at) << 1 | s1 | s1 << 1 | t1 << 1) & full if most > 1 else 0
                 if t0 | t1 | t2:
                     walk.append((below, t0, t1, t2))
         return best
 
+    def reachable(self, word: str) -> bool:
+        """False only if no entry is within its edits."""
+        for (stem, allowed), shortened in self.shortened.items():
+            low, high = self.sizes[stem, allowed]
+            sizes = range(low - allowed, min(len(word), high + allowed) + 1)
+            if not stem:
+                sizes = sizes[-1:] if len(word) <= high + allowed else ()
+            if any(not shortened.isdisjoint(_shortened(word[:n], allowed)) for n in sizes):
+                return True
+        return False
+
     def match(self, word: str) -> tuple[int, int] | None:
         try:
             return self.memo[word]
@@ -158,23 +186,32 @@ def mine(rows: DataFrame) -> Lexicon:
     """The lexicon of learning rows (__text, __label)."""
     total = dict(rows.groupBy("__label").count().collect())
     toxic, clean = total.get(1, 0), total.get(0, 0)
-    # An entry of TOXIC_SHARE leaves at most 1 / TOXIC_SHARE times a document's mean number of terms to look for.
-    common = _counted(rows.filter("__label = 1"), _terms).filter(F.col("n") >= max(2, TOXIC_SHARE * toxic)).collect()
-    wanted = frozenset((r.term, r.stem) for r in common)
-    shared = rows.sparkSession.sparkContext.broadcast(wanted)
-    elsewhere = {(r.term, r.stem): r.n for r in _counted(rows.filter("__label = 0"), lambda text: _terms(text) & shared.value).collect()}
-    scored = []
-    for r in common:
-        lift = ((r.n + 0.5) / (toxic + 1)) / ((elsewhere.get((r.term, r.stem), 0) + UNSEEN) / (clean + UNSEEN))
-        if lift >= LIFT:
-            scored.append((r.n / toxic * math.log(lift), len(r.term) + (not r.stem), r.term, r.stem))
+    seen = stored(_counted(rows.filter("__label = 1"), _terms), "toxic-terms")
+    # Chernoff's bound on n of n + m documents being toxic by luck is exp(-surprise); all terms seen are tested.
+    share, least = toxic / (toxic + clean), math.log(max(1, seen.count()) / CHANCE)
+    common = seen.filter(F.col("n") >= max(2, least / -math.log(share)))
+    others = rows.filter("__label = 0")
+    if common.count() <= HELD_TERMS:
+        held_terms = rows.sparkSession.sparkContext.broadcast(frozenset((r.term, r.stem) for r in common.collect()))
+        elsewhere = _counted(others, lambda text: _terms(text) & held_terms.value)
+    else:
+        elsewhere = _counted(others, _terms)
+    n, m = F.col("n"), F.coalesce("m", F.lit(0))
+    lift = ((n + 0.5) / (toxic + 1)) / ((m + UNSEEN) / (clean + UNSEEN))
+    surprise = n * F.log(n / (n + m) / share) + F.when(m > 0, m * F.log(m / (n + m) / (1 - share))).otherwise(0.0)
+    chosen = (common.join(elsewhere.withColumnRenamed("n", "m"), ["term", "stem"], "left").withColumn("lift", lift)
+              .filter((F.col("lift") >= LIFT) & (surprise >= least)).collect())
+    scored = [(r.n / toxic * math.log(r.lift), len(r.term) + (not r.stem), r.term, r.stem) for r in chosen]
     scored.sort(key=lambda x: (-x[0], -x[1], x[2]))
     entries: list[tuple[str, bool]] = []
-    for score, _, term, stem in scored:
-        if score < RELATIVE_SCORE * scored[0][0] or len(entries) == ENTRIES:
-            break
-        if not any(term.startswith(e) or stem and e.startswith(term) for e, s in entries if s or stem or e == term):
+    taken: dict[bool, set[str]] = {True: set(), False: set()}
+    begun: set[str] = set()  # beginnings of entries
+    for _, _, term, stem in scored:
+        starts = [term[:k] for k in range(1, len(term) + 1)]
+        if not (taken[True].intersection(starts) or (taken[False].intersection(starts) or term in begun if stem else term in taken[False])):
             entries.append((term, stem))
+            taken[stem].add(term)
+            begun.update(starts)
     lexicon = Lexicon(entries)
     if not entries:
         return lexicon

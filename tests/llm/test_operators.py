@@ -22,7 +22,7 @@ from stratum.llm.quality import score_quality
 from stratum.llm.queries import ORACLES, QUERIES, URL_RULES, id_remainder
 from stratum.llm.substring_dedup import align, align_passages, chain, matches, repeated_passages, worth_aligning
 from stratum.llm.token_counts import Counter, count_tokens
-from stratum.llm.toxicity import Lexicon, score_toxicity
+from stratum.llm.toxicity import Lexicon, mine, score_toxicity
 from stratum.llm.url_filter import judge_urls
 from stratum.llm.vector_search import exact_top_k
 
@@ -309,6 +309,46 @@ def test_levenshtein_walk_against_brute_force():
     assert lexicon.find("loweiungen") == (0, 3)
 
 
+def test_misspelled_first_letters():
+    entries = [("idiot", False), ("stupid", False), ("disgusting", False), ("scum", False), ("loweiung", True)]
+    lexicon = Lexicon(entries)
+    assert [lexicon.find(w) for w in ("1diot", "ztupid", "tupid", "isgustin", "xxdisgusting", "xcum", "diot", "koweiungen")] == [(1, 0), (1, 1), (1, 1), (2, 2), (2, 2), None, (1, 0), (1, 4)]
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            row, last = [i], row
+            for j, y in enumerate(b, 1):
+                row.append(min(row[-1] + 1, last[j] + 1, last[j - 1] + (x != y)))
+        return row[-1]
+
+    r = random.Random(3)
+    for word, allowed in (("idiot", 1), ("stupid", 1), ("disgusting", 2), ("scum", 0)):
+        for _ in range(300):
+            near = list(word)
+            for _ in range(r.randint(1, 3)):
+                at = r.randrange(len(near))
+                near[at:at + r.randint(0, 1)] = r.choice(["", "x", "i", "g"])
+            near = "".join(near)
+            found, d = lexicon.find(near), distance(near, word)
+            assert (found is not None and found[0] == d) if d <= allowed else found is None, near
+    walked = Lexicon(entries)
+    walked.reachable = lambda word: True
+    for _ in range(3000):
+        word = "".join(r.choice("idotlweung") for _ in range(r.randint(1, 11)))
+        word = r.choice([word, "loweiung"[:r.randint(0, 8)] + word, "x" * r.randint(0, 2) + "oweiung" + word])
+        assert lexicon.find(word) == walked.find(word), word
+
+
+def test_many_rare_terms_are_entries(spark):
+    r, ordinary = random.Random(5), _words(400, 500)
+    slurs = ["".join(r.choice("klmnopqrstuvwxyz") for _ in range(10)) for _ in range(600)]
+    rows = [(" ".join([*r.choices(ordinary, k=12), slurs[i % 600]]), 1) for i in range(9000)] + [(" ".join(r.choices(ordinary, k=12)), 0) for _ in range(36000)]
+    lexicon = mine(spark.createDataFrame(rows, "__text string, __label int"))
+    assert all(lexicon.find(w) and lexicon.find(w)[0] == 0 for w in slurs)
+    assert not any(lexicon.find(w) for w in ordinary)
+
+
 def _held_out(scored, labels, column, fold):
     rows = scored.join(labels, "doc_id").filter(fold(F.col("doc_id"))).select(column, "predicted").collect()
     return len(rows), sum(r[0] == r[1] for r in rows)
