@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from stratum.llm.bpe import encode_documents
 from stratum.llm.decontaminate import decontaminate
 from stratum.llm.near_dedup import near_duplicates
+from stratum.llm.pieces import encode_pieces
 from stratum.llm.pii import pseudonymise
 from stratum.llm.quality import score_quality
 from stratum.llm.substring_dedup import repeated_passages
@@ -79,9 +80,13 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(_table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_pieces(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), out="digests")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_benchmark_decontamination, op2_toxicity, op3_pii, op4_byte_bpe, op5_token_counts, op6_substring_dedup,
-                            op7_exact_top_k, op8_quality, op9_near_dedup, op10_url_filter)}
+                            op7_exact_top_k, op8_quality, op9_near_dedup, op10_url_filter, op11_sentencepiece)}
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _LOWERED = f"translate(text, '{_UPPER}', '{_UPPER.lower()}')"
