@@ -14,7 +14,9 @@ from stratum.llm.near_dedup import near_duplicates
 from stratum.llm.pieces import encode_pieces
 from stratum.llm.pii import pseudonymise
 from stratum.llm.quality import score_quality
+from stratum.llm.ranked_search import search
 from stratum.llm.substring_dedup import repeated_passages
+from stratum.llm.token_alignment import align_tokenizers
 from stratum.llm.token_counts import count_tokens
 from stratum.llm.toxicity import score_toxicity
 from stratum.llm.url_filter import judge_urls
@@ -84,12 +86,23 @@ def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_pieces(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), out="digests")
 
 
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokenizers(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN,
+                            public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_benchmark_decontamination, op2_toxicity, op3_pii, op4_byte_bpe, op5_token_counts, op6_substring_dedup,
-                            op7_exact_top_k, op8_quality, op9_near_dedup, op10_url_filter, op11_sentencepiece)}
+                            op7_exact_top_k, op8_quality, op9_near_dedup, op10_url_filter, op11_sentencepiece,
+                            op12_tokenizer_alignment, op13_ranked_search)}
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _LOWERED = f"translate(text, '{_UPPER}', '{_UPPER.lower()}')"
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 ORACLES: dict[str, str] = {
     "op1_benchmark_decontamination": rf"""
@@ -123,4 +136,16 @@ ORACLES: dict[str, str] = {
         reach AS (SELECT doc_id AS u, doc_id AS v FROM documents UNION SELECT reach.u, ends.v FROM reach JOIN ends ON reach.v = ends.u)
         SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
         FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT u AS doc_id, min(v) AS component_id FROM reach GROUP BY u) USING (doc_id)""",
+    "op13_ranked_search": rf"""
+        WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWERED}, '{_TERM}') AS t FROM documents WHERE text IS NOT NULL),
+        i AS MATERIALIZED (SELECT row_number() OVER () AS q, item_id, regexp_extract_all({_LOWERED}, '{_TERM}') AS t FROM benchmark WHERE text IS NOT NULL),
+        total AS (SELECT count(*) AS n_docs, sum(len(t)) AS n_terms FROM d WHERE len(t) > 0),
+        tf AS (SELECT r, term, count(*) AS tf FROM d, unnest(t) u(term) GROUP BY r, term),
+        weights AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, total GROUP BY term, n_docs),
+        wanted AS (SELECT DISTINCT q, item_id, term FROM i, unnest(t) u(term)),
+        norms AS (SELECT r, doc_id, 10 + CAST((90 * len(t) * n_docs) // n_terms AS BIGINT) AS m FROM d, total WHERE len(t) > 0),
+        scores AS (SELECT q, item_id, r, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+                   FROM wanted JOIN weights USING (term) JOIN tf USING (term) JOIN norms USING (r) GROUP BY ALL),
+        ranked AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM scores WHERE score > 0)
+        SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10""",
 }
