@@ -274,10 +274,11 @@ def _bounded_rows(index: DataFrame, shared, k: int, kind: str, floors=None) -> D
     return blocks.mapInArrow(run, f"q bigint, id {kind}, digest binary, bound bigint")
 
 
-def _exact(docs: DataFrame, wanted: DataFrame, shared, kind: str) -> DataFrame:
+def _exact(docs: DataFrame, wanted: DataFrame, shared, kind: str, k: int) -> DataFrame:
     """(q, digest, score) of the wanted (q, digest, id), each text scored once per query from its whole text.
 
-    One id per text is looked up; the digest tells the right row of a repeated id."""
+    One id per text, its smallest, is looked up; the digest tells the right row of a repeated id. A task hands on
+    the k first texts of each query by score and that id: any other has k rows before all of its own."""
     one = wanted.groupBy("q", "digest").agg(F.min_by("id", F.struct(F.col("id").isNull(), "id")).alias("id"))
     texts = one.groupBy("digest", "id").agg(F.collect_list("q").alias("qs"))
     texts = stored(texts, "wanted")
@@ -288,16 +289,26 @@ def _exact(docs: DataFrame, wanted: DataFrame, shared, kind: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         queries = shared.value
+        best: dict[int, dict[bytes, tuple]] = defaultdict(dict)  # of a query: digest -> place in the ranking
+
+        def cut(q: int) -> None:
+            best[q] = dict(sorted(best[q].items(), key=lambda x: x[1])[:k])
+
         for whole in batches:
             for batch in slices(whole, "__text"):
-                made = []
-                for text, d, qs in zip(*(batch.column(c).to_pylist() for c in ("__text", "digest", "qs"))):
+                for text, id_, d, qs in zip(*(batch.column(c).to_pylist() for c in ("__text", "__id", "digest", "qs"))):
                     words = terms_of(text)
                     found = Counter(words)
-                    made += [(q, d, queries.score(q, found, len(words))) for q in qs]
-                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in made], t) for i, t in enumerate((pa.int64(), pa.binary(), pa.int64()))], ["q", "digest", "score"])
+                    for q in qs:
+                        best[q][d] = (-queries.score(q, found, len(words)), _order(id_))
+                        if len(best[q]) > 8 * k:
+                            cut(q)
+        for q in best:
+            cut(q)
+        made = [(q, d, -place[0]) for q, own in best.items() for d, place in own.items()]
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in made], t) for i, t in enumerate((pa.int64(), pa.binary(), pa.int64()))], ["q", "digest", "score"])
 
-    return rows.select("__text", "digest", "qs").mapInArrow(run, "q bigint, digest binary, score bigint").distinct()
+    return rows.select("__text", "__id", "digest", "qs").mapInArrow(run, "q bigint, digest binary, score bigint").distinct()
 
 
 def search(docs: DataFrame, items: DataFrame, *, k: int = 10, id_col: str = "doc_id", text_col: str = "text",
@@ -340,13 +351,13 @@ def search(docs: DataFrame, items: DataFrame, *, k: int = 10, id_col: str = "doc
             continue
         shared = spark.sparkContext.broadcast(Queries(*(rows.column(c).to_pylist() for c in ("q", "term", "w")), total_docs, total_terms))
         first = stored(_top(_bounded_rows(index, shared, k, kind), k, ["q"], "bound"), "first", BLOCK_ROWS)
-        scored = stored(first.join(_exact(docs, first, shared, kind), ["q", "digest"]), "scored")
+        scored = stored(first.join(_exact(docs, first, shared, kind, k), ["q", "digest"]), "scored")
         # One row of fixed width for each query of the chunk.
         floors = {r.q: r.score for r in _top(scored, k, ["q"], "score").filter(F.col("rank") == k).select("q", "score").collect()}
         left = _bounded_rows(index, shared, k, kind, spark.sparkContext.broadcast(floors))
         left = stored(_top(left, k, ["q", "digest"], "bound").drop("rank"), "left", BLOCK_ROWS)
         fresh = left.join(scored.select("q", "digest").distinct(), ["q", "digest"], "left_anti")
-        known = scored.select("q", "digest", "score").distinct().unionByName(_exact(docs, fresh, shared, kind))
+        known = scored.select("q", "digest", "score").distinct().unionByName(_exact(docs, fresh, shared, kind, k))
         best = left.join(known, ["q", "digest"]).filter("score > 0")
         found.append(stored(_top(best, k, ["q"], "score").select("q", "rank", F.col("id").alias("doc_id"), "score"), "found"))
     if not found:
