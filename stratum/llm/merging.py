@@ -129,8 +129,8 @@ class PairTable:
 class DistinctTable:
     """Ids of each distinct piece; `make` turns a list of unseen pieces into flat ids and their counts."""
 
-    def __init__(self, make: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]) -> None:
-        self.make = make
+    def __init__(self, make: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], size: int = TABLE_PIECES) -> None:
+        self.make, self.size = make, size
         self.clear()
 
     def clear(self) -> None:
@@ -140,7 +140,7 @@ class DistinctTable:
 
     def encode(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of the pieces in order, and how many each has."""
-        if len(self.place) > TABLE_PIECES or len(self.ids) > TABLE_IDS:
+        if len(self.place) > self.size or len(self.ids) > TABLE_IDS:
             self.clear()
         unseen = list(set(pieces).difference(self.place))
         if unseen:
@@ -173,7 +173,7 @@ def byte_characters() -> list[str]:
 class ByteVocabulary:
     """A byte-level BPE file without normaliser and prefix; special strings in a text are plain text."""
 
-    def __init__(self, data: bytes, pattern: str) -> None:
+    def __init__(self, data: bytes, pattern: str, table_pieces: int = TABLE_PIECES) -> None:
         spec = json.loads(data)
         vocab, symbols = spec["model"]["vocab"], byte_characters()
         if spec["normalizer"] is not None or spec["pre_tokenizer"]["type"] != "ByteLevel" or spec["pre_tokenizer"]["add_prefix_space"]:
@@ -190,7 +190,7 @@ class ByteVocabulary:
         for text, i in vocab.items():
             self.token[i] = bytes(byte[c] for c in text)
         self.n_bytes = np.array([len(t) for t in self.token], dtype=np.int64)
-        self.table = DistinctTable(self._make)
+        self.table = DistinctTable(self._make, table_pieces)
 
     def _make(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         data = [p.encode() for p in pieces]
@@ -200,6 +200,15 @@ class ByteVocabulary:
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         return encode_split(self.table, self.split, texts)
 
+    def encode_joined(self, segments: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for segments that begin with one space before a character and end with one that isn't
+        white space: no pre-token reaches from one to the next, so all are split in one go."""
+        pieces = self.split("".join(segments))
+        ids, counts = self.table.encode(pieces)
+        ends = np.cumsum(np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces)))
+        own = np.searchsorted(ends, np.cumsum(np.fromiter(map(len, segments), dtype=np.int64, count=len(segments))), side="right")
+        return ids, np.diff(np.concatenate([[0], np.cumsum(counts)])[own], prepend=0)
+
 
 # --- piece vocabularies (SentencePiece's model files) ----------------------------------------------
 
@@ -303,6 +312,10 @@ class PieceVocabulary:
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         return encode_split(self.table, self.chunks, texts)
 
+    def encode_whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for short distinct texts: each is merged as it stands, as no pair crosses a marker."""
+        return self._make([MARK + t.replace(" ", MARK) if t else t for t in texts])
+
     def decode(self, ids: list[int]) -> str:
         """The text of ids: pieces with spaces for markers, without the prefix; runs of byte pieces as
         UTF-8, where each byte that is none becomes U+FFFD; control pieces give nothing."""

@@ -37,9 +37,10 @@ from stratum.llm.common import slices, stored
 from stratum.llm.merging import ByteVocabulary, PieceVocabulary, ragged
 
 BLOCK_DOCS = 1 << 16     # places in a block
-BLOCK_BYTES = 8 << 20    # text in a block (a longer text is a block of its own)
-SEGMENTS = 200_000       # distinct segments a worker remembers before it starts afresh
-LINKS = 4_000_000        # and their links
+BLOCK_BYTES = 4 << 20    # text in a block (a longer text is a block of its own)
+SEGMENTS = 120_000       # distinct segments a worker remembers before it starts afresh
+LINKS = 2_000_000        # and their links
+AT_ONCE = 30_000         # segments that are tokenized together
 _ID_BITS = 20            # a pair is A's id << 20 | B's id
 
 # A segment ends before a single space between two characters that aren't white space.
@@ -67,7 +68,7 @@ class Aligner:
     """Segments of texts and what both tokenizers make of them."""
 
     def __init__(self, byte_vocabulary: bytes, pattern: str, piece_model: bytes) -> None:
-        self.a, self.b = ByteVocabulary(byte_vocabulary, pattern), PieceVocabulary(piece_model)
+        self.a, self.b = ByteVocabulary(byte_vocabulary, pattern, SEGMENTS), PieceVocabulary(piece_model)
         most = max(len(self.a.token), self.b.n_pieces)
         if most > 1 << _ID_BITS:
             raise ValueError("vocabulary too large")
@@ -86,13 +87,16 @@ class Aligner:
         if len(self.place) > SEGMENTS or len(self.pairs) > LINKS:
             self.clear()
         unseen = list(set(segments).difference(self.place))
-        if unseen:
-            self._add(unseen)
+        for first in range(0, len(unseen), AT_ONCE):
+            self._add(unseen[first:first + AT_ONCE])
         return np.fromiter(map(self.place.__getitem__, segments), dtype=np.int64, count=len(segments))
 
     def _add(self, segments: list[str]) -> None:
-        a, n_a = self.a.encode(segments)
-        b, n_b = self.b.encode([s[1:] for s in segments])
+        plain = [s for s in segments if len(s) > 1 and not s[1].isspace() and not s[-1].isspace()]
+        segments = plain + list(set(segments).difference(plain))  # the rest is at the edges of a text
+        (a, n_a), (rest, n_rest) = self.a.encode_joined(plain), self.a.encode(segments[len(plain):])
+        a, n_a = np.concatenate([a, rest]), np.concatenate([n_a, n_rest])
+        b, n_b = self.b.encode_whole([s[1:] for s in segments])
         joined, n = b"".join(map(self.b.surface.__getitem__, b.tolist())), len(segments)
         own = [s.encode() for s in segments]
         size = np.fromiter(map(len, own), dtype=np.int64, count=n)
