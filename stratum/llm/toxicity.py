@@ -2,8 +2,8 @@
 
 The lexicon is mined from labelled documents: words and stems (word beginnings)
 that are common in toxic documents and rare in others, by document counts over
-all learning rows. Its trie is walked together with each word's Levenshtein
-automaton, kept as one bit set of word places per number of edits, so one walk
+all learning rows. Its trie and the Levenshtein automata over it run as one
+automaton, whose states are made as words lead to them; reading a word's letters
 finds every entry within reach. Near words that clean documents use as often
 are ordinary words, not misspellings, and are set aside.
 
@@ -38,6 +38,7 @@ FIT_ROWS = 40_000          # learning rows that the regression is fitted on at m
 NEAR = 0.7                 # what a misspelled match counts of an exact one
 WINDOW = 60                # characters of context before and after a match
 MEMO_ENTRIES = 300_000
+STATES = 100_000           # states of the automaton that a worker keeps before it starts afresh
 
 # Marks and words that introduce quoted speech.
 QUOTES = "\"“”„«»‹›"
@@ -51,76 +52,95 @@ def edits_allowed(entry: str, stem: bool) -> int:
     return 2 if n >= 9 else 1 if n >= 5 else 0
 
 
-def _shortened(text: str, letters: int) -> set[str]:
-    """The text with at most so many letters left out. Texts within so many edits have one in common."""
-    found = last = {text}
-    for _ in range(letters):
-        last = {t[:i] + t[i + 1:] for t in last for i in range(len(t))}
-        found = found | last
-    return found
-
-
 class Lexicon:
-    """Entries (text, is a stem) in a trie; `find` walks it with a word's Levenshtein automaton."""
+    """Entries (text, is a stem) in a trie, and Levenshtein automata of up to two edits over it.
+
+    Trie and automata are run as one automaton: a state says with how few edits
+    each trie node can have been reached by the letters read, and which stem was
+    the nearest so far. States are made when a word first leads to them and
+    kept, so a word costs one look-up a letter; most words die after a few.
+    """
 
     def __init__(self, entries: list[tuple[str, bool]], ordinary: frozenset[str] = frozenset()) -> None:
         self.entries, self.ordinary = entries, ordinary
-        self.root: dict = {}
-        self.shortened: dict[tuple[bool, int], set[str]] = {}
-        self.sizes: dict[tuple[bool, int], tuple[int, int]] = {}
+        self.below: list[dict[str, int]] = [{}]          # of each node
+        self.most = [0]                                  # edits that entries at the node or below allow
+        self.ends: list[list[tuple[int, bool, int]]] = [[]]
         for i, (text, stem) in enumerate(entries):
-            node = self.root
-            allowed = edits_allowed(text, stem)
-            kind = (stem, allowed)
-            self.shortened.setdefault(kind, set()).update(_shortened(text, allowed))
-            low, high = self.sizes.get(kind, (len(text), len(text)))
-            self.sizes[kind] = min(low, len(text)), max(high, len(text))
+            node, allowed = 0, edits_allowed(text, stem)
+            self.most[0] = max(self.most[0], allowed)
             for letter in text:
-                node = node.setdefault(letter, {None: 0})
-                node[None] = max(node[None], allowed)  # edits that entries below allow
-            node.setdefault("", []).append((allowed, stem, i))
+                if letter not in self.below[node]:
+                    self.below[node][letter] = len(self.below)
+                    self.below.append({})
+                    self.most.append(0)
+                    self.ends.append([])
+                node = self.below[node][letter]
+                self.most[node] = max(self.most[node], allowed)
+            self.ends[node].append((allowed, stem, i))
         self.memo: dict[str, tuple[int, int] | None] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        """Start the automaton afresh, with the state before any letter."""
+        self.known: dict[tuple, int] = {}
+        self.states: list[dict[int, int]] = []           # node -> edits
+        self.steps: list[dict[str, int]] = []            # letter -> state
+        self.so_far: list[tuple[int, int] | None] = []   # nearest stem read so far
+        self.at_end: list[tuple[int, int] | None] = []   # nearest entry if the word ends here
+        self._state({0: 0}, None)
+
+    def _state(self, reached: dict[int, int], best: tuple[int, int] | None) -> int:
+        """The state of these nodes, and of those below them that letters left out of the word lead to."""
+        open_ = list(reached)
+        while open_:
+            node = open_.pop()
+            edits = reached[node] + 1
+            for child in self.below[node].values():
+                if edits <= self.most[child] and edits < reached.get(child, 9):
+                    reached[child] = edits
+                    open_.append(child)
+        end = None
+        for node, edits in reached.items():
+            for allowed, stem, i in self.ends[node]:
+                if edits <= allowed:
+                    if stem:
+                        best = min(best or (9, 0), (edits, i))
+                    else:
+                        end = min(end or (9, 0), (edits, i))
+        key = (frozenset(reached.items()), best)
+        if key not in self.known:
+            self.known[key] = len(self.states)
+            self.states.append(reached)
+            self.steps.append({})
+            self.so_far.append(best)
+            self.at_end.append(min(x for x in (best, end) if x) if best or end else None)
+        return self.known[key]
+
+    def _step(self, state: int, letter: str) -> int:
+        reached: dict[int, int] = {}
+        for node, edits in self.states[state].items():
+            if edits < self.most[node]:  # a letter too many
+                reached[node] = min(reached.get(node, 9), edits + 1)
+            for other, child in self.below[node].items():
+                now = edits + (other != letter)
+                if now <= self.most[child] and now < reached.get(child, 9):
+                    reached[child] = now
+        return self._state(reached, self.so_far[state])
 
     def find(self, word: str) -> tuple[int, int] | None:
         """(edits, entry) of the nearest entry, or None."""
-        if not self.reachable(word):
-            return None
-        last = 1 << len(word)
-        full = (last << 1) - 1
-        places: dict[str, int] = {}
-        for i, letter in enumerate(word):
-            places[letter] = places.get(letter, 0) | 1 << i
-        best, walk = None, [(self.root, 1, 2 & full, 4 & full)]  # per edits: which word places the trie path can have reached
-        while walk:
-            node, s0, s1, s2 = walk.pop()
-            for letter, below in node.items():
-                if letter is None:
-                    continue
-                if not letter:
-                    for allowed, stem, i in below:
-                        for edits, s in enumerate((s0, s1, s2)[:allowed + 1]):
-                            if s if stem else s & last:
-                                best = min(best or (9, 0), (edits, i))
-                                break
-                    continue
-                at, most = places.get(letter, 0), below[None]
-                t0 = (s0 & at) << 1
-                t1 = ((s1 & at) << 1 | s0 | s0 << 1 | t0 << 1) & full if most else 0
-                t2 = ((s2 & at) << 1 | s1 | s1 << 1 | t1 << 1) & full if most > 1 else 0
-                if t0 | t1 | t2:
-                    walk.append((below, t0, t1, t2))
-        return best
-
-    def reachable(self, word: str) -> bool:
-        """False only if no entry is within its edits."""
-        for (stem, allowed), shortened in self.shortened.items():
-            low, high = self.sizes[stem, allowed]
-            sizes = range(low - allowed, min(len(word), high + allowed) + 1)
-            if not stem:
-                sizes = sizes[-1:] if len(word) <= high + allowed else ()
-            if any(not shortened.isdisjoint(_shortened(word[:n], allowed)) for n in sizes):
-                return True
-        return False
+        if len(self.states) > STATES:
+            self._forget()
+        state, steps = 0, self.steps
+        for letter in word:
+            after = steps[state].get(letter)
+            if after is None:
+                after = steps[state][letter] = self._step(state, letter)
+            state = after
+            if not self.states[state]:  # no entry can be reached any more
+                return self.so_far[state]
+        return self.at_end[state]
 
     def match(self, word: str) -> tuple[int, int] | None:
         try:
@@ -237,7 +257,8 @@ def _with_evidence(rows: DataFrame, lexicon: Lexicon, text_col: str) -> DataFram
     place = rows.schema["__row"].dataType.names.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Lexicon(*shared.value)
+        key = (tuple(shared.value[0]), shared.value[1])
+        own = _LEXICONS.get(key) or _LEXICONS.setdefault(key, Lexicon(*shared.value))
         for whole in batches:
             whole = whole.append_column("__text", whole.column("__row").field(place))
             for batch in slices(whole, "__text"):
