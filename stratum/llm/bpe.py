@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from stratum.llm.common import slices
 
 MEMO_ENTRIES = 600_000   # encoded pre-tokens that a worker remembers at least, and twice as many at most
+PAIR_ENTRIES = 1_000_000  # pairs of ids whose rank a worker remembers
 MEMO_CHARS = 64          # longer pre-tokens are encoded each time
 VOCABULARY_BYTES = 64 << 20  # largest vocabulary file that is sent to every executor
 
@@ -65,19 +66,30 @@ class Encoder:
         self.bits = [1 << i for i in range(1 << self.shift)]
         self.memo = Memo(lambda piece: tuple(self.piece(piece.encode())), MEMO_ENTRIES)
         self.token = {rank: token for token, rank in ranks.items()}
+        self.single = [ranks.get(bytes([b])) for b in range(256)]
+        self.byte_pairs = [ranks.get(bytes((a, b)), -1) for a in range(256) for b in range(256)]
+        self.pairs: dict[int, int] = {}
+
+    def _pair(self, key: int) -> int:
+        """The rank of a pair of ids (left << 32 | right), -1 if its bytes are no token; remembered."""
+        if len(self.pairs) >= PAIR_ENTRIES:
+            self.pairs.clear()
+        found = self.pairs[key] = self.ranks.get(self.token[key >> 32] + self.token[key & 0xFFFFFFFF], -1)
+        return found
 
     def piece(self, piece: bytes) -> list[int]:
         """Ids of one pre-token: always merge the lowest-ranked pair, leftmost first."""
         ranks = self.ranks
         if piece in ranks:
             return [ranks[piece]]
-        rank_of, words, bits, shift = ranks.get, self.words, self.bits, self.shift
+        known, pair, words, bits, shift = self.pairs.get, self._pair, self.words, self.bits, self.shift
         mask = (1 << shift) - 1
         n, top, buckets = len(piece), 0, {}
-        end = list(range(1, n + 1))       # part i is piece[i:end[i]]; the next part begins at end[i]
+        ids = list(map(self.single.__getitem__, piece))  # of the part that begins at each byte
+        after = list(range(1, n + 1))     # where the next part begins
         before = list(range(-1, n))       # where the previous part begins
-        waiting = [rank_of(piece[i:i + 2], -1) for i in range(n - 1)]  # rank of the pair that begins at part i, -1: no token
-        waiting += (-1, -1)
+        byte_pairs = self.byte_pairs      # rank of the pair that begins at part i, -1: no token
+        waiting = [byte_pairs[a << 8 | b] for a, b in zip(piece, piece[1:])]
         for i, rank in enumerate(waiting):
             if rank >= 0:
                 if rank in buckets:
@@ -86,6 +98,7 @@ class Encoder:
                     buckets[rank] = [i]
                     words[rank >> shift] |= bits[rank & mask]
                     top |= bits[rank >> shift]
+        waiting += (-1, -1)
         while top:
             w = (top & -top).bit_length() - 1
             word = words[w]
@@ -99,13 +112,18 @@ class Encoder:
             for k, i in enumerate(places):
                 if waiting[i] != rank:
                     continue  # stale
-                middle = end[i]
-                stop = end[i] = end[middle]
+                middle = after[i]
+                stop = after[i] = after[middle]
+                ids[i] = rank
                 waiting[middle] = waiting[i] = -1
                 least, left = rank, before[i]
                 if stop < n:
                     before[stop] = i
-                    waiting[i] = new = rank_of(piece[i:end[stop]], -1)
+                    key = rank << 32 | ids[stop]
+                    new = known(key)
+                    if new is None:
+                        new = pair(key)
+                    waiting[i] = new
                     if new >= 0:
                         if new < least:
                             least = new
@@ -116,7 +134,11 @@ class Encoder:
                             words[new >> shift] |= bits[new & mask]
                             top |= bits[new >> shift]
                 if left >= 0:
-                    waiting[left] = new = rank_of(piece[left:stop], -1)
+                    key = ids[left] << 32 | rank
+                    new = known(key)
+                    if new is None:
+                        new = pair(key)
+                    waiting[left] = new
                     if new >= 0:
                         if new < least:
                             least = new
@@ -131,11 +153,11 @@ class Encoder:
                     words[rank >> shift] |= bits[rank & mask]
                     top |= bits[rank >> shift]
                     break
-        ids, i = [], 0
+        left, i = [], 0
         while i < n:
-            ids.append(ranks[piece[i:end[i]]])
-            i = end[i]
-        return ids
+            left.append(ids[i])
+            i = after[i]
+        return left
 
     def encode(self, text: str) -> np.ndarray:
         remembered = self.memo.__getitem__
