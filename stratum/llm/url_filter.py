@@ -3,7 +3,8 @@
 The trees see lexical features of a URL only: lengths, depth, digit ratio,
 character entropy, parameter counts, and statistics of the host's suffixes
 (how often URLs below a suffix are blocked, and how common it is). They are
-trained from labelled URLs; the suffix statistics count all labelled URLs.
+trained from labelled URLs; the suffix statistics count all labelled URLs, for a
+training URL all but those of its own fold.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from functools import reduce
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratum.llm.common import stored
@@ -22,6 +23,7 @@ from stratum.llm.common import stored
 TRAINING_ROWS = 20_000  # labelled URLs that the trees are fitted on at most, chosen by hash
 TREES, DEPTH = 15, 4
 PRIOR = 20.0            # URLs that a suffix's block rate is smoothed by
+FOLDS = 5               # parts of the labelled URLs, by hash; training rows see the suffix statistics of the other parts
 
 Rule = tuple[str, str, str]  # verdict, host, path
 
@@ -79,12 +81,22 @@ FEATURES = ["f_length", "f_host_length", "f_path_length", "f_labels", "f_depth",
 _SUFFIXES = {"tld": r"[^.]*$", "site": r"[^.]*\.?[^.]*$"}
 
 
-def _with_suffix_statistics(df: DataFrame, labelled: DataFrame, rate: float) -> DataFrame:
+def _with_suffix_statistics(df: DataFrame, labelled: DataFrame, rate: float, own: bool = False) -> DataFrame:
+    """Smoothed block rates and counts of each row's suffixes over the labelled rows. `own`: the rows are labelled
+    themselves, and see the statistics of the other folds only, so that no label enters its own URL's features."""
+    fold = F.pmod(F.xxhash64("__url", F.lit(3)), F.lit(FOLDS))
     for name, pattern in _SUFFIXES.items():
-        table = (labelled.groupBy(F.regexp_extract("__host", pattern, 0).alias("__suffix"))
-                 .agg(((F.sum("__label") + rate * PRIOR) / (F.count(F.lit(1)) + PRIOR)).alias(f"f_{name}_rate"), F.log1p(F.count(F.lit(1))).alias(f"f_{name}_count")))
-        df = (df.withColumn("__suffix", F.regexp_extract("__host", pattern, 0)).join(table, "__suffix", "left").drop("__suffix")
-              .fillna({f"f_{name}_rate": rate, f"f_{name}_count": 0.0}))
+        suffix = F.regexp_extract("__host", pattern, 0).alias("__suffix")
+        sums = [F.sum("__label").alias("__blocked"), F.count(F.lit(1)).alias("__rows")]
+        keys = ["__suffix", "__fold"] if own else ["__suffix"]
+        table = labelled.groupBy(suffix, *([fold.alias("__fold")] if own else [])).agg(*sums)
+        if own:  # all folds' sums less the fold's own
+            every = Window.partitionBy("__suffix")
+            table = table.withColumns({c: F.sum(c).over(every) - F.col(c) for c in ("__blocked", "__rows")})
+        blocked, rows = F.coalesce("__blocked", F.lit(0.0)), F.coalesce("__rows", F.lit(0))
+        df = (df.withColumns({"__suffix": suffix, "__fold": fold}).join(table, keys, "left")
+              .withColumns({f"f_{name}_rate": (blocked + rate * PRIOR) / (rows + PRIOR), f"f_{name}_count": F.log1p(rows.cast("double"))})
+              .drop("__suffix", "__fold", "__blocked", "__rows"))
     return df
 
 
@@ -112,7 +124,7 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule], *, id_col: str = "page_i
         # The smallest hashes: a sample of fixed size, the same on every run.
         sample = stored(known.withColumn("__o", F.xxhash64("__url", F.lit(10))).orderBy("__o", "__url").limit(TRAINING_ROWS).drop("__o"), "urls")
         assembler = VectorAssembler(inputCols=FEATURES, outputCol="__features")
-        train = assembler.transform(lexical(_with_suffix_statistics(sample, known, rate))).select("__features", "__label").coalesce(6)
+        train = assembler.transform(lexical(_with_suffix_statistics(sample, known, rate, own=True))).select("__features", "__label").coalesce(6)
         model = GBTClassifier(featuresCol="__features", labelCol="__label", maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=10, maxMemoryInMB=64).fit(train)
         scored = model.transform(assembler.transform(lexical(_with_suffix_statistics(rows, known, rate))))
         scored = scored.withColumn("__score", vector_to_array("probability")[1])
