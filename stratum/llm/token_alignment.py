@@ -38,13 +38,22 @@ from stratum.llm.merging import ByteVocabulary, PieceVocabulary, ragged
 
 BLOCK_DOCS = 1 << 16     # places in a block
 BLOCK_BYTES = 4 << 20    # text in a block (a longer text is a block of its own)
-SEGMENTS = 120_000       # distinct segments a worker remembers before it starts afresh
-LINKS = 2_000_000        # and their links
+SEGMENTS = 500_000       # distinct segments a worker remembers before it starts afresh
+LINKS = 6_000_000        # and their links
+PIECES = 120_000         # distinct pre-tokens that it remembers besides
 AT_ONCE = 30_000         # segments that are tokenized together
 _ID_BITS = 20            # a pair is A's id << 20 | B's id
 
 # A segment ends before a single space between two characters that aren't white space.
-_segments = re.compile(r"\s*\S+(?:(?:\s{2,}|[^\S ])\S+)*(?:\s+\Z)?|\s+").findall
+_parts = re.compile(r"\s*\S+(?:(?:\s{2,}|[^\S ])\S+)*(?:\s+\Z)?|\s+").findall
+_uneven = re.compile(r"(?:^|\s) | (?=\s|\Z)").search  # a space that ends no segment
+
+
+def _segments(text: str) -> list[str]:
+    """Segments of space + text, each without the space it begins with."""
+    if not text:
+        return []
+    return [s[1:] for s in _parts(" " + text)] if _uneven(text) else text.split(" ")
 
 
 def _runs(sorted_keys: np.ndarray) -> np.ndarray:
@@ -68,7 +77,7 @@ class Aligner:
     """Segments of texts and what both tokenizers make of them."""
 
     def __init__(self, byte_vocabulary: bytes, pattern: str, piece_model: bytes) -> None:
-        self.a, self.b = ByteVocabulary(byte_vocabulary, pattern, SEGMENTS), PieceVocabulary(piece_model)
+        self.a, self.b = ByteVocabulary(byte_vocabulary, pattern, PIECES), PieceVocabulary(piece_model)
         most = max(len(self.a.token), self.b.n_pieces)
         if most > 1 << _ID_BITS:
             raise ValueError("vocabulary too large")
@@ -78,7 +87,7 @@ class Aligner:
     def clear(self) -> None:
         self.place: dict[str, int] = {}
         self.text: list[str] = []  # the groups written out, each with its `;`
-        self.pairs = self.times = np.zeros(0, dtype=np.int64)  # links, one segment after another
+        self.pairs, self.times = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int32)  # links, one segment after another
         # Per segment: tokens of A and of B, groups, links; -1 tokens if the bytes differ. Where its distinct links begin, how many.
         self.sums = np.zeros((0, 4), dtype=np.int64)
         self.starts = self.counts = np.zeros(0, dtype=np.int64)
@@ -92,13 +101,14 @@ class Aligner:
         return np.fromiter(map(self.place.__getitem__, segments), dtype=np.int64, count=len(segments))
 
     def _add(self, segments: list[str]) -> None:
-        plain = [s for s in segments if len(s) > 1 and not s[1].isspace() and not s[-1].isspace()]
+        plain = [s for s in segments if s and not s[0].isspace() and not s[-1].isspace()]
         segments = plain + list(set(segments).difference(plain))  # the rest is at the edges of a text
-        (a, n_a), (rest, n_rest) = self.a.encode_joined(plain), self.a.encode(segments[len(plain):])
+        spaced = [" " + s for s in segments]
+        (a, n_a), (rest, n_rest) = self.a.encode_joined(spaced[:len(plain)]), self.a.encode(spaced[len(plain):])
         a, n_a = np.concatenate([a, rest]), np.concatenate([n_a, n_rest])
-        b, n_b = self.b.encode_whole([s[1:] for s in segments])
+        b, n_b = self.b.encode_whole(segments)
         joined, n = b"".join(map(self.b.surface.__getitem__, b.tolist())), len(segments)
-        own = [s.encode() for s in segments]
+        own = [s.encode() for s in spaced]
         size = np.fromiter(map(len, own), dtype=np.int64, count=n)
         of_a, of_b = np.repeat(np.arange(n), n_a), np.repeat(np.arange(n), n_b)
         size_b = np.bincount(of_b, weights=self.b.n_bytes[b], minlength=n).astype(np.int64)
@@ -135,12 +145,12 @@ class Aligner:
         self.place.update(zip(segments, range(len(self.place), len(self.place) + n)))
         self.starts = np.concatenate([self.starts, len(self.pairs) + np.cumsum(counts) - counts])
         self.counts, self.sums = np.concatenate([self.counts, counts]), np.concatenate([self.sums, sums])
-        self.pairs, self.times = np.concatenate([self.pairs, pairs]), np.concatenate([self.times, times])
+        self.pairs, self.times = np.concatenate([self.pairs, pairs]), np.concatenate([self.times, times.astype(np.int32)])
 
     def block(self, texts: list[str]) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray, np.ndarray]:
         """Per text the tokens of A and B, groups and links, and the groups' digest; then the distinct
         (pair, text, links), in order."""
-        split = [_segments(" " + t) if t else [] for t in texts]
+        split = [_segments(t) for t in texts]
         n_segments = np.array([len(s) for s in split], dtype=np.int64)
         at = self.places([s for found in split for s in found])
         slot = np.repeat(np.arange(len(texts)), n_segments)
@@ -158,7 +168,7 @@ class Aligner:
         at, slot = key // BLOCK_DOCS, key % BLOCK_DOCS
         width = self.counts[at]
         link = ragged(self.starts[at], width)
-        key, links = _summed(self.pairs[link] * BLOCK_DOCS + np.repeat(slot, width), self.times[link] * np.repeat(times, width))
+        key, links = _summed(self.pairs[link] * BLOCK_DOCS + np.repeat(slot, width), self.times[link].astype(np.int64) * np.repeat(times, width))
         return sums, digests, key // BLOCK_DOCS, key % BLOCK_DOCS, links
 
 
