@@ -5,7 +5,7 @@ Semantics kept from the reference's staging step:
   * "4", 4, " 5 "                                     -> 4, 4, 5
   * 3.6 / "4.6" / -4.5 / 1e2                          -> 4 / 5 / -5 / 100 (round half away from zero)
   * "n/a", true, {"x": 1}, "1,000"                    -> NULL
-  * 99999999999                                       -> 99999999999 (kept wide: 64-bit)
+  * 99999999999                                       -> 99999999999 (64-bit, or up to 38 digits if asked for)
 
 The text is parsed ONCE per row for all requested fields: `from_json` into a
 struct whose fields are all strings (a number keeps its literal text, an
@@ -23,9 +23,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def try_to_number(text: Column) -> Column:
-    """Text -> bigint (rounded half away from zero); NULL when the text is not a number."""
-    return text.try_cast("decimal(38,0)").try_cast("bigint")
+WIDE = "decimal(38,0)"
+
+
+def try_to_number(text: Column, number: str = "bigint") -> Column:
+    """Text -> whole number (rounded half away from zero); NULL when the text is not a number.
+
+    `number`: WIDE keeps up to 38 digits; as bigint, wider numbers are NULL."""
+    wide = text.try_cast(WIDE)
+    return wide if number == WIDE else wide.try_cast(number)
 
 
 # JSON as the standard has it: single-quoted strings are malformed.
@@ -38,6 +44,12 @@ def _parsed(json_text: Column, keys: Sequence[str]) -> Column:
     return F.from_json(F.concat(F.lit("["), json_text, F.lit("]")), T.ArrayType(_string_struct(keys)), STRICT)
 
 
+def parsed_object(json_text: Column, keys: Sequence[str]) -> Column:
+    """The text's object as a struct of strings; NULL if the text is malformed or no object."""
+    listed = _parsed(json_text, keys)
+    return F.when(F.size(listed) == 1, F.get(listed, F.lit(0)))
+
+
 def _field(parsed: Column, key: str) -> Column:
     return F.when(F.size(parsed) == 1, F.get(parsed, F.lit(0)).getField(key))
 
@@ -54,7 +66,7 @@ def json_number_fields(json_text: Column, fields: Mapping[str, str]) -> list[Col
 
 
 def with_json_number_fields(df: DataFrame, json_col: str, fields: Mapping[str, str], *,
-                            filtered: bool = True) -> DataFrame:
+                            filtered: bool = True, number: str = "bigint") -> DataFrame:
     """Append the numeric fields of the JSON text column `json_col` to `df`.
 
     `filtered`: for consumers that filter on the fields (a range check, a reject
@@ -63,7 +75,8 @@ def with_json_number_fields(df: DataFrame, json_col: str, fields: Mapping[str, s
     field per comparison would be. Without it the struct is a projection of its
     own: still one parse per row, as the optimizer doesn't inline it into the
     fields, and a consumer that reads no field neither parses nor reads the
-    text. A NULL or malformed text yields its row, with NULL fields.
+    text. A NULL or malformed text yields its row, with NULL fields. `number`:
+    the fields' type (see `try_to_number`).
     """
     if not fields:
         return df
@@ -73,15 +86,16 @@ def with_json_number_fields(df: DataFrame, json_col: str, fields: Mapping[str, s
         parsed = F.explode(F.array(parsed))
     return df.select(*[F.col(c) for c in df.columns], parsed.alias(tmp)).select(
         *[F.col(c) for c in df.columns],
-        *[try_to_number(_field(F.col(tmp), key)).alias(name) for name, key in fields.items()],
+        *[try_to_number(_field(F.col(tmp), key), number).alias(name) for name, key in fields.items()],
     )
 
 
 def flatten_object(df: DataFrame, json_col: str, keep: Sequence[str] = ()) -> DataFrame:
     """Flatten a JSON object laterally: one row per key with the value's text
     (strings unquoted, nested values as compact JSON, JSON null as NULL).
-    Rows whose text is not a JSON object yield no rows."""
-    as_map = F.from_json(F.col(json_col), T.MapType(T.StringType(), T.StringType()))
+    A key given twice yields two rows. Rows whose text is not a JSON object yield no rows."""
+    listed = F.from_json(F.concat(F.lit("["), F.col(json_col), F.lit("]")), T.ArrayType(T.MapType(T.StringType(), T.StringType())), STRICT)
+    as_map = F.when(F.size(listed) == 1, F.get(listed, F.lit(0)))  # text after the object makes the list malformed or longer
     return df.select(*keep, F.explode(as_map).alias("key", "value"))
 
 
@@ -89,6 +103,7 @@ def flatten_array(df: DataFrame, json_col: str, keep: Sequence[str] = ()) -> Dat
     """Flatten a JSON array laterally: one row per element with its place (from 0) and text
     (strings unquoted, nested values as compact JSON, JSON null as NULL).
     Rows whose text is not a JSON array yield no rows."""
-    as_list = F.from_json(F.col(json_col), T.ArrayType(T.StringType()), STRICT)
+    listed = F.from_json(F.concat(F.lit("["), F.col(json_col), F.lit("]")), T.ArrayType(T.ArrayType(T.StringType())), STRICT)
+    as_list = F.when(F.size(listed) == 1, F.get(listed, F.lit(0)))
     is_list = F.ltrim(F.col(json_col)).startswith("[")  # a lone value would be read as a list of one
     return df.select(*keep, F.posexplode(F.when(is_list, as_list)).alias("pos", "value"))

@@ -102,6 +102,36 @@ def appended_rows(new_rows: DataFrame, *, action_col: str = ACTION, update_col:
     return new_rows.withColumns({action_col: F.lit("INSERT"), update_col: F.lit(False)})
 
 
+def net_changes(feed: DataFrame, key: str | list[str], order: str, *,
+                action_col: str = ACTION, update_col: str = IS_UPDATE) -> DataFrame:
+    """Several changes of a key, as a source's log lists them by `order`, as the one that is left of them.
+
+    What a consumer sees that reads a table's stream after several statements:
+    the last change's row; a DELETE if that came last (it is ignored where the key is
+    absent); `_is_update` if the key was updated, or deleted and inserted again. The
+    old half of an update pair says nothing that its new half doesn't and is left
+    out. INSERTs only: the first row counts, as later ones meet an existing key.
+    Rows with a NULL key match nothing: their INSERTs all stay, the rest goes.
+
+    One aggregation by key with bounded state (first, last, count), combined
+    within each task before the shuffle; `order` is unique within a key.
+    """
+    keys = _keys(key)
+    values = [c for c in feed.columns if c not in (action_col, update_col, order)]
+    updates = F.coalesce(F.col(update_col), F.lit(False))
+    src = feed.filter(~((F.col(action_col) == "DELETE") & updates))
+    row, at = F.struct(*values, action_col), F.col(order)
+    kept = F.when(F.col("__n") == 0, F.col("__first")).otherwise(F.col("__last"))
+    net = (src.filter(~any_null(keys)).groupBy(*[F.col(k).alias(f"__{i}") for i, k in enumerate(keys)])
+           .agg(F.min_by(row, at).alias("__first"), F.max_by(row, at).alias("__last"),
+                F.count_if((F.col(action_col) == "DELETE") | updates).alias("__n"))
+           .select(kept.alias("__row"), "__n").select("__row.*", "__n"))
+    is_update = (F.col(action_col) == "INSERT") & (F.col("__n") > 0)
+    nulls = src.filter(any_null(keys) & (F.col(action_col) == "INSERT"))
+    return (net.select(*values, action_col, is_update.alias(update_col))
+            .unionByName(nulls.select(*values, action_col, F.lit(False).alias(update_col))))
+
+
 def signed_weight(feed: DataFrame, action_col: str = ACTION) -> Column:
     """+1 for an arriving row, -1 for a leaving one (for self-maintained aggregates)."""
     return F.when(F.col(action_col) == "DELETE", F.lit(-1)).otherwise(F.lit(1))

@@ -16,7 +16,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratum.functions.scalars import avg_exact, nullifzero, ts_literal
+from stratum.functions.json_fields import WIDE
+from stratum.functions.scalars import avg_exact, avg_wide, nullifzero, run_id_literal, ts_literal
 from stratum.operators.staging import STAGED_TABLE, SURVEY_FIELDS
 
 SCORE_AVERAGES = {f"avg_{name}": name for name in SURVEY_FIELDS}
@@ -31,7 +32,7 @@ def mart_stamps(as_of, run_id: str | None, source_object: str = STAGED_TABLE,
                 process_type: str | None = None) -> dict[str, Column]:
     stamps = {"materialized_at": ts_literal(as_of), "source_object": F.lit(source_object)}
     if run_id is not None:
-        stamps["etl_run_id"] = F.lit(run_id)
+        stamps["etl_run_id"] = run_id_literal(run_id)
     if process_type is not None:
         stamps["etl_process_type"] = F.lit(process_type)
     return stamps
@@ -49,10 +50,10 @@ def gender_counts(gender: Column) -> list[Column]:
 
 def demographics(staged: DataFrame, *, group: str = "department", age: str = "age",
                  service: str = "length_of_service", gender: str = "gender",
-                 as_of="1970-01-01 00:00:00", run_id: str | None = None,
-                 source_object: str = STAGED_TABLE, process_type: str | None = None) -> DataFrame:
-    """Head count, mean rounded age and service, and gender counts per group."""
-    return (
+                 as_of=None, run_id: str | None = None,
+                 source_object: str = STAGED_TABLE, process_type: str | None = None, ordered: bool = False) -> DataFrame:
+    """Head count, mean rounded age and service, and gender counts per group; `ordered` by group, for a result that is read at once."""
+    mart = (
         staged.groupBy(group)
         .agg(
             F.count(F.lit(1)).alias("num_employees"),
@@ -61,19 +62,22 @@ def demographics(staged: DataFrame, *, group: str = "department", age: str = "ag
             *gender_counts(F.col(gender)),
         )
         .withColumns(mart_stamps(as_of, run_id, source_object, process_type))
-        .orderBy(group)
     )
+    return mart.orderBy(group) if ordered else mart
 
 
 def survey_results(staged: DataFrame, *, group: str = "department",
-                   scores: Mapping[str, str] = SCORE_AVERAGES, as_of="1970-01-01 00:00:00",
+                   scores: Mapping[str, str] = SCORE_AVERAGES, as_of=None,
                    run_id: str | None = None, source_object: str = STAGED_TABLE,
                    process_type: str | None = None) -> DataFrame:
-    """Mean of each score with 0 treated as missing (a zero-as-missing average), and the row count."""
+    """Mean of each score with 0 treated as missing (a zero-as-missing average), and the row count.
+    Scores of type decimal(38,0) are summed in two limbs."""
+    types = dict(staged.dtypes)
+    mean = {src: avg_wide if types[src] == WIDE else avg_exact for src in scores.values()}
     return (
         staged.groupBy(group)
         .agg(
-            *[avg_exact(nullifzero(F.col(src))).alias(out) for out, src in scores.items()],
+            *[mean[src](nullifzero(F.col(src))).alias(out) for out, src in scores.items()],
             F.count(F.lit(1)).alias("num_responses"),
         )
         .withColumns(mart_stamps(as_of, run_id, source_object, process_type))

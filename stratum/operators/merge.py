@@ -110,15 +110,18 @@ def insert_new_keys(target: DataFrame, changes: DataFrame, key: str | list[str],
     return inserts.select(*out)
 
 
-def merge_changes(target: DataFrame, changes: DataFrame, key: str | list[str], *,
-                  stamps: Mapping[str, Column] | None = None,
-                  action_col: str = ACTION, update_col: str = IS_UPDATE,
-                  observation: Observation | None = None) -> DataFrame:
-    """The target table after the MERGE, with target's schema and column order.
+OLD = "_old"
+WEIGHT = "_w"
 
-    With `observation`, the rows inserted / updated / deleted are counted
-    while the result is computed (read `observation.get` after the write):
-    the MERGE's affected-row counts without a second pass.
+
+def merge_fates(target: DataFrame, changes: DataFrame, key: str | list[str], *,
+                stamps: Mapping[str, Column] | None = None,
+                action_col: str = ACTION, update_col: str = IS_UPDATE) -> DataFrame:
+    """Every row the MERGE meets, with its fate (KEEP, IGNORED, UPDATE, DELETE or INSERT).
+
+    The target's columns hold the row as it is after the MERGE (a deleted one as
+    it was); `_old` holds what an updated row was before. One result thus tells the
+    new table (all but DELETE) and the signed rows that marts need (`signed_rows`).
     """
     keys = _keys(key)
     stamps = dict(stamps or {})
@@ -133,7 +136,7 @@ def merge_changes(target: DataFrame, changes: DataFrame, key: str | list[str], *
             kept_cols.append(F.when(is_update, F.col("__new").getField(c)).otherwise(F.col(c)).alias(c))
         else:
             kept_cols.append(F.col(c))
-    kept = target_fates.select(*kept_cols, FATE)
+    kept = target_fates.select(*kept_cols, FATE, F.when(is_update, F.struct(*target.columns)).alias(OLD))
 
     types = dict(target.dtypes)
     ins_cols = []
@@ -144,7 +147,31 @@ def merge_changes(target: DataFrame, changes: DataFrame, key: str | list[str], *
             ins_cols.append(F.col(c).cast(types[c]).alias(c))
         else:
             ins_cols.append(F.lit(None).cast(types[c]).alias(c))
-    both = kept.unionByName(inserts.select(*ins_cols, F.lit("INSERT").alias(FATE)))
+    return kept.unionByName(inserts.select(*ins_cols, F.lit("INSERT").alias(FATE), F.lit(None).cast(kept.schema[OLD].dataType).alias(OLD)))
+
+
+def signed_rows(fates: DataFrame, columns: list[str]) -> DataFrame:
+    """What a MERGE changed, as rows with a weight `_w`: +1 for a row that came, -1 for one that went
+    (an update is both). Feed rows that changed nothing, such as a DELETE of an absent key, give none."""
+    row = [F.col(c) for c in columns]
+    came, went = F.struct(*row, F.lit(1).alias(WEIGHT)), F.struct(*row, F.lit(-1).alias(WEIGHT))
+    was = F.struct(*[F.col(OLD).getField(c).alias(c) for c in columns], F.lit(-1).alias(WEIGHT))
+    fate = F.col(FATE)
+    signed = F.when(fate == "INSERT", F.array(came)).when(fate == "DELETE", F.array(went)).when(fate == "UPDATE", F.array(came, was))
+    return fates.filter(fate.isin("INSERT", "DELETE", "UPDATE")).select(F.explode(signed).alias("__s")).select("__s.*")
+
+
+def merge_changes(target: DataFrame, changes: DataFrame, key: str | list[str], *,
+                  stamps: Mapping[str, Column] | None = None,
+                  action_col: str = ACTION, update_col: str = IS_UPDATE,
+                  observation: Observation | None = None) -> DataFrame:
+    """The target table after the MERGE, with target's schema and column order.
+
+    With `observation`, the rows inserted / updated / deleted are counted
+    while the result is computed (read `observation.get` after the write):
+    the MERGE's affected-row counts without a second pass.
+    """
+    both = merge_fates(target, changes, key, stamps=stamps, action_col=action_col, update_col=update_col).drop(OLD)
     if observation is not None:
         fate = F.col(FATE)
         both = both.observe(observation, F.count_if(fate == "INSERT").alias("rows_inserted"),

@@ -13,9 +13,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from stratum.functions.json_fields import try_to_number
+from stratum.functions.json_fields import parsed_object, try_to_number
 from stratum.functions.scalars import avg_exact, json_object, seconds_between, ts_literal
 
 # The payload keys of a pipeline log record, in writing order.
@@ -34,10 +33,6 @@ SUMMARY_TIME = ("Total execution time: ", " seconds")
 SUMMARY_ERRORS = "Errors encountered: "
 
 
-def _strings(keys: Sequence[str]) -> T.StructType:
-    return T.StructType([T.StructField(k, T.StringType()) for k in keys])
-
-
 def event_rows(runs: DataFrame, *, include_spans: bool = False) -> DataFrame:
     """Step runs -> structured log rows with JSON object payloads.
 
@@ -84,33 +79,34 @@ def event_recent(events: DataFrame, k: int = 50, types: Sequence[str] = ("EVENT"
 
 def parse_log(events: DataFrame) -> DataFrame:
     """Typed fields out of the scope and payload JSON (parsed once each)."""
-    p = F.from_json(F.col("value"), _strings(READ_KEYS))
-    s = F.from_json(F.col("scope"), _strings(["name"]))
+    p = parsed_object(F.col("value"), READ_KEYS)
+    s = parsed_object(F.col("scope"), ["name"])
     # One parse per row: the generator keeps later filters (on pipeline,
     # status) from being pushed beneath it with the parse inlined.
     parsed = F.explode(F.array(F.struct(s.alias("s"), p.alias("p"))))
-    return events.select(
-        "timestamp", "record_type", parsed.alias("__j")
-    ).select("timestamp", "record_type", F.col("__j.s").alias("__s"), F.col("__j.p").alias("__p")).select(
-        "timestamp", "record_type",
-        F.col("__s.name").alias("scope_name"),
-        F.col("__p.run_id").alias("run_id"),
-        F.col("__p.pipeline").alias("pipeline"),
-        F.col("__p.stage").alias("stage"),
-        F.col("__p.event").alias("event"),
-        F.col("__p.status").alias("status"),
-        F.col("__p.task_name").alias("task_name"),
-        try_to_number(F.col("__p.duration_seconds")).alias("duration_seconds"),
-        F.col("__p.source").alias("source_object"),
-        F.col("__p.target").alias("target_object"),
-        F.col("__p.error_message").alias("error_message"),
-    )
-
-
-def event_extract(events: DataFrame, pipeline: str = "streams_tasks_elt", k: int = 20) -> DataFrame:
-    """Structured view of one pipeline's LOG rows, newest k."""
-    parsed = parse_log(events.filter(F.col("record_type") == "LOG"))
-    return (parsed.filter(F.col("pipeline") == pipeline).drop("record_type")
+    rows = events.select("timestamp", "record_type", parsed.alias("__j"))
+    return _log_fields(rows, lambda key: F.col("__j.p").getField(key), F.col("__j.s").getField("name"))
+
+
+def variant_log(events: DataFrame, value: str = "value_v", scope: str = "scope_v") -> DataFrame:
+    """The same fields of a log whose payload and scope are VARIANT columns: read by path, nothing is parsed."""
+    from stratum.functions.variants import text_at
+    return _log_fields(events, lambda key: text_at(F.col(value), f"$.{key}"), text_at(F.col(scope), "$.name"))
+
+
+def _log_fields(rows: DataFrame, field, scope_name: Column) -> DataFrame:
+    return rows.select(
+        "timestamp", "record_type", scope_name.alias("scope_name"),
+        *[field(key).alias(key) for key in ("run_id", "pipeline", "stage", "event", "status", "task_name")],
+        try_to_number(field("duration_seconds")).alias("duration_seconds"),
+        field("source").alias("source_object"), field("target").alias("target_object"), field("error_message").alias("error_message"))
+
+
+def event_extract(events: DataFrame, pipeline: str = "streams_tasks_elt", k: int = 20, parsed: bool = False) -> DataFrame:
+    """Structured view of one pipeline's LOG rows, newest k. `parsed`: `events` are fields already (`variant_log`)."""
+    log = events.filter(F.col("record_type") == "LOG")
+    log = log if parsed else parse_log(log)
+    return (log.filter(F.col("pipeline") == pipeline).drop("record_type")
             .orderBy(F.col("timestamp").desc(), F.col("run_id").asc_nulls_last(),
                      F.col("status").asc_nulls_last(), F.col("stage").asc_nulls_last())
             .limit(k))
@@ -148,10 +144,15 @@ def refresh_history(history: DataFrame, as_of, *, days: int = 6, pattern: str =
             .orderBy(F.col("data_timestamp").desc_nulls_last(), F.col("name").asc()))
 
 
-def refresh_summary(history: DataFrame, as_of, *, days: int = 1, pattern: str = "DT_%") -> DataFrame:
-    """Per table: refreshes, successes, failures and rows inserted/deleted/copied."""
+def refresh_summary(history: DataFrame, as_of, *, days: int = 1, pattern: str = "DT_%", statistics: str = "statistics") -> DataFrame:
+    """Per table: refreshes, successes, failures and rows inserted/deleted/copied. `statistics`: JSON text or VARIANT."""
+    from stratum.functions.variants import text_at
     since = ts_literal(as_of) - F.expr(f"INTERVAL {int(days)} DAYS")
-    st = F.from_json(F.col("statistics"), _strings(["numInsertedRows", "numDeletedRows", "numCopiedRows"]))
+    keys = ["numInsertedRows", "numDeletedRows", "numCopiedRows"]
+    if dict(history.dtypes)[statistics] == "variant":
+        st = F.struct(*[text_at(F.col(statistics), f"$.{k}").alias(k) for k in keys])
+    else:
+        st = parsed_object(F.col(statistics), keys)
     h = (history.filter(F.col("name").like(pattern) & (F.col("data_timestamp") >= since))
          .select("name", "state", st.alias("__st")))
     return h.groupBy("name").agg(

@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratum.functions.scalars import nullifzero, seconds_between
+from stratum.functions.scalars import limbs, limbs_total, nullifzero, seconds_between
 from stratum.operators.marts import SCORE_AVERAGES, to_number
 
 ROWS = "__rows"
@@ -29,7 +29,7 @@ ROWS = "__rows"
 
 @dataclass(frozen=True)
 class Measure:
-    """kind: 'count' (rows), 'sum' (of expr) or 'avg' (of expr, NULLs skipped)."""
+    """kind: 'count' (rows), 'sum' (of expr), 'avg' (of a 64-bit expr, NULLs skipped) or 'avg_wide' (of a decimal(38,0))."""
     name: str
     kind: str
     expr: Column | None = None
@@ -48,8 +48,8 @@ def demographics_measures(age: str = "age", service: str = "length_of_service",
     ]
 
 
-def survey_measures(scores: Mapping[str, str] = SCORE_AVERAGES) -> list[Measure]:
-    return [*[Measure(out, "avg", nullifzero(F.col(src))) for out, src in scores.items()],
+def survey_measures(scores: Mapping[str, str] = SCORE_AVERAGES, wide: bool = False) -> list[Measure]:
+    return [*[Measure(out, "avg_wide" if wide else "avg", nullifzero(F.col(src))) for out, src in scores.items()],
             Measure("num_responses", "count")]
 
 
@@ -65,6 +65,9 @@ def mart_state(rows: DataFrame, group: Sequence[str], measures: Sequence[Measure
             # Wide: a sum of many 64-bit values can leave the 64-bit range.
             aggs.append(F.sum(w * m.expr.cast("decimal(20,0)")).cast("decimal(38,0)").alias(f"{m.name}__sum"))
             aggs.append(F.sum(F.when(m.expr.isNotNull(), w).otherwise(0)).cast("bigint").alias(f"{m.name}__n"))
+        elif m.kind == "avg_wide":
+            aggs += [F.sum(w * x).cast("decimal(38,0)").alias(f"{m.name}__{end}__sum") for end, x in zip(("high", "low"), limbs(m.expr))]
+            aggs.append(F.sum(F.when(m.expr.isNotNull(), w).otherwise(0)).cast("bigint").alias(f"{m.name}__n"))
     return rows.groupBy(*group).agg(*aggs)
 
 
@@ -75,6 +78,8 @@ def _state_columns(measures: Sequence[Measure]) -> list[str]:
             cols.append(m.name)
         elif m.kind == "avg":
             cols += [f"{m.name}__sum", f"{m.name}__n"]
+        elif m.kind == "avg_wide":
+            cols += [f"{m.name}__high__sum", f"{m.name}__low__sum", f"{m.name}__n"]
     return cols
 
 
@@ -95,6 +100,9 @@ def finalize(state: DataFrame, group: Sequence[str], measures: Sequence[Measure]
             out.append(F.col(ROWS).alias(m.name))
         elif m.kind == "sum":
             out.append(F.col(m.name))
+        elif m.kind == "avg_wide":
+            total = limbs_total(F.col(f"{m.name}__high__sum"), F.col(f"{m.name}__low__sum"))[1]
+            out.append(F.try_divide(total, F.col(f"{m.name}__n").cast("double")).alias(m.name))
         else:
             out.append(F.try_divide(F.col(f"{m.name}__sum").cast("double"),
                                     F.col(f"{m.name}__n").cast("double")).alias(m.name))
@@ -110,7 +118,7 @@ def refresh_mart(state: DataFrame, feed_rows: DataFrame, weight: Column, group:
 def freshness(history: DataFrame, *, name: str = "name", data_ts: str = "data_timestamp",
               end_ts: str = "refresh_end_time", state: str = "state", order_tie: str = "query_id",
               target_lag_sec: int = 300, pattern: str | None = "DT_%") -> DataFrame:
-    """Per refreshed table: target lag, newest data time, last state, lag statistics.
+    """Per refreshed table: schema, target lag, newest data time, last state with its code and message, lag statistics.
 
     Lag of a refresh = seconds from its data timestamp to its completion.
     `time_within_target_lag_ratio` is the share of refreshes completed within
@@ -121,10 +129,14 @@ def freshness(history: DataFrame, *, name: str = "name", data_ts: str = "data_ti
     h = h.filter(F.col(name).like(pattern)) if pattern else h
     lag = seconds_between(F.col(data_ts), F.col(end_ts))
     ok = F.col(state) == "SUCCEEDED"
+    last = lambda c: F.max_by(F.col(c), F.struct(F.col(data_ts), F.col(order_tie)))
     return (
         h.groupBy(name)
-        .agg(F.max(F.when(ok, F.col(data_ts))).alias("latest_data_timestamp"),
-             F.max_by(F.col(state), F.struct(F.col(data_ts), F.col(order_tie))).alias("last_completed_refresh_state"),
+        .agg(last("schema_name").alias("schema_name"),
+             F.max(F.when(ok, F.col(data_ts))).alias("latest_data_timestamp"),
+             last(state).alias("last_completed_refresh_state"),
+             last("state_code").alias("last_completed_refresh_state_code"),
+             last("state_message").alias("last_completed_refresh_state_message"),
              F.try_divide(F.sum(F.when(lag <= target_lag_sec, 1).otherwise(0)).cast("double"),
                           F.count(lag).cast("double")).alias("time_within_target_lag_ratio"),
              F.max(lag).alias("maximum_lag_sec"))

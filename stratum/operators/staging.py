@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratum.functions.json_fields import with_json_number_fields
-from stratum.functions.scalars import ts_literal
+from stratum.functions.scalars import run_id_literal, ts_literal
 
 # The five survey keys and the lineage names the staging step uses.
 SURVEY_FIELDS = {
@@ -29,32 +29,34 @@ def lineage_stamps(as_of, source_object: str, run_id: str | None = None,
                    process_type: str | None = None, time_col: str = "staged_at") -> dict[str, Column]:
     """The stamp columns written beside each staged row.
 
-    `as_of` and `run_id` are arguments (one value per load), never per-row
-    volatile calls, so a replayed load writes identical rows.
+    One value per load, never per-row volatile calls: given ones make a replayed
+    load write identical rows. `as_of` None is the time of the call, `run_id`
+    "auto" a new id; without a run id there is no such column.
     """
     stamps = {time_col: ts_literal(as_of), "source_object": F.lit(source_object)}
     if run_id is not None:
-        stamps["etl_run_id"] = F.lit(run_id)
+        stamps["etl_run_id"] = run_id_literal(run_id)
     if process_type is not None:
         stamps["etl_process_type"] = F.lit(process_type)
     return stamps
 
 
 def stage_rows(raw: DataFrame, *, json_col: str = "engagement_survey",
-               fields: Mapping[str, str] = SURVEY_FIELDS, as_of="1970-01-01 00:00:00",
+               fields: Mapping[str, str] = SURVEY_FIELDS, as_of=None,
                source_object: str = RAW_TABLE, run_id: str | None = None,
                process_type: str | None = None, keep: Sequence[str] | None = None,
-               filtered: bool = False) -> DataFrame:
+               filtered: bool = False, number: str = "bigint") -> DataFrame:
     """Every raw column (or `keep`), the numeric survey fields, then the stamps.
 
     Map-only: scan -> project, no shuffle. A malformed JSON text stages with
     NULL scores (use `quality.quarantine` to route such rows aside). `filtered`:
-    the consumer filters on the scores (see `with_json_number_fields`).
+    the consumer filters on the scores (see `with_json_number_fields`). `number`:
+    the scores' type; `json_fields.WIDE` keeps scores of up to 38 digits.
     """
     base = raw.select(*(keep or raw.columns))
     if json_col not in base.columns:
         base = base.withColumn(json_col, raw[json_col])
-    staged = with_json_number_fields(base, json_col, fields, filtered=filtered)
+    staged = with_json_number_fields(base, json_col, fields, filtered=filtered, number=number)
     if keep is not None and json_col not in keep:
         staged = staged.drop(json_col)
     return staged.withColumns(lineage_stamps(as_of, source_object, run_id, process_type))
@@ -79,11 +81,12 @@ def empty_like(df: DataFrame, added: Sequence[tuple[str, str, object]] = ()) ->
     return evolve_schema(df.limit(0), added)
 
 
-def conform(df: DataFrame, schema: T.StructType, defaults: Mapping[str, object] | None = None) -> DataFrame:
+def conform(df: DataFrame, schema: T.StructType, defaults: Mapping[str, object] | None = None, keep: Sequence[str] = ()) -> DataFrame:
     """INSERT INTO t (cols) SELECT ...: align `df` to `schema` by name.
 
     Columns of `schema` missing from `df` take their default (or NULL);
     extra columns of `df` are dropped; every column is cast to its target type.
+    `keep`: fields of the file-metadata column to append, for a plain file scan.
     """
     defaults = defaults or {}
     have = {c.lower(): c for c in df.columns}
@@ -94,4 +97,4 @@ def conform(df: DataFrame, schema: T.StructType, defaults: Mapping[str, object]
             out.append(F.col(src).cast(field.dataType).alias(field.name))
         else:
             out.append(F.lit(defaults.get(field.name)).cast(field.dataType).alias(field.name))
-    return df.select(*out)
+    return df.select(*out, *[F.col(f"_metadata.{k}") for k in keep])

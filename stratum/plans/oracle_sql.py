@@ -93,7 +93,8 @@ def _distinct(a: str, b: str) -> str:
 
 # Keyed change feed (orders keys are unique): deleted/changed before rows,
 # inserted/changed after rows; both halves of a change flagged as updates.
-DIFF = f"""WITH b AS ({BEFORE}), a AS ({AFTER})
+def diff(before: str, after: str) -> str:
+    return f"""WITH b AS ({before}), a AS ({after})
 SELECT b.*, 'DELETE' AS _action, (a.o_orderkey IS NOT NULL) AS _is_update
 FROM b LEFT JOIN a ON b.o_orderkey = a.o_orderkey
 WHERE a.o_orderkey IS NULL OR {_distinct('b', 'a')}
@@ -102,6 +103,9 @@ SELECT a.*, 'INSERT' AS _action, (b.o_orderkey IS NOT NULL) AS _is_update
 FROM a LEFT JOIN b ON a.o_orderkey = b.o_orderkey
 WHERE b.o_orderkey IS NULL OR {_distinct('a', 'b')}"""
 
+
+DIFF = diff(BEFORE, AFTER)
+
 TARGET = (f"SELECT *, {TS_PREVIOUS} AS staged_at, 'bronze.employee_data_parquet' AS source_object, "
           f"'{fx.PREVIOUS_RUN_ID}' AS etl_run_id FROM ({BEFORE}) b0")
 

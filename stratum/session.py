@@ -33,6 +33,7 @@ def get_session(master: str | None = None, app: str = "stratum",
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.stratum.input.partitions", str(shuffle_partitions or int(cpus)))
     )
     if driver_memory:
         builder = builder.config("spark.driver.memory", driver_memory)

@@ -69,29 +69,19 @@ def materialize(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def spread_input(df: DataFrame, min_partitions: int | None = None, max_factor: int = 64) -> DataFrame:
-    """Give a freshly scanned input at least the session's parallelism.
-
-    For a plain scan (+ narrow steps) that feeds a CPU-heavy row-wise step
-    such as JSON parsing. A file written as one row group scans as one task
-    however many cores wait; when the scan has fewer partitions than
-    `min_partitions` (default: the default parallelism), rows are dealt
-    round-robin to that many. A large input -- many files or row groups -- is
-    returned untouched, so at scale this adds nothing. Filters and column
-    pruning still reach the scan. Growth is capped at `max_factor` times the
-    scan's own partitions, so a small file on a large cluster is not dealt
-    into thousands of tiny tasks. Do not call it on a plan with shuffles:
-    counting its partitions would run them.
+INPUT_PARTITIONS = "spark.stratum.input.partitions"
+
+
+def spread_input(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Deal a scan's rows round-robin to `partitions` tasks, where the caller or the session asks for it.
+
+    For one-row-group files that feed a CPU-heavy row-wise step such as JSON
+    parsing: such a file is one task however many cores wait. Without a number
+    (neither given nor set as `spark.stratum.input.partitions`, as on a cluster
+    whose inputs have many splits) the scan stays as it is. Results are the same.
     """
-    if df.isStreaming:
-        return df
-    try:
-        have = df.rdd.getNumPartitions()
-        parallelism = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    except Exception:  # no RDD access (e.g. a Spark Connect session): leave the input as it is
-        return df
-    target = min(parallelism, max(1, have) * max_factor)
-    return df.repartition(target) if have < target else df
+    n = partitions or df.sparkSession.conf.get(INPUT_PARTITIONS, None)
+    return df.repartition(int(n)) if n and not df.isStreaming else df
 
 
 def truncate_table(spark: SparkSession, path: str) -> DataFrame:

@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import json
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from stratum.functions.scalars import ts_literal
 from stratum.operators import changes, marts, merge, observe, refresh, staging
-from stratum.sources import tables
+from stratum.sources import files, tables
 
 RUN_COL = "_run_id"
 FILE_COL = "_source_file"
@@ -38,22 +38,28 @@ def _raw_schema(schema: T.StructType) -> T.StructType:
 
 def file_stream(spark: SparkSession, landing: str, schema: T.StructType, *, pattern: str | None = None,
                 fmt: str = "parquet", max_files_per_trigger: int | None = None,
-                archive_dir: str | None = None) -> DataFrame:
-    """Streaming read of new files, columns matched to `schema` by name (ignoring case).
+                archive_dir: str | None = None, keep: Sequence[str] = ()) -> DataFrame:
+    """Streaming read of new files, columns matched to `schema` by name (ignoring case), then the
+    file-metadata fields `keep`. Parquet and JSON lines; CSV files each have a header of their own and
+    are loaded by `ingest_new_files`.
 
     `max_files_per_trigger` bounds each micro-batch (an AvailableNow run then
     processes a large backlog as several batches instead of one huge one);
     `archive_dir` moves each processed file there once its batch commits, so
     listing the landing folder stays cheap as files accumulate.
     """
-    reader = spark.readStream.format(fmt).schema(schema)
+    if fmt not in ("parquet", "json"):
+        raise ValueError(f"no stream by name over {fmt} files")
+    reader = spark.readStream.format("text") if fmt == "json" else spark.readStream.format(fmt).schema(schema)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    return reader.load(landing)
+    if fmt == "json":
+        return files.json_by_name(reader.load(landing), schema, keep)
+    return reader.load(landing).select(*schema.names, *[F.col(f"_metadata.{k}") for k in keep])
 
 
 def run_available_now(df: DataFrame, sink: str, checkpoint: str, partition_by: list[str] | None = None) -> None:
@@ -76,14 +82,44 @@ def ingest_new_files(spark: SparkSession, landing: str, raw_table: str, checkpoi
     """
     if not _exists(spark, checkpoint) and _exists(spark, f"{raw_table.rstrip('/')}/_spark_metadata"):
         raise ValueError(f"{raw_table} already has a stream log; load into a new folder with a new checkpoint")
-    stream = (file_stream(spark, landing, schema, pattern=pattern, fmt=fmt,
-                          max_files_per_trigger=max_files_per_trigger, archive_dir=archive_dir)
-              .withColumn(FILE_COL, F.col("_metadata.file_name"))
-              .withColumn(RUN_COL, F.lit(run_id)))
-    run_available_now(stream, raw_table, checkpoint, [RUN_COL])
+    if fmt == "csv":
+        if archive_dir:
+            raise ValueError("CSV files are read after the stream has named them: they can't be moved by it")
+        _ingest_csv(spark, landing, raw_table, checkpoint, schema, run_id, pattern, max_files_per_trigger)
+    else:
+        stream = (file_stream(spark, landing, schema, pattern=pattern, fmt=fmt, max_files_per_trigger=max_files_per_trigger,
+                              archive_dir=archive_dir, keep=["file_name"])
+                  .withColumnRenamed("file_name", FILE_COL).withColumn(RUN_COL, F.lit(run_id)))
+        run_available_now(stream, raw_table, checkpoint, [RUN_COL])
     return read_raw(spark, raw_table, schema).filter(F.col(RUN_COL) == run_id)
 
 
+def _ingest_csv(spark: SparkSession, landing: str, raw_table: str, checkpoint: str, schema: T.StructType, run_id: str,
+                pattern: str | None, max_files_per_trigger: int | None) -> None:
+    """CSV files load by name once each: a stream over the landing folder notes the paths of new files per run (their
+    contents aren't read), then each run's files are loaded under their own headers into the run's partition.
+
+    The partition is replaced as a whole, so a load that died after its files were noted is done again by the
+    next call (any noted run without a partition is loaded).
+    """
+    noted = f"{checkpoint.rstrip('/')}_files"
+    reader = spark.readStream.format("binaryFile").schema("path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY")
+    if pattern:
+        reader = reader.option("pathGlobFilter", pattern)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    run_available_now(reader.load(landing).select("path", F.lit(run_id).alias(RUN_COL)), noted, checkpoint, [RUN_COL])
+    paths: dict[str, list[str]] = {}
+    for r in spark.read.schema(f"path STRING, {RUN_COL} STRING").parquet(noted).collect():  # file names, as a listing has them
+        paths.setdefault(r[RUN_COL], []).append(r["path"])
+    for run, own in paths.items():
+        if _exists(spark, f"{raw_table.rstrip('/')}/{RUN_COL}={run}"):
+            continue
+        rows = files.load_by_name(spark, sorted(own), schema, fmt="csv", keep=["file_name"]).withColumnRenamed("file_name", FILE_COL)
+        (rows.withColumn(RUN_COL, F.lit(run)).write.option("partitionOverwriteMode", "dynamic").mode("overwrite")
+         .partitionBy(RUN_COL).parquet(raw_table))
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     from stratum.sources.files import _fs
     fs, p = _fs(spark, path)
@@ -97,6 +133,8 @@ def _delete(spark: SparkSession, path: str) -> None:
 
 
 def read_raw(spark: SparkSession, raw_table: str, schema: T.StructType) -> DataFrame:
+    if not _exists(spark, raw_table):  # nothing has been loaded yet
+        return spark.createDataFrame([], _raw_schema(schema))
     return spark.read.schema(_raw_schema(schema)).parquet(raw_table)
 
 

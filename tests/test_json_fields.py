@@ -95,3 +95,67 @@ def test_flatten_array(spark):
     df = spark.createDataFrame([(1, '[1, "a", null, {"x":2}]'), (2, "[]"), (3, '{"x": 1}'), (4, "[1"), (5, None), (6, "7")], "id int, j string")
     assert [tuple(r) for r in flatten_array(df, "j", ["id"]).orderBy("id", "pos").collect()] == \
         [(1, 0, "1"), (1, 1, "a"), (1, 2, None), (1, 3, '{"x":2}')]
+
+
+def test_flatten_is_strict(spark):
+    from stratum.functions.json_fields import flatten_array, flatten_object
+    rows = [(1, '{"a":1}'), (2, "{'a':1}"), (3, '{"a":1} junk'), (4, '{"a":1},{"b":2}'), (5, "[1]"), (6, ""), (7, None), (8, '{"a":1,"a":2}'), (9, "5")]
+    df = spark.createDataFrame(rows, "i int, t string")
+    assert sorted(map(tuple, flatten_object(df, "t", ["i"]).collect())) == [(1, "a", "1"), (8, "a", "1"), (8, "a", "2")]
+    lists = spark.createDataFrame([(1, '[1,"x"]'), (2, "[1] junk"), (3, "[1],[2]"), (4, "['x']"), (5, '{"a":1}'), (6, "[]"), (7, None)], "i int, t string")
+    assert sorted(map(tuple, flatten_array(lists, "t", ["i"]).collect())) == [(1, 0, "1"), (1, 1, "x")]
+
+
+def test_flatten_deep_against_brute_force(spark):
+    import json
+    from stratum.functions.variants import flatten_deep, parsed
+    values = [{"a": 1, "b": {"c": [1, "x", None, {"d": [[], {}]}]}}, [1, [2, [3, {"k": True}]]], 5, {}, [], {"z": None}]
+    texts = [json.dumps(v) for v in values] + ["{'a':1}", '{"a":1} x', '{"a":1,"a":2}', "", None]
+    want = []
+
+    def walk(i, v, path):
+        pairs = [(f"{path}.{k}", None, k, x) for k, x in v.items()] if isinstance(v, dict) else [(f"{path}[{n}]", n, None, x) for n, x in enumerate(v)] if isinstance(v, list) else []
+        for p, n, k, x in pairs:
+            nested = isinstance(x, (dict, list))
+            text = None if x is None else x if isinstance(x, str) else json.dumps(x, separators=(",", ":"))
+            want.append((i, p, n, k, text, nested))
+            walk(i, x, p)
+    for i, v in enumerate(values):
+        walk(i, v, "$")
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    assert sorted(map(tuple, flatten_deep(df, "t", ["i"]).collect()), key=repr) == sorted(want, key=repr)
+    stored = df.select("i", parsed(F.col("t")).alias("v"))
+    assert flatten_deep(stored, "v", ["i"]).count() == len(want)
+    assert flatten_deep(df.limit(0), "t", ["i"]).count() == 0
+
+
+def test_variants_read_as_the_text_does(spark):
+    from stratum.functions.json_fields import with_json_number_fields
+    from stratum.functions.variants import with_variant, with_variant_numbers
+    texts = ['{"a": 3.6, "b": "4"}', '{"a": -4.5, "b": {"x": 1}}', '{"a": 99999999999, "b": true}', "{bad", '{"a": 1e2, "b": " 5 "}', '{"a": null}', "[1]", '{"a": 1} x', "", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    fields = {"a": "a", "b": "b"}
+    want = with_json_number_fields(df, "t", fields).select("i", "a", "b")
+    stored = with_variant(df, "t", "v")
+    assert sorted(map(tuple, with_variant_numbers(stored, "v", fields).select("i", "a", "b").collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_variant_queries_parse_nothing(spark):
+    from stratum.plans import registry
+    for name in ("variant_stage", "variant_event_extract", "variant_refresh_summary"):
+        plan = registry.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        assert "from_json" not in plan and "parse_json" not in plan, name
+
+
+def test_stamps_are_made_once_a_call(spark):
+    import datetime as dt
+    from stratum.operators import marts, staging
+    raw = spark.createDataFrame([(i, "d", None) for i in range(50)], "employee_number bigint, department string, engagement_survey string").repartition(5)
+    staged = staging.stage_rows(raw, run_id="auto")
+    stamps = {(r.staged_at, r.etl_run_id) for r in staged.collect()} | {(r.staged_at, r.etl_run_id) for r in staged.collect()}
+    assert len(stamps) == 1
+    at, run_id = stamps.pop()
+    assert abs((dt.datetime.now(dt.timezone.utc).replace(tzinfo=None) - at).total_seconds()) < 600 and len(run_id) == 36
+    assert staging.stage_rows(raw, run_id="auto").first().etl_run_id != run_id
+    assert "etl_run_id" not in staging.stage_rows(raw).columns
+    assert marts.survey_results(staged, run_id="auto").first().materialized_at >= at

@@ -52,13 +52,41 @@ def test_truncate_keeps_schema(spark):
     assert out.count() == 0 and out.dtypes == [("k", "bigint"), ("v", "string")]
 
 
-def test_staged_issues_give_the_same_report(spark):
-    from stratum.session import work_dir
-    df = spark.createDataFrame([(None if i % 4 == 0 else i, f"n{i % 7}") for i in range(200)], "k bigint, name string")
-    args = dict(sample=[("name", "name")], check_name="c", layer="l", table_name="t", as_of="2024-01-31 00:00:00")
-    plain = quality.null_check(df, "k", **args).first()
-    staged = quality.null_check(df, "k", stage_issues=work_dir(spark, "t_issues"), **args).first()
-    assert plain == staged and plain.issue_count == 50
+def test_suite_of_all_checks_in_one_scan(spark):
+    """Counts and samples as each check alone gives them; one scan, one row a task, nothing written aside."""
+    rows = [(None if i % 7 == 0 else i, i % 9, f"n{i % 5}" if i % 11 else None) for i in range(500)]
+    df = spark.createDataFrame(rows, "k bigint, s bigint, name string").repartition(6)
+    checks = [quality.Check("null_k", F.col("k").isNull(), [("name", "name"), ("s", "s")], "sample_rows", "l", "t"),
+              quality.Check("range_s", quality.out_of_range(F.col("s")), [("s", "s"), ("k", "k")], "bad_rows", "l", "t"),
+              quality.Check("unknown", F.col("k") > 400, [("k", "k")], "sample_rows", "l", "t"),  # NULL where k is NULL: no issue
+              quality.Check("never", F.lit(False), [("k", "k")], "sample_rows", "l", "t")]
+    got = {r.check_name: r for r in quality.check_suite(df, checks, as_of="2024-01-31 00:00:00").collect()}
+    assert {n: r.issue_count for n, r in got.items()} == {"null_k": 72, "range_s": sum(not 1 <= r[1] <= 5 for r in rows),
+                                                         "unknown": sum((r[0] or 0) > 400 for r in rows), "never": 0}
+    assert all(r.rows_checked == 500 for r in got.values())
+    first = lambda x: (x is not None, x)
+    nulls = sorted(((r[2], r[1]) for r in rows if r[0] is None), key=lambda x: (first(x[0]), first(x[1])))[:10]
+    assert json.loads(got["null_k"].sample_details)["sample_rows"] == [{k: v for k, v in (("name", n), ("s", s)) if v is not None} for n, s in nulls]
+    assert json.loads(got["never"].sample_details) == {"sample_rows": []}
+    alone = quality.range_check(df, ["s"], sample=[("s", "s"), ("k", "k")], check_name="range_s", layer="l", table_name="t", as_of="2024-01-31 00:00:00").first()
+    assert alone.sample_details == got["range_s"].sample_details and alone.issue_count == got["range_s"].issue_count
+    empty = quality.check_suite(df.limit(0), checks, as_of="2024-01-31 00:00:00").collect()
+    assert [(r.issue_count, r.rows_checked) for r in empty] == [(0, 0)] * 4
+
+
+def test_suite_plan_has_one_scan_and_one_exchange(spark):
+    from stratum.plans import registry
+    for name in ("check_suite_staged", "range_check", "null_check"):
+        plan = registry.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan") == 1 and plan.count("Exchange SinglePartition") == 1 and "Sort" not in plan, name
+
+
+def test_reference_flag_in_a_suite(spark):
+    child = spark.createDataFrame([(i, None if i % 5 == 0 else i % 40) for i in range(200)], "id bigint, fk bigint")
+    parent = spark.createDataFrame([(i,) for i in range(30)] * 2 + [(None,)], "pk bigint")
+    flagged = quality.with_reference(child, "fk", parent, "pk", "orphan")
+    assert flagged.columns == ["id", "fk", "orphan"] and flagged.count() == 200
+    assert sorted(r.id for r in flagged.filter("orphan").collect()) == [i for i in range(200) if i % 5 and i % 40 >= 30]
 
 
 def test_run_summary_and_freshness(spark):
@@ -81,9 +109,10 @@ def test_run_summary_and_freshness(spark):
         ("DT_A", "2024-01-01 01:00:00", "2024-01-01 01:10:00", "FAILED", "q2"),
         ("XDT_B", "2024-01-01 00:00:00", "2024-01-01 00:01:00", "SUCCEEDED", "q3"),
     ], "name string, data_timestamp string, refresh_end_time string, state string, query_id string")
-    hist = hist.select("name", *[F.col(c).cast("timestamp_ntz").alias(c) for c in ("data_timestamp", "refresh_end_time")],
+    hist = hist.select("name", F.lit("GOLD").alias("schema_name"), F.concat("query_id", F.lit("-code")).alias("state_code"), F.lit(None).cast("string").alias("state_message"), *[F.col(c).cast("timestamp_ntz").alias(c) for c in ("data_timestamp", "refresh_end_time")],
                        "state", "query_id")
     f = refresh.freshness(hist, target_lag_sec=300).collect()
     assert len(f) == 1 and f[0].name == "DT_A"
     assert (f[0].time_within_target_lag_ratio, f[0].maximum_lag_sec, f[0].last_completed_refresh_state) == (0.5, 600, "FAILED")
+    assert (f[0].schema_name, f[0].last_completed_refresh_state_code, f[0].last_completed_refresh_state_message) == ("GOLD", "q2-code", None)
     assert str(f[0].latest_data_timestamp) == "2024-01-01 00:00:00"
