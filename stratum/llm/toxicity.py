@@ -78,7 +78,8 @@ class Lexicon:
                 node = self.below[node][letter]
                 self.most[node] = max(self.most[node], allowed)
             self.ends[node].append((allowed, stem, i))
-        self.memo: dict[str, tuple[int, int] | None] = {}
+        self.memo: dict[str, tuple[int, int]] = {}
+        self.misses: set[str] = set()
         self._forget()
 
     def _forget(self) -> None:
@@ -143,22 +144,27 @@ class Lexicon:
         return self.at_end[state]
 
     def match(self, word: str) -> tuple[int, int] | None:
-        try:
-            return self.memo[word]
-        except KeyError:
+        """`find`, but for ordinary words that are near an entry; remembered."""
+        if word in self.misses:
+            return None
+        found = self.memo.get(word)
+        if found is None:
+            found = self.find(word)
+            if found is None or found[0] and word in self.ordinary:
+                if len(self.misses) >= MEMO_ENTRIES:
+                    self.misses.clear()
+                self.misses.add(word)
+                return None
             if len(self.memo) >= MEMO_ENTRIES:
                 self.memo.clear()
-            found = self.find(word)
-            if found and found[0] and word in self.ordinary:
-                found = None
             self.memo[word] = found
-            return found
+        return found
 
     def evidence(self, text: str) -> list[float]:
         """Sums over matches: abuse, mentions, and abuse per 100 words (logarithms of 1 + sum)."""
         low = text.lower()
         words = _WORDS.findall(low)
-        hits = {w: m for w in set(words) if (m := self.match(w))}
+        hits = {w: m for w in set(words) - self.misses if (m := self.match(w))}
         abuse = mention = 0.0
         if hits:
             recent: list[str] = []
@@ -177,27 +183,35 @@ class Lexicon:
         return [math.log1p(abuse), math.log1p(mention), math.log1p(100 * abuse / max(1, len(words)))]
 
 
-def _terms(text: str) -> set[tuple[str, bool]]:
+def _terms(text: str) -> tuple[set[str], set[str]]:
+    """Words and stems of a text."""
     words = set(_WORDS.findall(text.lower()))
-    return {(w, False) for w in words} | {(w[:k], True) for w in words for k in STEM_SIZES if len(w) >= k}
+    stems: set[str] = set()
+    for k in STEM_SIZES:
+        stems.update([w[:k] for w in words if len(w) >= k])
+    return words, stems
 
 
 def _counted(rows: DataFrame, terms_of, schema: str = "term string, stem boolean, n bigint") -> DataFrame:
     """Document counts of what `terms_of` finds in each text, added up per task before the shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
+        words, stems = Counter(), Counter()
         for whole in batches:
             for batch in slices(whole, "__text"):
                 for text in batch.column("__text").to_pylist():
-                    counts.update(terms_of(text or ""))
-                if len(counts) > 200_000:
-                    yield made(counts)
-                    counts.clear()
-        yield made(counts)
-
-    def made(counts: Counter) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([t for t, _ in counts], pa.string()), pa.array([s for _, s in counts], pa.bool_()), pa.array(counts.values(), pa.int64())], ["term", "stem", "n"])
+                    found = terms_of(text or "")
+                    words.update(found[0])
+                    stems.update(found[1])
+                if len(words) + len(stems) > 200_000:
+                    yield made(words, stems)
+                    words.clear()
+                    stems.clear()
+        yield made(words, stems)
+
+    def made(words: Counter, stems: Counter) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([*words, *stems], pa.string()), pa.array([False] * len(words) + [True] * len(stems), pa.bool_()),
+                                           pa.array([*words.values(), *stems.values()], pa.int64())], ["term", "stem", "n"])
 
     return rows.select("__text").mapInArrow(run, schema).groupBy("term", "stem").agg(F.sum("n").alias("n"))
 
@@ -212,8 +226,13 @@ def mine(rows: DataFrame) -> Lexicon:
     common = seen.filter(F.col("n") >= max(2, least / -math.log(share)))
     others = rows.filter("__label = 0")
     if common.count() <= HELD_TERMS:
-        held_terms = rows.sparkSession.sparkContext.broadcast(frozenset((r.term, r.stem) for r in common.collect()))
-        elsewhere = _counted(others, lambda text: _terms(text) & held_terms.value)
+        listed = common.collect()
+        held_terms = rows.sparkSession.sparkContext.broadcast(tuple(frozenset(r.term for r in listed if r.stem == stem) for stem in (False, True)))
+
+        def held_of(text: str) -> tuple[set[str], set[str]]:
+            words, stems = _terms(text)
+            return words & held_terms.value[0], stems & held_terms.value[1]
+        elsewhere = _counted(others, held_of)
     else:
         elsewhere = _counted(others, _terms)
     n, m = F.col("n"), F.coalesce("m", F.lit(0))
@@ -237,10 +256,10 @@ def mine(rows: DataFrame) -> Lexicon:
         return lexicon
     held = rows.sparkSession.sparkContext.broadcast(entries)
 
-    def near(text: str) -> set[tuple[str, bool]]:
+    def near(text: str) -> tuple[set[str], set[str]]:
         key = tuple(held.value)
         own = _LEXICONS.get(key) or _LEXICONS.setdefault(key, Lexicon(held.value))
-        return {(w, False) for w in set(_WORDS.findall(text.lower())) if (m := own.match(w)) and m[0]}
+        return {w for w in set(_WORDS.findall(text.lower())) if (m := own.match(w)) and m[0]}, set()
 
     # At most the strings within two edits of the entries.
     in_clean = {r.term: r.n for r in _counted(rows.filter("__label = 0"), near).collect()}
