@@ -20,7 +20,7 @@ from stratum.llm.near_dedup import estimate, near_duplicates, registers
 from stratum.llm.pii import pseudonymise
 from stratum.llm.quality import score_quality
 from stratum.llm.queries import ORACLES, QUERIES, URL_RULES, id_remainder
-from stratum.llm.substring_dedup import align, align_passages, chain, matches, repeated_passages, worth_aligning
+from stratum.llm.substring_dedup import align, align_passages, chain, diagonal_runs, repeated_passages, worth_aligning
 from stratum.llm.token_counts import Counter, count_tokens
 from stratum.llm.toxicity import Lexicon, mine, score_toxicity
 from stratum.llm.url_filter import judge_urls
@@ -158,6 +158,16 @@ def test_chain_is_the_best_by_brute_force():
         best = chain(x, y)[0]
         total = K + sum(K - GAP_COST * (x[b] - x[a] + y[b] - y[a] - 2 * K) for a, b in zip(best, best[1:]))
         assert abs(total - max(score)) < 1e-9
+    for _ in range(50):  # runs weigh as their matches do, and follow one another where one ends before the next begins
+        runs = [(x, y, x + d, y + d, r.randint(1, 3)) for x, y, d in ((r.randrange(120), r.randrange(120), r.randrange(12)) for _ in range(12))]
+        x, y, x1, y1, n = (np.array(c) for c in zip(*sorted(runs)))
+        weight = K * n - GAP_COST * (2 * (x1 - x) - 2 * K * (n - 1))
+        step = lambda a, b: weight[b] - GAP_COST * (x[b] - x1[a] + y[b] - y1[a] - 2 * K)
+        score = []
+        for i in range(len(x)):
+            score.append(max([weight[i], *(score[j] + step(j, i) for j in range(i) if x1[j] < x[i] and y1[j] < y[i])]))
+        best = chain(x, y, x1, y1, n)[0]
+        assert abs(weight[best[0]] + sum(step(a, b) for a, b in zip(best, best[1:])) - max(score)) < 1e-9
     assert align(np.arange(30), np.arange(30), [5], [5]) == (0, 30, 0, 30, 30)
 
 
@@ -189,15 +199,22 @@ def test_two_shared_passages_per_pair(spark):
         assert row.class_id == 0 and words >= {*one, *two}, row
 
 
-def test_all_places_of_a_seed_match(spark):
+def test_all_places_of_a_seed_match(spark, monkeypatch):
+    from stratum.llm import substring_dedup
     r = random.Random(8)
     for _ in range(200):
         h, g = (np.array([r.randrange(6) for _ in range(r.randint(0, 20))], dtype=np.int64) for _ in range(2))
-        x, y = matches(h, 3 * np.arange(len(h)), g, 5 * np.arange(len(g)))
-        assert sorted(zip(x.tolist(), y.tolist())) == sorted((3 * i, 5 * j) for i in range(len(h)) for j in range(len(g)) if h[i] == g[j])
-    same = np.zeros(2000, dtype=np.int64)  # far more equal seeds than are chained
-    x, y = matches(same, np.arange(2000), same, np.arange(2000))
-    assert len(x) <= 1 << 16 and set(x.tolist()) == set(y.tolist()) == {*range(2000)}
+        p, q = (np.cumsum([r.randint(1, 2) for _ in x], dtype=np.int64) for x in (h, g))
+        monkeypatch.setattr(substring_dedup, "AT_ONCE", r.choice([1, 7, 1 << 20]))
+        runs = list(zip(*(x.tolist() for x in diagonal_runs(h, p, g, q))))
+        every = [(i0 + k, j0 + k) for i0, i1, j0, *_ in runs for k in range(i1 - i0 + 1)]
+        assert sorted(every) == sorted((i, j) for i in range(len(h)) for j in range(len(g)) if h[i] == g[j])
+        assert all((x0, x1, y0, y1) == (p[i0], p[i1], q[j0], q[j0 + i1 - i0]) and all(p[i0 + k] - q[j0 + k] == x0 - y0 for k in range(i1 - i0 + 1)) for i0, i1, j0, x0, x1, y0, y1 in runs)
+        follows = {(i1 + 1, j0 + i1 - i0 + 1, x1 - y1) for i0, i1, j0, x0, x1, y0, y1 in runs}
+        assert not follows & {(i0, j0, x0 - y0) for i0, _, j0, x0, _, y0, _ in runs}  # none could be longer
+    monkeypatch.setattr(substring_dedup, "AT_ONCE", 1 << 20)
+    same = np.zeros(2000, dtype=np.int64)
+    assert len(diagonal_runs(same, np.arange(2000), same, np.arange(2000))[0]) == 3999
     texts = []
     for i in range(20):
         one, two = _words(30, 50 + 9 * i), _words(30, 51 + 9 * i)
