@@ -118,7 +118,7 @@ def refresh_mart(state: DataFrame, feed_rows: DataFrame, weight: Column, group:
 def freshness(history: DataFrame, *, name: str = "name", data_ts: str = "data_timestamp",
               end_ts: str = "refresh_end_time", state: str = "state", order_tie: str = "query_id",
               target_lag_sec: int = 300, pattern: str | None = "DT_%") -> DataFrame:
-    """Per refreshed table: schema, target lag, newest data time, last state with its code and message, lag statistics.
+    """Per refreshed table: schema, target lag, newest data time, last state with its code and message (where the history has them), lag statistics.
 
     Lag of a refresh = seconds from its data timestamp to its completion.
     `time_within_target_lag_ratio` is the share of refreshes completed within
@@ -129,14 +129,13 @@ def freshness(history: DataFrame, *, name: str = "name", data_ts: str = "data_ti
     h = h.filter(F.col(name).like(pattern)) if pattern else h
     lag = seconds_between(F.col(data_ts), F.col(end_ts))
     ok = F.col(state) == "SUCCEEDED"
+    also = {"schema_name": "schema_name", "state_code": "last_completed_refresh_state_code", "state_message": "last_completed_refresh_state_message"}
     last = lambda c: F.max_by(F.col(c), F.struct(F.col(data_ts), F.col(order_tie)))
     return (
         h.groupBy(name)
-        .agg(last("schema_name").alias("schema_name"),
+        .agg(*[last(c).alias(out) for c, out in also.items() if c in history.columns],
              F.max(F.when(ok, F.col(data_ts))).alias("latest_data_timestamp"),
              last(state).alias("last_completed_refresh_state"),
-             last("state_code").alias("last_completed_refresh_state_code"),
-             last("state_message").alias("last_completed_refresh_state_message"),
              F.try_divide(F.sum(F.when(lag <= target_lag_sec, 1).otherwise(0)).cast("double"),
                           F.count(lag).cast("double")).alias("time_within_target_lag_ratio"),
              F.max(lag).alias("maximum_lag_sec"))
