@@ -15,7 +15,11 @@ from stratum.llm.queries import PSEUDONYM_KEY, toxicity_rows
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity score doesn't reject."""
+    """Documents that the toxicity score doesn't reject.
+
+    Null and empty texts score like texts without matches; repeated rows are judged alike and all stay or
+    go; an empty table stays empty. The input's columns stay whole, whatever their names.
+    """
     return toxicity_rows(spark, docs, sf_dir).filter("__predicted = 0").select("__row.*")
 
 
@@ -31,7 +35,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a benchmark passage."""
+    """Documents without a benchmark passage.
+
+    Null and empty texts hold none and stay; rows repeating an id are judged by their own text; without
+    benchmark items, or without documents, nothing goes. A column named `__key` is not supported.
+    """
     keyed = docs.withColumn("__key", F.struct(F.col("doc_id"), F.xxhash64("text").alias("hash")))
     judged = decontaminate(keyed, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col="__key")
     gone = bounded(stored(judged.filter("contaminated").select(F.col("__key").alias("__gone")).distinct(), "contaminated"))
@@ -39,7 +47,10 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with pseudonyms for personal data; n_chars follows the text."""
+    """Documents with pseudonyms for personal data; n_chars follows the text.
+
+    Null texts stay null, empty ones empty; every row stays, repeated ones with equal pseudonyms. Other columns are untouched.
+    """
     made = pseudonymise(docs, PSEUDONYM_KEY)
     if "n_chars" in docs.columns:
         made = made.withColumn("n_chars", F.when(F.col("__n_pseudonyms") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
@@ -47,7 +58,10 @@ def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of the ids and of the decoded bytes."""
+    """Token counts and digests of the ids and of the decoded bytes.
+
+    Null and empty texts have no tokens; rows are independent, so repeated ones give repeated rows.
+    """
     return encode_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, out="digests")
 
 
