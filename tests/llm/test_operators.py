@@ -242,6 +242,24 @@ def test_passages_whose_seeds_have_a_hub_without_them(spark):
     assert [got[i] for i in range(len(texts))] == want
 
 
+def test_fuzzy_passages_whose_seeds_have_a_hub_without_them(spark, monkeypatch):
+    """Every document holds a line; the smallest is the hub of its seeds, but only two others share fuzzy passages around it."""
+    from stratum.llm import substring_dedup
+    monkeypatch.setattr(substring_dedup, "BLOCK", 8)  # a line's documents fill many blocks
+    texts, want = [], []
+    for i in range(0, 4000, 100):
+        line, flanks, first = _words(24, 400000 + i), [_words(7, 400001 + i + k) for k in range(4)], len(texts)
+        for own in range(6 if i else 40):
+            texts.append(_words(60, 500000 + 2 * own + i) + line + _words(60, 500001 + 2 * own + i))
+        for k in range(2):  # 52 equal words, none of its runs of 7 has a seed; in every second case words were put in
+            odd = [_words(1 + (i % 200 > 0) * k, 600000 + i + 10 * k + j) for j in range(2)]
+            texts.append(_words(40, 700000 + i + k) + flanks[0] + odd[0] + flanks[1] + line + flanks[2] + odd[1] + flanks[3] + _words(40, 700010 + i + k))
+        want += [*range(first, len(texts) - 1), len(texts) - 2]
+    got = {r.doc_id: r for r in repeated_passages(_docs(spark, map(" ".join, texts))).collect()}
+    assert [got[i].class_id for i in range(len(texts))] == want
+    assert all(got[i].n_links == (i != want[i] or i + 1 < len(texts) and want[i + 1] == i) for i in got)
+
+
 def test_chains_not_aligned_hold_no_other_passages():
     r = np.random.default_rng(12)
     for _ in range(60):
