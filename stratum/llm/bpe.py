@@ -5,14 +5,18 @@ token waits in the bucket of that token's rank; a bitmap hierarchy over the
 ranks (64 buckets per word, words of words above) gives the lowest waiting
 rank by find-first-set at each level. Entries whose pair has changed since
 they were queued are stale and skipped. A pre-token of n bytes costs O(n)
-queue operations, so very long pre-tokens need no quadratic rescans.
+queue operations, so very long pre-tokens need no quadratic rescans. The
+distinct pre-tokens of a slice of texts that aren't remembered share one queue:
+their lists stand one after another, with a part that pairs with nothing between.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Iterable, Iterator
+import re
+from bisect import bisect_right
+from collections.abc import Iterator, Sequence
 from itertools import chain
 
 import numpy as np
@@ -26,6 +30,7 @@ from stratum.llm.common import slices
 MEMO_ENTRIES = 600_000   # encoded pre-tokens that a worker remembers at least, and twice as many at most
 PAIR_ENTRIES = 1_000_000  # pairs of ids whose rank a worker remembers
 MEMO_CHARS = 64          # longer pre-tokens are encoded each time
+QUEUE_BYTES = 1 << 19    # bytes of pre-tokens that share a queue (a longer pre-token has its own)
 VOCABULARY_BYTES = 64 << 20  # largest vocabulary file that is sent to every executor
 
 
@@ -34,28 +39,33 @@ def parse_ranks(data: bytes) -> dict[bytes, int]:
     return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in data.splitlines() if line)}
 
 
-class Memo(dict):
-    """Results of `make` by key; what was not asked for among the last `size` to 2 `size` keys is forgotten."""
+# Character classes that the standard library's expressions don't know, and their names in `regex`.
+CLASSES = {r"\p{L}": r"\p{L}", r"\p{N}": r"\p{N}", r"\s": r"\p{White_Space}", r"\S": r"\P{White_Space}"}
 
-    def __init__(self, make, size: int) -> None:
-        super().__init__()
-        self.make, self.size, self.older = make, size, {}
 
-    def __missing__(self, key):
-        found = self.older.get(key)
-        if found is None:
-            found = self.make(key)
-        if len(self) >= self.size:
-            self.older = dict(self)
-            self.clear()
-        self[key] = found
-        return found
+def _ranges(name: str) -> str:
+    """The characters up to U+FFFF of a class, as the inside of a bracket expression."""
+    runs = regex.findall(f"{name}+", "".join(map(chr, (*range(0xD800), *range(0xE000, 0x10000)))))
+    return "".join(f"{re.escape(run[0])}-{re.escape(run[-1])}" for run in runs)
+
+
+def short_pattern(pattern: str) -> re.Pattern | None:
+    """`pattern` for texts without characters beyond U+FFFF, its classes written out for the standard library's
+    expressions, which split such texts in half the time; None if it holds more than these classes and plain groups."""
+    bare = re.sub(r"\\p\{[LN]\}|\\[sS]|\(\?[:!=]", "", pattern)
+    if "\\" in bare or "(?" in bare or re.search(r"\[\^?\]|\[[^]]*(\[|\\S|--|&&|\|\||~~)", pattern):
+        return None
+    ranges = {short: _ranges(name) for short, name in CLASSES.items() if short in pattern}
+    return re.compile("".join(
+        re.sub(r"\\p\{[LN]\}|\\[sS]", lambda m: ranges[m[0]] if part[0] == "[" else f"[{ranges[m[0]]}]", part)
+        for part in re.findall(r"\[[^]]*\]|[^[]+", pattern)))
 
 
 class Encoder:
     """Encodes texts by token ranks; pre-tokens are the matches of `pattern`."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
+        self.short = short_pattern(pattern)
         # In this pattern language `\s` also takes the separators U+001C-U+001F, which are not white space.
         pattern = pattern.replace(r"[^\s\p{L}\p{N}]", r"[^\p{White_Space}\p{L}\p{N}]")
         self.findall = regex.compile(pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")).findall
@@ -64,10 +74,14 @@ class Encoder:
         self.shift = (max(ranks.values(), default=1).bit_length() + 1) // 2
         self.words = [0] * (1 << self.shift)
         self.bits = [1 << i for i in range(1 << self.shift)]
-        self.memo = Memo(lambda piece: tuple(self.piece(piece.encode())), MEMO_ENTRIES)
+        self.memo: dict[str, bytes] = {}   # ids of pre-tokens, as little-endian unsigned 32-bit integers
+        self.older: dict[str, bytes] = {}  # what was remembered before; forgotten when the memo is full again
         self.token = {rank: token for token, rank in ranks.items()}
+        self.tokens = np.empty(max(ranks.values(), default=-1) + 1, dtype=object)
+        for rank, token in self.token.items():
+            self.tokens[rank] = token
         self.single = [ranks.get(bytes([b])) for b in range(256)]
-        self.byte_pairs = [ranks.get(bytes((a, b)), -1) for a in range(256) for b in range(256)]
+        self.byte_pairs = np.array([ranks.get(bytes((a, b)), -1) for a in range(256) for b in range(256)], dtype=np.int64)
         self.pairs: dict[int, int] = {}
 
     def _pair(self, key: int) -> int:
@@ -77,28 +91,32 @@ class Encoder:
         found = self.pairs[key] = self.ranks.get(self.token[key >> 32] + self.token[key & 0xFFFFFFFF], -1)
         return found
 
-    def piece(self, piece: bytes) -> list[int]:
-        """Ids of one pre-token: always merge the lowest-ranked pair, leftmost first."""
-        ranks = self.ranks
-        if piece in ranks:
-            return [ranks[piece]]
+    def pieces(self, pieces: Sequence[bytes]) -> list[bytes]:
+        """Ids of pre-tokens (packed): always merge the lowest-ranked pair, leftmost first."""
         known, pair, words, bits, shift = self.pairs.get, self._pair, self.words, self.bits, self.shift
         mask = (1 << shift) - 1
-        n, top, buckets = len(piece), 0, {}
-        ids = list(map(self.single.__getitem__, piece))  # of the part that begins at each byte
-        after = list(range(1, n + 1))     # where the next part begins
-        before = list(range(-1, n))       # where the previous part begins
-        byte_pairs = self.byte_pairs      # rank of the pair that begins at part i, -1: no token
-        waiting = [byte_pairs[a << 8 | b] for a, b in zip(piece, piece[1:])]
-        for i, rank in enumerate(waiting):
-            if rank >= 0:
-                if rank in buckets:
-                    buckets[rank].append(i)
-                else:
-                    buckets[rank] = [i]
-                    words[rank >> shift] |= bits[rank & mask]
-                    top |= bits[rank >> shift]
-        waiting += (-1, -1)
+        data = b"\0".join((b"", *pieces, b""))  # a place before, between and after the pre-tokens
+        sizes = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
+        bounds = np.concatenate([[0], np.cumsum(sizes + 1)])  # these places
+        inside = np.ones(len(data), dtype=bool)
+        inside[bounds] = False
+        letters = np.frombuffer(data, dtype=np.uint8).astype(np.int64)
+        ids = list(map(self.single.__getitem__, data))  # of the part that begins at each byte, -1: none
+        for i in bounds.tolist():
+            ids[i] = -1
+        after = list(range(1, len(data) + 1))  # where the next part begins
+        before = list(range(-1, len(data)))    # where the previous part begins
+        # Rank of the pair that begins at part i, -1: no token.
+        first = np.where(inside[:-1] & inside[1:], self.byte_pairs[letters[:-1] << 8 | letters[1:]], -1)
+        waiting = [*first.tolist(), -1]
+        order = np.argsort(first, kind="stable")
+        order = order[np.searchsorted(first[order], 0):]
+        ranks, starts = np.unique(first[order], return_index=True)
+        buckets, top, places = {}, 0, order.tolist()
+        for rank, start, stop in zip(ranks.tolist(), starts.tolist(), [*starts[1:].tolist(), len(places)]):
+            buckets[rank] = places[start:stop]
+            words[rank >> shift] |= bits[rank & mask]
+            top |= bits[rank >> shift]
         while top:
             w = (top & -top).bit_length() - 1
             word = words[w]
@@ -109,22 +127,25 @@ class Encoder:
             places = buckets.pop(rank)
             if len(places) > 1:
                 places.sort()
-            for k, i in enumerate(places):
+            held, later = -1, []
+            for i in places:
                 if waiting[i] != rank:
                     continue  # stale
+                if i < held:
+                    later.append(i)
+                    continue
                 middle = after[i]
                 stop = after[i] = after[middle]
-                ids[i] = rank
-                waiting[middle] = waiting[i] = -1
-                least, left = rank, before[i]
-                if stop < n:
-                    before[stop] = i
-                    key = rank << 32 | ids[stop]
-                    new = known(key)
+                before[stop] = i
+                ids[i] = least = rank
+                ids[middle] = waiting[middle] = waiting[i] = -1
+                right = ids[stop]
+                if right >= 0:
+                    new = known(key := rank << 32 | right)
                     if new is None:
                         new = pair(key)
-                    waiting[i] = new
                     if new >= 0:
+                        waiting[i] = new
                         if new < least:
                             least = new
                         if new in buckets:
@@ -133,9 +154,10 @@ class Encoder:
                             buckets[new] = [i]
                             words[new >> shift] |= bits[new & mask]
                             top |= bits[new >> shift]
-                if left >= 0:
-                    key = ids[left] << 32 | rank
-                    new = known(key)
+                left = before[i]
+                other = ids[left]
+                if other >= 0:
+                    new = known(key := other << 32 | rank)
                     if new is None:
                         new = pair(key)
                     waiting[left] = new
@@ -148,25 +170,58 @@ class Encoder:
                             buckets[new] = [left]
                             words[new >> shift] |= bits[new & mask]
                             top |= bits[new >> shift]
-                if least < rank and k + 1 < len(places):  # a lower rank came up: it goes first
-                    buckets[rank] = places[k + 1:]
-                    words[rank >> shift] |= bits[rank & mask]
-                    top |= bits[rank >> shift]
-                    break
-        left, i = [], 0
-        while i < n:
-            left.append(ids[i])
-            i = after[i]
-        return left
+                if least < rank:  # a lower rank came up: it goes first in its pre-token
+                    held = int(bounds[bisect_right(bounds, i)])
+            if later:
+                buckets[rank] = later
+                words[rank >> shift] |= bits[rank & mask]
+                top |= bits[rank >> shift]
+        made = np.array(ids, dtype=np.int64)
+        left = made >= 0
+        packed = made[left].astype("<u4").tobytes()
+        ends = (4 * np.cumsum(left)[bounds]).tolist()
+        return [packed[a:b] for a, b in zip(ends, ends[1:])]
+
+    def split(self, text: str) -> list[str]:
+        """The matches of the pattern, each a pre-token."""
+        if self.short is not None and (text.isascii() or len(text.encode("utf-16-le")) == 2 * len(text)):
+            return self.short.findall(text)
+        return self.findall(text)
+
+    def encode_all(self, texts: Sequence[str]) -> list[np.ndarray]:
+        """Ids of each text; the texts are held in memory as pre-tokens meanwhile."""
+        split = list(map(self.split, texts))
+        if len(self.memo) >= MEMO_ENTRIES:
+            self.memo, self.older = {}, self.memo
+        memo, ranks = self.memo, self.ranks
+        wanted = set(chain.from_iterable(split)).difference(memo)
+        fresh = []
+        for piece in wanted:
+            found = self.older.get(piece)
+            if found is not None:
+                memo[piece] = found
+            elif (data := piece.encode()) in ranks:
+                memo[piece] = ranks[data].to_bytes(4, "little")
+            else:
+                fresh.append((piece, data))
+        own, size = [], 0
+        for i, (_, data) in enumerate(fresh, 1):
+            own.append(data)
+            size += len(data)
+            if size >= QUEUE_BYTES or i == len(fresh):
+                memo.update(zip([piece for piece, _ in fresh[i - len(own):i]], self.pieces(own)))
+                own, size = [], 0
+        made = [np.frombuffer(b"".join(map(memo.__getitem__, pieces)), dtype="<u4") for pieces in split]
+        for piece, _ in fresh:
+            if len(piece) > MEMO_CHARS:
+                del memo[piece]
+        return made
 
     def encode(self, text: str) -> np.ndarray:
-        remembered = self.memo.__getitem__
-        long = max(map(len, pieces := self.findall(text)), default=0) > MEMO_CHARS
-        found = (remembered(p) if len(p) <= MEMO_CHARS else self.piece(p.encode()) for p in pieces) if long else map(remembered, pieces)
-        return np.fromiter(chain.from_iterable(found), dtype="<u4")
+        return self.encode_all([text])[0]
 
-    def decode(self, ids: Iterable[int]) -> bytes:
-        return b"".join(map(self.token.__getitem__, ids))
+    def decode(self, ids: np.ndarray) -> bytes:
+        return b"".join(self.tokens[ids].tolist())
 
 
 _ENCODERS: dict[tuple[int, str], Encoder] = {}
@@ -204,12 +259,11 @@ def encode_documents(docs: DataFrame, vocabulary: str, pattern: str, *, id_col:
         for whole in batches:
             for batch in slices(whole, "__text"):
                 made: list[list] = [[], [], []]
-                for text in batch.column("__text").to_pylist():
-                    ids = encoder.encode(text or "")
+                for ids in encoder.encode_all([text or "" for text in batch.column("__text").to_pylist()]):
                     if digests:
                         made[0].append(len(ids))
                         made[1].append(hashlib.sha256(ids.tobytes()).hexdigest())
-                        made[2].append(hashlib.sha256(encoder.decode(ids.tolist())).hexdigest())
+                        made[2].append(hashlib.sha256(encoder.decode(ids)).hexdigest())
                     else:
                         made[0].append(ids.astype(np.int64))
                 kinds = (pa.int64(), pa.string(), pa.string()) if digests else (pa.list_(pa.int64()),)

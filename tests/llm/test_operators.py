@@ -14,6 +14,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from oracle_compare import compare, duck
+from stratum.llm import bpe
 from stratum.llm.bpe import Encoder, decode_ids, encode_documents, parse_ranks
 from stratum.llm.decontaminate import decontaminate
 from stratum.llm.near_dedup import estimate, near_duplicates, registers
@@ -85,6 +86,45 @@ def test_bpe_matches_the_library(spark):
     assert {x.doc_id: x.text for x in back.collect()} == {i: t or "" for i, t in enumerate([*texts[:20], None])}
 
 
+def test_bpe_pre_tokens_share_a_queue(monkeypatch):
+    """Many pre-tokens in one queue give what each gives by itself, also where a merge brings up a lower rank."""
+    def plain(ranks, data):
+        parts = [bytes([b]) for b in data]
+        while data not in ranks and (best := min(((ranks[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in ranks), default=None)):
+            parts[best[1]:best[1] + 2] = [parts[best[1]] + parts[best[1] + 1]]
+        return [ranks[data]] if data in ranks else [ranks[x] for x in parts]
+
+    r = random.Random(8)
+    for _ in range(40):
+        more = list({bytes(r.choice(b"abc") for _ in range(r.randint(2, 5))) for _ in range(60)})
+        r.shuffle(more)
+        ranks = {token: i for i, token in enumerate([bytes([b]) for b in range(256)] + more)}
+        encoder, runs = Encoder(ranks, public_tokenizers.PATTERN), []
+        own = encoder.pieces
+        monkeypatch.setattr(encoder, "pieces", lambda pieces: runs.append(len(pieces)) or own(pieces))
+        texts = [" ".join("".join(r.choice("abcc") for _ in range(r.randint(1, 90))) for _ in range(r.randint(0, 30))) for _ in range(20)]
+        for _ in range(2):  # the second time from what is remembered
+            for text, ids in zip(texts, encoder.encode_all(texts)):
+                assert ids.tolist() == [i for piece in encoder.findall(text) for i in plain(ranks, piece.encode())]
+        assert len(runs) == 2 and runs[0] > 200 > runs[1] > 0
+        monkeypatch.setattr(bpe, "MEMO_ENTRIES", 10)
+        monkeypatch.setattr(bpe, "QUEUE_BYTES", 50)
+        for text in [*texts, *texts]:
+            assert encoder.encode(text).tolist() == [i for piece in encoder.findall(text) for i in plain(ranks, piece.encode())]
+        monkeypatch.undo()
+
+
+def test_bpe_splits_alike_with_both_libraries():
+    encoder = Encoder({bytes([b]): b for b in range(256)}, public_tokenizers.PATTERN)
+    letters = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x10000)]))
+    r = random.Random(9)
+    for text in [letters, " ".join(letters), *("".join(r.choice(letters[:400] + " \x1c\u2003\u3000\n'srevld") for _ in range(100)) for _ in range(300))]:
+        assert encoder.short.findall(text) == encoder.findall(text) == encoder.split(text)
+    assert encoder.split("a\U00020000b \U0001f600 \U0001d7d8") == ["a\U00020000b", " \U0001f600", " \U0001d7d8"]
+    for pattern in (r"\p{Lu}+", r"[^\S\n]+|.", r"(?i:x)|\s", r"\w+", r"[[a-z]--[x]]+|\s"):
+        assert bpe.short_pattern(pattern) is None
+
+
 def test_token_counts_match_the_library(spark):
     reference, counter = Tokenizer.from_file(WORDS), Counter(open(WORDS, "rb").read())
     r = random.Random(5)
