@@ -791,8 +791,8 @@ def _change_runs(spark, sf_dir):
     """Two runs over change files: all rows as they stood as inserts, then what changed since."""
     from stratum.streaming.change_runs import ChangePipeline
     root, landing = work_dir(spark, "elt_changes"), work_dir(spark, "landing_changes")
-    before = fx.events_before(spark, sf_dir).selectExpr(*fx.RAW_FROM_EVENTS)
-    after = fx.events_after(spark, sf_dir).selectExpr(*fx.RAW_FROM_EVENTS)
+    before = tables.spread_few_splits(fx.events_before(spark, sf_dir)).selectExpr(*fx.RAW_FROM_EVENTS)
+    after = tables.spread_few_splits(fx.events_after(spark, sf_dir)).selectExpr(*fx.RAW_FROM_EVENTS)
     group = F.expr(fx.UPLOAD_GROUP).cast("int").alias("__slice")
     p = ChangePipeline(spark, root, landing, before.schema, pattern=FILE_PATTERN, n_buckets=32)
     first = changes.appended_rows(before).select("*", F.lit(1).cast("bigint").alias("_seq"), group)

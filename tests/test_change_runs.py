@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from stratum.operators import changes, merge, refresh
 from stratum.session import work_dir
-from stratum.sources import files
+from stratum.sources import files, tables
 from stratum.sources.bucketed import BUCKET, BucketedTable
 from stratum.streaming import change_runs
 from stratum.streaming.change_runs import ChangePipeline
@@ -168,3 +168,23 @@ def test_signed_rows_of_a_merge(spark):
                                  "k bigint, v string, _action string, _is_update boolean")
     fates = merge.merge_fates(target, feed, "k")
     assert sorted(map(tuple, merge.signed_rows(fates, ["k", "v"]).collect())) == [(1, "a", -1), (1, "x", 1), (2, "b", -1), (4, "d", 1)]
+
+
+def test_one_row_group_is_read_by_all_cores(spark, tmp_path):
+    """A session that names no number of input tasks: a scan of few splits is dealt to every core, one of many stays as it is."""
+    from stratum.plans import registry
+    name = tables.INPUT_PARTITIONS
+    before, cores = spark.conf.get(name, None), spark.sparkContext.defaultParallelism
+    spark.conf.unset(name)
+    try:
+        spark.range(100).coalesce(1).write.parquet(f"{tmp_path}/one")
+        one = tables.spread_few_splits(spark.read.parquet(f"{tmp_path}/one"))
+        assert one.rdd.getNumPartitions() == cores > 1 and sorted(r.id for r in one.collect()) == list(range(100))
+        many = spark.range(0, 100, 1, cores + 3)
+        assert tables.spread_few_splits(many) is many
+        p = registry._change_runs(spark, "/root/testdata/sf0.01")
+        landed = {r[0] for r in spark.read.parquet(p.raw).select("_source_file").distinct().collect()}
+        assert len([f for f in landed if f.startswith("employee_data_part_a")]) > 5  # one task writes one file per department
+    finally:
+        if before is not None:
+            spark.conf.set(name, before)
