@@ -310,6 +310,55 @@ def test_chains_not_aligned_hold_no_other_passages():
         assert spans == kept and len(worth_aligning(a, b, chains, 50)) < len(chains)
 
 
+def test_texts_hashed_at_once_have_their_own_seeds(monkeypatch):
+    from stratum.llm import substring_dedup
+    from stratum.llm.common import span_hashes, words_joined
+    from stratum.llm.substring_dedup import K, W
+    r = random.Random(14)
+    texts = [b"", b" ", b"A b\t c ", b"x " * 7, b"x " * 8, b"y\x1f z " * 30, b""]
+    texts += [b" ".join(r.choice([b"Aa", b"b", b"c\xc3\xa9 ", b"\x85d"]) for _ in range(r.randrange(70))) for _ in range(200)]
+    for limit in (1, 300, 1 << 16):
+        monkeypatch.setattr(substring_dedup, "HASHED", limit)
+        found = list(substring_dedup.seeded(texts))
+        assert len(found) == len(texts) and list(substring_dedup.seeded([])) == []
+        for text, one in zip(texts, found):
+            data, starts, ends = words_joined(text)
+            assert one.data == data and one.starts.tolist() == starts.tolist() and one.ends.tolist() == ends.tolist()
+            assert one.words.tolist() == span_hashes(data, starts, ends).tolist()
+            grams = span_hashes(data, starts[:max(0, len(starts) - K + 1)], ends[K - 1:])
+            places = sorted({i + int(np.argmin(grams[i:i + W])) for i in range(max(min(1, len(grams)), len(grams) - W + 1))})
+            assert one.p.tolist() == places and one.h.tolist() == grams[places].tolist()
+
+
+def test_bounds_lose_no_passage_and_spare_hopeless_pairs(monkeypatch):
+    from stratum.llm import substring_dedup
+    from stratum.llm.substring_dedup import Outer, pair_passages, seeded
+    r = random.Random(15)
+    line = _words(14, 950)
+    passages = 0
+    for case in range(60):
+        if case % 3 == 0:  # few words, often repeated
+            texts = [[w for _ in range(r.randint(6, 20)) for w in [r.choice("abcd")] * r.randint(1, 30)] for _ in range(2)]
+        elif case % 3 == 1:  # lines cut, put together and with words between
+            texts = [[w for k in range(14) for w in line[:r.randint(9, 14)] + _words(r.choice([0, 0, 1, 3]), 1000 + 50 * case + 20 * t + k)] for t in range(2)]
+        else:  # a copy with changed, left out and put in words
+            texts = [_words(260, 2000 + case)]
+            texts.append([v for w in texts[0] for v in ([w] if r.random() < 0.93 else [["other"], [], [w, "more"]][r.randrange(3)])])
+        a, b = seeded([" ".join(text).encode() for text in texts])
+        i0, i1, _, x0, x1, y0, y1 = diagonal_runs(a.h, a.p, b.h, b.p)
+        every = Outer()
+        for c in chain(x0, y0, x1, y1, i1 - i0 + 1):
+            for span in align_passages(a.words, b.words, [x for k in c for x in (int(x0[k]), int(x1[k]))], [y for k in c for y in (int(y0[k]), int(y1[k]))], 50, 0.8):
+                every.add(*span)
+        got = pair_passages(a, b, 50, 0.8)
+        assert (got.starts, got.stops) == (every.starts, every.stops)
+        passages += len(got.starts)
+    assert passages > 50
+    monkeypatch.setattr(substring_dedup, "chain", None)  # a shared line among other words: nothing is chained
+    a, b = seeded([" ".join(_words(300, 970 + k) + line + line + _words(300, 980 + k)).encode() for k in range(2)])
+    assert np.isin(a.h, b.h).any() and pair_passages(a, b, 50, 0.8).starts == []
+
+
 def test_top_k_against_brute_force(spark):
     r = np.random.default_rng(7)
     vectors = [list(map(float, v)) for v in r.normal(0, 0.1, (150, 8))]
