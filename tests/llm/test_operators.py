@@ -330,6 +330,16 @@ def test_texts_hashed_at_once_have_their_own_seeds(monkeypatch):
             assert one.p.tolist() == places and one.h.tolist() == grams[places].tolist()
 
 
+def test_texts_packed_for_pairs():
+    from stratum.llm.substring_dedup import by_size, packed_text, unpacked_size, unpacked_text
+    texts = [b"", b"x", "d\u00e9j\u00e0 vu ".encode() * 400, bytes(range(256)) * 3]
+    packed = [*map(packed_text, texts)]
+    assert [*map(unpacked_text, packed)] == texts and [*map(unpacked_size, packed)] == [*map(len, texts)]
+    assert len(packed[2]) < len(texts[2]) / 10
+    rows = [(i, a, b) for i, (a, b) in enumerate(zip(packed, packed[::-1]))]
+    assert [[row[0] for row in run] for run in by_size(iter(rows), 1000)] == [[0, 1], [2], [3]] and [*by_size(iter([]), 9)] == []
+
+
 def test_bounds_lose_no_passage_and_spare_hopeless_pairs(monkeypatch):
     from stratum.llm import substring_dedup
     from stratum.llm.substring_dedup import Outer, pair_passages, seeded
