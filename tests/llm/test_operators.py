@@ -369,6 +369,39 @@ def test_bounds_lose_no_passage_and_spare_hopeless_pairs(monkeypatch):
     assert np.isin(a.h, b.h).any() and pair_passages(a, b, 50, 0.8).starts == []
 
 
+def test_loosely_equal_words_beside_a_passage_do_not_spoil_it(spark):
+    """A run of 50 or more equal words is a passage, whatever stands beside it in both documents."""
+    from stratum.llm.substring_dedup import pair_passages, seeded
+    r = random.Random(17)
+    texts = []
+    for case in range(60):
+        shared, tail, share = _words(r.randint(50, 70), 3000 + 9 * case), _words(200, 3001 + 9 * case), r.choice([0.45, 0.5, 0.55, 0.6])
+        other = [w if r.random() < share else "x" + w for w in tail]
+        one, two = (shared + tail, shared + other) if case % 2 else (tail + shared, other + shared)
+        texts += [_words(30, 3002 + 9 * case) + one + _words(30, 3003 + 9 * case), _words(20, 3004 + 9 * case) + two + _words(20, 3005 + 9 * case)]
+        at = len(texts[-1]) - 20 - len(shared) if case % 2 == 0 else 20
+        b, a = seeded([" ".join(text).encode() for text in texts[-2:]])
+        spans = pair_passages(a, b, 50, 0.8)
+        assert any(start <= at and stop >= at + len(shared) for start, stop in zip(spans.starts, spans.stops)), case
+        assert all(np.isin(a.words[start:stop], b.words).sum() >= max(50, 0.8 * (stop - start)) for start, stop in zip(spans.starts, spans.stops))
+    got = {x.doc_id: (x.class_id, x.n_repeated) for x in repeated_passages(_docs(spark, map(" ".join, texts[:40]))).collect()}
+    assert all(got[i][0] == i - 1 and got[i][1] >= 50 for i in range(1, 40, 2)), got
+
+
+def test_surroundings_with_unequal_words_between_runs_may_share():
+    from stratum.llm.substring_dedup import AROUND, K, may_share, surroundings
+    r = np.random.default_rng(18)
+    line, more = r.integers(1, 2**62, 24), r.integers(1, 2**62, 30)
+    rows = []
+    for gap in (0, 8, 10, 30):  # the same gap in two documents each: 54 equal words, then too many others between them
+        for _ in range(2):
+            words = np.concatenate([r.integers(1, 2**62, 90), line, r.integers(1, 2**62, gap), more, r.integers(1, 2**62, 90)]).astype(np.uint64)
+            rows.append(surroundings(words, np.array([90 + 5]))[0])
+    rows = np.stack(rows)
+    x, y = may_share(rows, rows, np.triu(np.ones((8, 8), dtype=bool), 1), 50, 0.8)
+    assert rows.shape[1] == 2 * AROUND + K and [*zip(x.tolist(), y.tolist())] == [(0, 1), (2, 3), (4, 5)]
+
+
 def test_wide_rows_are_stored_in_short_row_groups(spark):
     """A task holds a row group whole: rows of 300 KB, as op6's blocks are, must not gather in one."""
     import pyarrow.parquet as pq
